@@ -407,10 +407,16 @@ def fact_logistics(spark, folder):
 
 
 # -------------------------------------------------------------------- ratings
-@query("payload_parse", "SELECT event_id, id, rating_text FROM bodies")
+@query(
+    "payload_parse",
+    """SELECT event_id, id, rating_text IS NOT NULL AS has_rating, try_cast(rating_text AS DOUBLE) AS rating
+       FROM bodies""",
+)
 def payload_parse(spark, folder):
-    bodies = sample.payloads(spark, folder)
-    return bodies.select("event_id", "id", payload.rating_text("body").alias("rating_text"))
+    text = sample.payloads(spark, folder).withColumn("text", payload.rating_text("body"))
+    return text.select(
+        "event_id", "id", F.col("text").isNotNull().alias("has_rating"), payload.rating_value("text").alias("rating")
+    )
 
 
 @query(

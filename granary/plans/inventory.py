@@ -135,7 +135,8 @@ def oversell_report(demand: DataFrame, stock: DataFrame, order: list[str], day:
     """First order line per product at which demand so far exceeds the stock.
 
     Daily totals find the day of the breach; only that day's lines are then
-    walked one by one, so most lines are read once and never sorted.
+    walked one by one, so most lines are read once and never sorted. ``order``
+    is the total order of a product's lines within a day and holds ``order_id``.
     """
     daily = demand.groupBy("product_id", F.col(day).alias("_day")).agg(F.sum("quantity").alias("_ordered"))
     by_day = Window.partitionBy("product_id").orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
@@ -148,7 +149,7 @@ def oversell_report(demand: DataFrame, stock: DataFrame, order: list[str], day:
     lines = demand.join(days, ["product_id", day])
     walked = running_total(lines, ["product_id"], order, "quantity", "_here", hot_rows)
     reached = walked.withColumn("demand", (F.col("_before") + F.col("_here")).cast("bigint")).filter("demand > stock")
-    first = F.min(F.struct(*order, "order_id", "demand")).alias("_line")
+    first = F.min(F.struct(*order, "demand")).alias("_line")
     return reached.groupBy("product_id", "stock").agg(first).select(
         "product_id", "stock", F.col("_line.order_id").alias("order_id"), F.col("_line.demand").alias("demand")
     )
