@@ -25,7 +25,7 @@ ASSIGNMENT = r'(\w+)\s*=\s*"([^"]+)"'
 def regex_kv_extract(spark, folder):
     """First assignment of every line that has one, over all documents."""
     lines = sample.table(spark, folder, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    return office.keyed_paragraphs(lines, ASSIGNMENT, ["name", "value"], "line")
+    return office.keyed_paragraphs(lines, ASSIGNMENT, ["name", "value"], "line", marker="=")
 
 
 @query(
@@ -43,7 +43,7 @@ def shipper_paragraphs(spark, folder):
         )
     )
     paragraphs = sample.table(spark, folder, "supplier").select(paragraph.alias("text"))
-    return office.keyed_paragraphs(paragraphs, northwind.SHIPPER_LINE, ["shipper_id", "shipper_name"])
+    return office.keyed_paragraphs(paragraphs, northwind.SHIPPER_LINE, ["shipper_id", "shipper_name"], marker="SHIP_ID:")
 
 
 @query(
@@ -60,15 +60,16 @@ FINGERPRINT_COLUMNS = ["order_id", "line_number", "product_id", "unit_price", "q
 
 @query(
     "content_fingerprint",
-    """SELECT supplier_id, rows, sha256(concat_ws('|', rows, a, b, c, d)) AS fingerprint FROM (
-           SELECT supplier_id, count(*) AS rows,
-                  sum(CAST(('0x' || substr(h, 1, 15))::BIGINT AS DECIMAL(38,0))) AS a,
-                  sum(CAST(('0x' || substr(h, 16, 15))::BIGINT AS DECIMAL(38,0))) AS b,
-                  sum(CAST(('0x' || substr(h, 31, 15))::BIGINT AS DECIMAL(38,0))) AS c,
-                  sum(CAST(('0x' || substr(h, 46, 15))::BIGINT AS DECIMAL(38,0))) AS d
-           FROM (SELECT supplier_id,
-                        sha256(concat_ws('|', order_id, line_number, product_id, unit_price, quantity, discount)) AS h
-                 FROM lines) GROUP BY supplier_id)""",
+    """SELECT supplier_id, rows, sha256(concat_ws('|', rows, a, b, c, d, e, f, g, h)) AS fingerprint FROM (
+           SELECT supplier_id, count(*) AS rows, sum(n1 // 1048576) AS a, sum(n1 % 1048576) AS b,
+                  sum(n2 // 1048576) AS c, sum(n2 % 1048576) AS d, sum(n3 // 1048576) AS e, sum(n3 % 1048576) AS f,
+                  sum(n4 // 1048576) AS g, sum(n4 % 1048576) AS h
+           FROM (SELECT supplier_id, ('0x' || substr(digest, 1, 10))::BIGINT AS n1,
+                        ('0x' || substr(digest, 11, 10))::BIGINT AS n2, ('0x' || substr(digest, 21, 10))::BIGINT AS n3,
+                        ('0x' || substr(digest, 31, 10))::BIGINT AS n4
+                 FROM (SELECT supplier_id, sha256(concat_ws('|', order_id, line_number, product_id, unit_price,
+                              quantity, discount)) AS digest FROM lines))
+           GROUP BY supplier_id)""",
 )
 def content_fingerprint(spark, folder):
     return group_fingerprint(sample.lines(spark, folder), ["supplier_id"], FINGERPRINT_COLUMNS)

@@ -472,7 +472,7 @@ def _draw_sql(field: str, key: str, n: str) -> str:
 )
 def gen_order_lines(spark, folder):
     """One generated line per order of the table, from its product catalogue."""
-    ids = sample.table(spark, folder, "orders").select(F.col("o_orderkey").alias("id"))
+    ids = sample.order_ids(spark, folder)
     products = sample.table(spark, folder, "part").select(
         F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"), F.col("p_type").alias("category"),
         F.col("p_retailprice").cast("decimal(18,2)").alias("unit_price"),
@@ -515,5 +515,5 @@ def gen_order_lines(spark, folder):
         FROM rounded""",
 )
 def gen_orders(spark, folder):
-    ids = sample.table(spark, folder, "orders").select(F.col("o_orderkey").alias("id"))
+    ids = sample.order_ids(spark, folder)
     return generate.orders(ids, sample.products(spark, folder), GENERATOR_SEED)

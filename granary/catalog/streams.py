@@ -18,7 +18,7 @@ from granary.streaming import jobs, state
 )
 def stream_latest_rating(spark, folder):
     out = scratch_path(spark, "latest-rating")
-    updates = sample.rating_columns(jobs.table_stream(spark, folder, "events.parquet"))
+    updates = sample.rating_columns(jobs.table_stream(spark, folder, "events"))
     jobs.rating_feed(updates, out, f"{out}-checkpoint")
     return state.current(spark, out, ["id"])
 
@@ -26,7 +26,7 @@ def stream_latest_rating(spark, folder):
 @query("stream_stock_level", "SELECT product_id, quantity FROM levels")
 def stream_stock_level(spark, folder):
     out = scratch_path(spark, "stock-level")
-    log = sample.log_columns(jobs.table_stream(spark, folder, "events.parquet"))
+    log = sample.log_columns(jobs.table_stream(spark, folder, "events"))
     jobs.stock_feed(log, out, f"{out}-checkpoint")
     return state.current(spark, out, ["product_id"])
 
@@ -39,7 +39,7 @@ def stream_stock_level(spark, folder):
 )
 def stream_daily_totals(spark, folder):
     out = scratch_path(spark, "daily-totals")
-    events = jobs.table_stream(spark, folder, "events.parquet").select(
+    events = jobs.table_stream(spark, folder, "events").select(
         F.col("ts").cast("timestamp").alias("ts"), F.col("value").cast("decimal(18,2)").alias("amount")
     )
     jobs.daily_feed(events, out, f"{out}-checkpoint", closed_only=False)
@@ -54,6 +54,6 @@ def stream_daily_totals(spark, folder):
 )
 def stream_rejected_payloads(spark, folder):
     out = scratch_path(spark, "payloads")
-    bodies = sample.payload_columns(jobs.table_stream(spark, folder, "events.parquet"))
+    bodies = sample.payload_columns(jobs.table_stream(spark, folder, "events"))
     jobs.payload_feed(bodies, out, f"{out}-checkpoint")
     return state.read_deltas(spark, f"{out}/rejected").select("event_id", "id", "error")

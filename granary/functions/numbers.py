@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from granary.contracts import GOLD_POINTS, MARGIN, MONEY, PLATINUM_POINTS, POINT_VALUE
-from granary.functions.text import ColumnOrName, _col, is_present, strip_whitespace
+from granary.functions.text import ColumnOrName, _col, is_present
 
 
 def money(value: Column) -> Column:
@@ -20,20 +20,22 @@ def total(value: ColumnOrName) -> Column:
 
 
 def lenient_decimal(value: ColumnOrName, kind: str = MONEY) -> Column:
-    return strip_whitespace(value).try_cast(kind)
+    """Number in text, surrounding blanks allowed; NULL when it is none."""
+    return _col(value).try_cast(kind)
 
 
 def lenient_long(value: ColumnOrName) -> Column:
     """Whole part of numeric text, NULL when it is no number.
 
-    Goes through a decimal because text such as ``3.7`` does not cast to an
-    integer directly.
+    Text such as ``3.7`` does not cast to an integer directly and takes the
+    way through a decimal.
     """
-    return strip_whitespace(value).try_cast("decimal(38,6)").try_cast("bigint")
+    text = _col(value)
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("decimal(38,6)").try_cast("bigint"))
 
 
 def lenient_date(value: ColumnOrName) -> Column:
-    return strip_whitespace(value).try_cast("date")
+    return _col(value).try_cast("date")
 
 
 def is_bad_number(value: ColumnOrName, kind: str = MONEY) -> Column:
@@ -43,7 +45,7 @@ def is_bad_number(value: ColumnOrName, kind: str = MONEY) -> Column:
 
 def is_overprecise(value: ColumnOrName, scale: int = 2) -> Column:
     """The number carries more decimals than the contract keeps."""
-    exact = strip_whitespace(value).try_cast("decimal(38,12)")
+    exact = _col(value).try_cast("decimal(38,12)")
     return exact != F.round(exact, scale)
 
 

@@ -19,9 +19,16 @@ def trim_spaces(value: ColumnOrName) -> Column:
     return F.trim(_col(value))
 
 
+# every character that Unicode counts as whitespace
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip_whitespace(value: ColumnOrName) -> Column:
     """Drop every kind of leading and trailing whitespace."""
-    return F.regexp_replace(_col(value), r"^\s+|\s+$", "")
+    return F.btrim(_col(value), F.lit(WHITESPACE))
 
 
 def clean_email(value: ColumnOrName) -> Column:

@@ -12,22 +12,36 @@ def row_digest(columns: list[str | Column]) -> Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
-def _lane(digest: Column, start: int) -> Column:
-    """Fifteen hex digits of a digest as a number that is exact when summed."""
-    return F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(38,0)")
+LANE_STARTS = (1, 11, 21, 31)
+LANE_BITS = 20
+
+
+def _lane_sums() -> list[Column]:
+    """Sums over four slices of a digest, each slice halved.
+
+    A slice is ten hex digits, summed as two numbers below 2**20, so a long
+    holds the sums of more than 10**12 rows; beyond that the sum fails rather
+    than wraps.
+    """
+    sums = []
+    for start in LANE_STARTS:
+        lane = F.conv(F.substring("_digest", start, 10), 16, 10).cast("bigint")
+        sums.append(F.sum(F.shiftright(lane, LANE_BITS)).alias(f"_high{start}"))
+        sums.append(F.sum(lane.bitwiseAND((1 << LANE_BITS) - 1)).alias(f"_low{start}"))
+    return sums
 
 
 def group_fingerprint(df: DataFrame, keys: list[str], columns: list[str | Column]) -> DataFrame:
     """``rows, fingerprint`` per group, independent of row order.
 
     The digest of a group is the SHA-256 over its row count and the sums of
-    four slices of its row digests. Sums combine map-side, so a group of any
-    size costs one partial row per task; copies of a row still count.
+    slices of its row digests. Sums combine map-side, so a group of any size
+    costs one partial row per task; copies of a row still count.
     """
-    digest = row_digest(columns)
-    lanes = [F.sum(_lane(F.col("_digest"), start)).alias(f"_lane{start}") for start in (1, 16, 31, 46)]
-    sums = df.select(*keys, digest.alias("_digest")).groupBy(*keys).agg(F.count("*").alias("rows"), *lanes)
-    parts = ["rows", "_lane1", "_lane16", "_lane31", "_lane46"]
+    sums = df.select(*keys, row_digest(columns).alias("_digest")).groupBy(*keys).agg(
+        F.count("*").alias("rows"), *_lane_sums()
+    )
+    parts = ["rows", *[f"_{half}{start}" for start in LANE_STARTS for half in ("high", "low")]]
     text = F.concat_ws("|", *[F.col(p).cast("string") for p in parts])
     return sums.select(*keys, "rows", F.sha2(text, 256).alias("fingerprint"))
 

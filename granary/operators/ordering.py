@@ -82,20 +82,28 @@ def _running_by_slices(df: DataFrame, keys: list[str], order: list[str], value:
 
 
 def running_total(
-    df: DataFrame, keys: list[str], order: list[str], value: str, name: str, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    value: str,
+    name: str,
+    hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Running sum of ``value`` per key along a total order.
 
     Keys of ordinary size take the plain window. Keys with more than
     ``hot_rows`` rows are cut into range slices, so no task holds such a key
-    whole. The result is the same either way.
+    whole. The result is the same either way. A caller that knows the hot keys
+    already passes them as ``hot`` and saves the counting pass.
     """
-    hot = stage(hot_keys(df, keys, hot_rows), "hot-keys")
+    if hot is None:
+        hot = stage(hot_keys(df, keys, hot_rows), "hot-keys")
     if hot.isEmpty():
         return _running_by_window(df, keys, order, value, name)
     same = _same_keys(keys, "l", "r")
-    cold_rows = df.alias("l").join(hot.alias("r"), same, "left_anti")
-    hot_rows_ = df.alias("l").join(hot.alias("r"), same, "left_semi")
-    return _running_by_window(cold_rows, keys, order, value, name).unionByName(
-        _running_by_slices(hot_rows_, keys, order, value, name)
+    ordinary = df.alias("l").join(hot.alias("r"), same, "left_anti")
+    large = df.alias("l").join(hot.alias("r"), same, "left_semi")
+    return _running_by_window(ordinary, keys, order, value, name).unionByName(
+        _running_by_slices(large, keys, order, value, name)
     )

@@ -91,20 +91,21 @@ def order_items(ids: DataFrame, products: DataFrame, seed: int) -> DataFrame:
     catalogue = numbered_catalogue(products).select("_n", "product_id", F.col("unit_price").alias("price"))
     size = products.count()
     key = F.col("id")
-    wanted = F.least(weighted(ITEM_WEIGHTS, draw(seed, "items", key, 100)), F.lit(size))
-    # a stride of at most a fifth of the catalogue never meets a product twice
-    stride = draw(seed, "stride", key, max(1, size // 5)) + 1
-    slots = ids.select(
+    # numbers are drawn into columns first, so that each is hashed once
+    drawn = ids.select(
         "id",
+        draw(seed, "items", key, 100).alias("_items"),
         draw(seed, "first", key, size).alias("_first"),
-        stride.alias("_stride"),
-        F.explode(F.sequence(F.lit(0), (wanted - 1).cast("int"))).alias("_slot"),
+        # a stride of at most a fifth of the catalogue never meets a product twice
+        (draw(seed, "stride", key, max(1, size // 5)) + 1).alias("_stride"),
     )
+    wanted = F.least(weighted(ITEM_WEIGHTS, F.col("_items")), F.lit(size))
+    slots = drawn.select("id", "_first", "_stride", F.explode(F.sequence(F.lit(0), wanted - 1)).alias("_slot"))
     lines = slots.select(
         F.col("id").alias("order_id"),
         ((F.col("_first") + F.col("_slot") * F.col("_stride")) % F.lit(size)).alias("_n"),
-        weighted(QUANTITY_WEIGHTS, draw(seed, "quantity", F.concat_ws(":", "id", "_slot"), 100)).cast("bigint").alias("quantity"),
-    )
+        draw(seed, "quantity", F.concat_ws(":", "id", "_slot"), 100).alias("_quantity"),
+    ).withColumn("quantity", weighted(QUANTITY_WEIGHTS, F.col("_quantity")).cast("bigint"))
     return lines.join(catalogue, "_n").select("order_id", "product_id", "price", "quantity")
 
 
@@ -117,17 +118,22 @@ def orders(ids: DataFrame, products: DataFrame, seed: int, completed_ratio: floa
     totals = order_items(ids, products, seed).groupBy("order_id").agg(
         F.count("*").alias("items"), F.sum(F.col("price") * F.col("quantity")).cast(MONEY).alias("total_price")
     )
-    percent = F.when(F.col("total_price") < DISCOUNT_FROM, 0).otherwise(
-        weighted(ORDER_DISCOUNTS, draw(seed, "order_discount", key, 100))
+    drawn = totals.withColumns(
+        {
+            "_discount": draw(seed, "order_discount", key, 100),
+            "_status": draw(seed, "status", key, everything),
+            "_payment": draw(seed, "payment", key, 100),
+        }
     )
+    percent = F.when(F.col("total_price") < DISCOUNT_FROM, 0).otherwise(weighted(ORDER_DISCOUNTS, F.col("_discount")))
     # half to even, as decimal quantisation rounds by default
     discount = F.bround(F.col("total_price") * percent.cast("bigint") * F.expr("0.01BD"), 2).cast(MONEY)
-    return totals.withColumn("discount_applied", discount).select(
+    return drawn.withColumn("discount_applied", discount).select(
         "order_id",
         "items",
         "total_price",
         "discount_applied",
         (F.col("total_price") - F.col("discount_applied")).cast(MONEY).alias("final_price"),
-        weighted(statuses, draw(seed, "status", key, everything)).alias("status"),
-        weighted(PAYMENT_WEIGHTS, draw(seed, "payment", key, 100)).alias("payment_method"),
+        weighted(statuses, F.col("_status")).alias("status"),
+        weighted(PAYMENT_WEIGHTS, F.col("_payment")).alias("payment_method"),
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import dates, text
 from granary.operators.ordering import HOT_ROWS, running_total
+from granary.session import stage
 
 
 def stock_levels(log: DataFrame) -> DataFrame:
@@ -138,16 +139,26 @@ def oversell_report(demand: DataFrame, stock: DataFrame, order: list[str], day:
     walked one by one, so most lines are read once and never sorted. ``order``
     is the total order of a product's lines within a day and holds ``order_id``.
     """
-    daily = demand.groupBy("product_id", F.col(day).alias("_day")).agg(F.sum("quantity").alias("_ordered"))
+    daily = demand.groupBy("product_id", F.col(day).alias("_day")).agg(
+        F.sum("quantity").alias("_ordered"), F.count("*").alias("_lines")
+    )
     by_day = Window.partitionBy("product_id").orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
     so_far = daily.withColumn("_so_far", F.sum("_ordered").over(by_day)).join(stock, "product_id")
     over = so_far.filter(F.col("_so_far") > F.col("stock"))
     breach = over.groupBy("product_id", "stock").agg(
-        F.min(F.struct("_day", (F.col("_so_far") - F.col("_ordered")).alias("_before"))).alias("_first")
+        F.min(F.struct("_day", (F.col("_so_far") - F.col("_ordered")).alias("_before"), "_lines")).alias("_first")
+    )
+    # at most one row per product, read twice below
+    days = stage(
+        breach.select(
+            "product_id", "stock", F.col("_first._day").alias(day), F.col("_first._before").alias("_before"),
+            F.col("_first._lines").alias("_lines"),
+        ),
+        "breach-days",
     )
-    days = breach.select("product_id", "stock", F.col("_first._day").alias(day), F.col("_first._before").alias("_before"))
-    lines = demand.join(days, ["product_id", day])
-    walked = running_total(lines, ["product_id"], order, "quantity", "_here", hot_rows)
+    hot = days.filter(F.col("_lines") > hot_rows).select("product_id")
+    lines = demand.join(days.drop("_lines"), ["product_id", day])
+    walked = running_total(lines, ["product_id"], order, "quantity", "_here", hot=hot)
     reached = walked.withColumn("demand", (F.col("_before") + F.col("_here")).cast("bigint")).filter("demand > stock")
     first = F.min(F.struct(*order, "demand")).alias("_line")
     return reached.groupBy("product_id", "stock").agg(first).select(

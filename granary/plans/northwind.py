@@ -71,7 +71,8 @@ def read_raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         F.col("Discount").alias("discount"),
     )
     shippers = office.keyed_paragraphs(
-        office.paragraphs(spark, f"{folder}/shippers_policy.docx"), SHIPPER_LINE, ["shipper_id", "shipper_name"]
+        office.paragraphs(spark, f"{folder}/shippers_policy.docx"), SHIPPER_LINE, ["shipper_id", "shipper_name"],
+        marker="SHIP_ID:",
     ).select("shipper_id", "shipper_name")
     return {
         "customers": customers, "products": products, "orders": orders,

@@ -17,14 +17,41 @@ from granary.operators.ordering import dense_number
 LINE_ORDER = ["order_id", "line_number", "product_id", "supplier_id", "ship_date", "raw_price"]
 
 
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A sample table; the declared schema saves the job that would infer it."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Shuffle a table by key if its files give fewer tasks than there are cores.
+
+    A small table in one file would otherwise be worked on by one core. A
+    large table has more splits than cores and is read as it lies.
+    """
+    if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism:
+        return df.repartition(key)
+    return df
 
 
 # ---------------------------------------------------------------- sales model
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines with the columns that fix their order."""
-    return table(spark, folder, "lineitem").select(
+    return spread(table(spark, folder, "lineitem"), "l_orderkey").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").cast("bigint").alias("line_number"),
         F.col("l_partkey").alias("product_id"),
@@ -59,6 +86,10 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def order_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "orders").select(F.col("o_orderkey").alias("id")), "id")
+
+
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
     named = table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))

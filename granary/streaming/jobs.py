@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 from granary.contracts import ORDER_FIELDS
 from granary.functions import payload
+from granary.sources import sample
 from granary.streaming import state
 
 
-def table_stream(spark: SparkSession, folder: str, file_name: str) -> DataFrame:
-    """Stream over the Parquet files of one table in a folder."""
-    schema = spark.read.parquet(f"{folder}/{file_name}").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", file_name).parquet(folder)
+def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Stream over the Parquet files of one sample table in a folder."""
+    return (
+        spark.readStream.schema(sample.SCHEMAS[name])
+        .option("pathGlobFilter", f"{name}.parquet")
+        .parquet(folder)
+    )
 
 
 # ------------------------------------------------------------- rating updates

@@ -1,0 +1,124 @@
+"""Streams give what the batch gives, and rerunning adds nothing."""
+
+from __future__ import annotations
+
+import json
+from datetime import date
+
+import pytest
+
+from granary.streaming import jobs, state
+
+
+def write_updates(path, rows):
+    path.write_text("".join(json.dumps(row) + "\n" for row in rows))
+
+
+def update_stream(spark, folder):
+    schema = "event_id bigint, id bigint, rating double, updated_at timestamp"
+    return spark.readStream.schema(schema).json(folder)
+
+
+def test_latest_rating_over_several_runs(spark, tmp_path):
+    feed, out, checkpoint = tmp_path / "feed", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    feed.mkdir()
+
+    def event(number, movie, rating, at):
+        return {"event_id": number, "id": movie, "rating": rating, "updated_at": f"2026-01-01T{at}"}
+
+    write_updates(feed / "a.json", [event(1, 1, 8.4, "10:00:00"), event(2, 2, 9.1, "10:00:00"), event(3, 3, 8.7, "10:00:00")])
+    jobs.rating_feed(update_stream(spark, str(feed)), out, checkpoint)
+    write_updates(feed / "b.json", [event(4, 1, 9.6, "11:00:00"), event(5, 2, 1.0, "09:00:00"), event(6, 3, 8.8, "10:00:00")])
+    jobs.rating_feed(update_stream(spark, str(feed)), out, checkpoint)
+    latest = {row.id: row.rating for row in state.current(spark, out, ["id"]).collect()}
+    assert latest == {1: 9.6, 2: 9.1, 3: 8.8}  # late update ignored, tie goes to the later event
+
+    before = state.read_deltas(spark, out).count()
+    jobs.rating_feed(update_stream(spark, str(feed)), out, checkpoint)
+    assert state.read_deltas(spark, out).count() == before
+
+    folded = state.compact(spark, out, ["id"], str(tmp_path / "folded"))
+    assert {row.id: row.rating for row in folded.collect()} == latest
+
+
+def test_repeated_batch_overwrites_itself(spark, tmp_path):
+    write = state.delta_writer(str(tmp_path / "out"))
+    frame = spark.createDataFrame([(1, 2.0)], "id bigint, rating double")
+    write(frame, 0)
+    write(frame, 0)
+    assert state.read_deltas(spark, str(tmp_path / "out")).count() == 1
+
+
+def test_payload_feed_splits(spark, tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    bodies = ['{"rating": 9.6}', "rating=7", "rating=high", "{}"]
+    write_updates(feed / "a.json", [{"event_id": n, "id": n, "body": body} for n, body in enumerate(bodies)])
+    raw = spark.readStream.schema("event_id bigint, id bigint, body string").json(str(feed))
+    out = str(tmp_path / "out")
+    jobs.payload_feed(raw, out, str(tmp_path / "checkpoint"))
+    accepted = {row.event_id: row.rating for row in state.read_deltas(spark, f"{out}/accepted").collect()}
+    rejected = {row.event_id: row.error for row in state.read_deltas(spark, f"{out}/rejected").collect()}
+    assert accepted == {0: 9.6, 1: 7.0}
+    assert rejected == {2: "rating must be a number", 3: "rating is required"}
+
+
+def test_daily_totals_append_only_closed_days(spark, tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    rows = [{"ts": f"2026-01-0{day}T12:00:00", "amount": day} for day in (1, 1, 2, 3, 5)]
+    write_updates(feed / "a.json", rows)
+    events = spark.readStream.schema("ts timestamp, amount decimal(18,2)").json(str(feed))
+    out = str(tmp_path / "out")
+    jobs.daily_feed(events, out, str(tmp_path / "checkpoint"))
+    closed = {row.day: row.events for row in spark.read.parquet(out).collect()}
+    assert closed == {date(2026, 1, 1): 2, date(2026, 1, 2): 1, date(2026, 1, 3): 1}
+
+
+def test_landing_feed_takes_each_file_once(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    out, checkpoint = str(tmp_path / "bronze"), str(tmp_path / "checkpoint")
+    write_updates(landing / "one.txt", [{"order_id": "A"}, {"order_id": "B", "quantity": 2}])
+    (landing / "ignored.csv").write_text("order_id\nX\n")
+    jobs.landing_feed(spark, str(landing), out, checkpoint)
+    jobs.landing_feed(spark, str(landing), out, checkpoint)
+    assert spark.read.parquet(out).count() == 2
+    write_updates(landing / "two.txt", [{"order_id": "C"}])
+    jobs.landing_feed(spark, str(landing), out, checkpoint)
+    rows = spark.read.parquet(out)
+    assert {(r.order_id, r.source_file) for r in rows.collect()} == {("A", "one.txt"), ("B", "one.txt"), ("C", "two.txt")}
+
+
+def test_stock_feed(spark, tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    schema = "product_id bigint, change_quantity bigint"
+    write_updates(feed / "a.json", [{"product_id": 1, "change_quantity": 10}, {"product_id": 2, "change_quantity": 4}])
+    jobs.stock_feed(spark.readStream.schema(schema).json(str(feed)), out, checkpoint)
+    write_updates(feed / "b.json", [{"product_id": 1, "change_quantity": -3}])
+    jobs.stock_feed(spark.readStream.schema(schema).json(str(feed)), out, checkpoint)
+    levels = {row.product_id: row.quantity for row in state.current(spark, out, ["product_id"]).collect()}
+    assert levels == {1: 7, 2: 4}
+
+
+def test_shared_folder_is_required_on_a_cluster(spark):
+    from granary import session
+
+    class Cluster:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+        class sparkContext:
+            master = "yarn"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Cluster)
+    assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
