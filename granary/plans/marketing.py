@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import dates, numbers
 from granary.operators.ordering import dense_number
+from granary.plans.publish import side_by_side
 
 
 def loyalty_balances(opening: DataFrame, earned: DataFrame) -> DataFrame:
@@ -36,8 +37,7 @@ def marketing_stats(coupons: DataFrame, accounts: DataFrame, at: Column) -> Data
     members = accounts.agg(
         F.count("*").alias("total_members"), F.coalesce(F.sum("points"), F.lit(0)).cast("bigint").alias("total_points")
     )
-    # one row each
-    return offers.withColumn("_one", F.lit(1)).join(members.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return side_by_side(offers, members)
 
 
 def times_used(priced_orders: DataFrame) -> DataFrame:

@@ -174,12 +174,10 @@ def revenue_reconciliation(details: DataFrame, fact: DataFrame) -> DataFrame:
     actual = fact.agg(
         F.count("*").alias("fact_lines"), F.sum("net_revenue").cast("decimal(18,2)").alias("net_revenue")
     )
-    # one row each
-    both = expected.withColumn("_one", F.lit(1)).join(actual.withColumn("_one", F.lit(1)), "_one").drop("_one")
     agree = F.col("source_lines").eqNullSafe(F.col("fact_lines")) & F.col("expected_revenue").eqNullSafe(
         F.col("net_revenue")
     )
-    return both.withColumn("agrees", agree)
+    return publish.side_by_side(expected, actual).withColumn("agrees", agree)
 
 
 @dataclass(frozen=True)

@@ -118,6 +118,14 @@ def current_batch(spark: SparkSession, root: str) -> str | None:
         stream.close()
 
 
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """Columns of several one-row tables in one row."""
+    stacked = rows[0]
+    for row in rows[1:]:
+        stacked = stacked.unionByName(row, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def row_counts(layers: dict[str, DataFrame]) -> DataFrame:
     """``table_name, rows`` of several tables."""
     return union_all(

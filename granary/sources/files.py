@@ -85,7 +85,7 @@ def jsonl_records(spark: SparkSession, path: str | list[str], fields: list[str])
 
 def json_array_records(spark: SparkSession, path: str | list[str], fields: list[str]) -> DataFrame:
     """Files that hold one JSON array each; the format allows one task per file."""
-    documents = spark.read.option("wholetext", True).text(path).select(*_origin()[:3], "value")
+    documents = spark.read.text(path, wholetext=True).select(*_origin()[:3], "value")
     elements = documents.select(
         "source_file",
         "_file",

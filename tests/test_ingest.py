@@ -73,8 +73,8 @@ def test_all_formats_reach_bronze(spark, landing):
     assert rows["ORD00000041"].source_file == "customer_orders.docx"
 
 
-def test_full_reload_replaces(spark, landing, tmp_path):
-    out = str(tmp_path / "bronze")
+def test_full_reload_replaces(spark, landing, tmp_path_factory):
+    out = str(tmp_path_factory.mktemp("lake") / "bronze")
     first = bronze.load(spark, landing, out).count()
     assert bronze.load(spark, landing, out).count() == first == 13
 

@@ -13,6 +13,14 @@ from granary.operators.fingerprint import group_fingerprint
 from granary.operators.ordering import dense_number, hot_keys, running_total
 
 
+@pytest.fixture(autouse=True)
+def every_partition_stays(spark):
+    """Small data would otherwise be merged into one slice."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def ledger(spark, rows=5000, seed=1):
     """Movements with one product that holds a third of them and many equal times."""
     rng = random.Random(seed)
