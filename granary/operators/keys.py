@@ -24,7 +24,9 @@ def file_positions(records: DataFrame) -> DataFrame:
         F.count("*").alias("_rows"), F.min("_seq").alias("_first")
     )
     earlier = Window.orderBy("source_file", "_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    earlier_in_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier_in_file = (
+        Window.partitionBy("source_file").orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    )
     placed = splits.select(
         "_file",
         "_block",

@@ -5,24 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.operators.fingerprint import file_digests
+from granary.operators.fingerprint import file_digests, manifest_diff
 from granary.operators.quality import union_all
+from granary.session import exists, file_system
 
 
 class BatchError(ValueError):
     """A batch on disk does not agree with its source."""
 
 
-def _file_system(spark: SparkSession, path: str):
-    hadoop = spark._jvm.org.apache.hadoop
-    location = hadoop.fs.Path(path)
-    return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True when a write to this path has finished."""
-    marker, files = _file_system(spark, f"{path}/_SUCCESS")
-    return files.exists(marker)
+    return exists(spark, f"{path}/_SUCCESS")
 
 
 def rebuild(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -31,17 +25,29 @@ def rebuild(df: DataFrame, path: str, partition_by: list[str] | None = None) ->
     return df.sparkSession.read.parquet(path)
 
 
-def write_once(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+def write_once(df: DataFrame, path: str) -> DataFrame:
     """Write a batch table unless it is already complete.
 
     A retry finds finished tables and leaves them alone; a table whose write
     was cut short has no completion marker and is written again.
     """
     if not is_complete(df.sparkSession, path):
-        df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def by_month(fact: DataFrame, day: str, sort_by: list[str]) -> DataFrame:
+    """Rows gathered by month for a write partitioned by ``month``.
+
+    Rebalancing keeps files near the advisory size: a month with very many
+    rows is split over several tasks and small months share one. Sorting in
+    each task lets readers skip row groups by key.
+    """
+    key = F.col(day)
+    month = (F.year(key) * 100 + F.month(key)) if dict(fact.dtypes)[day] == "date" else F.floor(key / 100)
+    return fact.withColumn("month", month.cast("int")).hint("rebalance", "month").sortWithinPartitions("month", *sort_by)
+
+
 def stage_typed(df: DataFrame, types: dict[str, str], path: str) -> DataFrame:
     """Write a table in contract types; an existing copy must have as many rows."""
     typed = df.select([F.col(name).cast(kind).alias(name) for name, kind in types.items()])
@@ -71,8 +77,6 @@ def archive_raw(spark: SparkSession, folder: str, names: tuple[str, ...], batch:
 
 def import_state(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Per file name: new, missing, same or conflict between two folders."""
-    from granary.operators.fingerprint import manifest_diff
-
     def manifest(folder: str) -> DataFrame:
         return file_digests(spark, folder).select("name", F.col("sha256").alias("digest"))
 
@@ -93,8 +97,8 @@ def switch_view(spark: SparkSession, view: str, batch_tables: dict[str, str], se
 def switch_pointer(spark: SparkSession, root: str, batch: str) -> None:
     """Publish without a catalog: the current batch name, replaced by one rename."""
     hadoop = spark._jvm.org.apache.hadoop
-    target, files = _file_system(spark, f"{root}/_CURRENT")
-    fresh, _ = _file_system(spark, f"{root}/_CURRENT.{batch}")
+    target, files = file_system(spark, f"{root}/_CURRENT")
+    fresh, _ = file_system(spark, f"{root}/_CURRENT.{batch}")
     stream = files.create(fresh, True)
     stream.write(bytearray(batch.encode()))
     stream.close()
@@ -108,7 +112,7 @@ def switch_pointer(spark: SparkSession, root: str, batch: str) -> None:
 
 def current_batch(spark: SparkSession, root: str) -> str | None:
     """Name of the published batch, None before the first publication."""
-    pointer, files = _file_system(spark, f"{root}/_CURRENT")
+    pointer, files = file_system(spark, f"{root}/_CURRENT")
     if not files.exists(pointer):
         return None
     stream = files.open(pointer)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from granary.session import exists
 from granary.sources import office
 
 ORIGIN = ["source_file", "_file", "_block", "_seq"]
@@ -134,11 +135,16 @@ def missing_files(spark: SparkSession, folder: str, required: tuple[str, ...]) -
 
 
 def landing_records(spark: SparkSession, folder: str, allowed: tuple[str, ...], fields: list[str]) -> DataFrame:
-    """Union of all allowed files in a folder, each read by its suffix."""
-    listed = list_files(spark, folder).filter(F.col("name").isin(*allowed)).select("name")
-    # at most as many names as the closed allow-list has
-    present = sorted({row.name for row in listed.distinct().collect()})
+    """Union of all allowed files in a folder, each read by its suffix.
+
+    A landing name may also be a directory of shards, which count as one file
+    in path order.
+    """
+    present = [name for name in sorted(allowed) if exists(spark, f"{folder}/{name}")]
     if not present:
         raise FileNotFoundError(f"no supported landing file in {folder}")
-    parts = [READERS[name[name.rindex("."):]](spark, f"{folder}/{name}", fields) for name in present]
-    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
+    parts = [
+        READERS[name[name.rindex("."):]](spark, f"{folder}/{name}", fields).withColumn("source_file", F.lit(name))
+        for name in present
+    ]
+    return reduce(lambda left, right: left.unionByName(right), parts)

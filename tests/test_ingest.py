@@ -6,10 +6,11 @@ import json
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from granary.contracts import ORDER_FIELDS
 from granary.operators.keys import file_positions
-from granary.plans import bronze
+from granary.plans import bronze, medallion
 from granary.sources import files, office, tables
 from tests.office_files import write_docx, write_xlsx
 
@@ -79,6 +80,26 @@ def test_full_reload_replaces(spark, landing, tmp_path_factory):
     assert bronze.load(spark, landing, out).count() == first == 13
 
 
+def test_shards_count_as_one_file(spark, tmp_path):
+    rows = [{name: str(i) for name in ORDER_FIELDS} for i in range(1, 301)]
+    spark.createDataFrame(rows).repartitionByRange(6, F.col("order_id").cast("int")).write.json(
+        str(tmp_path / "customer_orders.txt")
+    )
+    loaded = bronze.customer_orders(spark, str(tmp_path)).collect()
+    assert {row.source_file for row in loaded} == {"customer_orders.txt"}
+    assert all(row.bronze_id == row.source_row == int(row.order_id) for row in loaded) and len(loaded) == 300
+
+
+def test_medallion(spark, landing, tmp_path_factory):
+    out = str(tmp_path_factory.mktemp("medallion"))
+    counts = {row.table_name: row.rows for row in medallion.run(spark, landing, out).collect()}
+    assert counts["bronze_customer_orders"] == counts["silver_customer_orders"] == counts["fact_sales"] == 13
+    fact = spark.read.parquet(f"{out}/gold/fact_sales")
+    assert sorted(row.sale_key for row in fact.select("sale_key").collect()) == list(range(1, 14))
+    assert {row.month for row in fact.select("month").collect()} == {202603, None}
+    assert counts["silver_rejects"] > 0 and counts["repeated_keys"] == 0
+
+
 def test_no_supported_file_fails(spark, tmp_path):
     (tmp_path / "readme.md").write_text("x")
     with pytest.raises(FileNotFoundError):

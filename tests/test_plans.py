@@ -41,13 +41,6 @@ def test_scans_read_only_what_they_need(spark):
     assert "PushedFilters: [IsNotNull(l_orderkey)]" in text
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_cross_join(spark, name):
-    text = plan(QUERIES[name](spark, SMALL))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
-
-
 def test_top_products_sums_before_the_dimension(spark):
     text = plan(QUERIES["top_products"](spark, SMALL))
     assert "TakeOrderedAndProject" in text and text.count("HashAggregate") >= 4

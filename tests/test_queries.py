@@ -27,3 +27,6 @@ def test_every_query_has_check_sql():
 def test_query(spark, duck, name):
     frame = QUERIES[name](spark, FOLDER)
     assert differences(frame, duck, ORACLE[name]) == []
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
