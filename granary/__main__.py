@@ -65,7 +65,11 @@ def main() -> None:
     else:
         ids = spark.range(1, args.total + 1)
         made = generate.orders(ids, _catalogue(spark, args.products), args.seed, args.completed_ratio)
-        made.write.mode("overwrite").parquet(args.out)
+        made.write.mode("overwrite").parquet(f"{args.out}/orders")
+        generate.shipments(spark.read.parquet(f"{args.out}/orders"), args.seed).write.mode("overwrite").parquet(
+            f"{args.out}/shipments"
+        )
+    session.drop_staged(spark)
 
 
 if __name__ == "__main__":

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from granary.catalog.registry import query
 from granary.contracts import coupon_table
-from granary.functions import dates, numbers, payload
+from granary.functions import payload
+from granary.operators import quality
 from granary.plans import generate, inventory, logistics, marketing, pricing, silver
 from granary.sources import sample
 
@@ -451,8 +452,10 @@ def _draw_sql(field: str, key: str, n: str) -> str:
 @query(
     "gen_order_lines",
     f"""SELECT 'ORD' || lpad(CAST(id AS VARCHAR), 8, '0') AS order_id, order_date,
-               'CUS' || lpad(CAST(id AS VARCHAR), 8, '0') AS customer_id, product_id, product_name, category, quantity,
-               unit_price, discount_pct, payment_method, shipping_status,
+               'CUS' || lpad(CAST(id AS VARCHAR), 8, '0') AS customer_id, 'ลูกค้า ' || id AS customer_name,
+               'customer' || id || '@example.com' AS customer_email,
+               '08' || lpad(CAST(phone AS VARCHAR), 8, '0') AS customer_phone, product_id, product_name, category,
+               quantity, unit_price, discount_pct, payment_method, shipping_status, province,
                CAST(quantity * unit_price * (100 - discount_pct) * 0.01 AS DECIMAL(18,2)) AS total_amount
         FROM (SELECT o_orderkey AS id,
                      CAST(DATE '2026-09-22' - CAST({_draw_sql("day", "o_orderkey", "366")} AS INTEGER) AS DATE)
@@ -464,7 +467,10 @@ def _draw_sql(field: str, key: str, n: str) -> str:
                      list_extract(['โอนเงิน', 'บัตรเครดิต', 'เก็บเงินปลายทาง', 'e-Wallet'],
                                   {_draw_sql("payment", "o_orderkey", "4")} + 1) AS payment_method,
                      list_extract(['จัดส่งแล้ว', 'กำลังจัดส่ง', 'รอดำเนินการ', 'ส่งสำเร็จ'],
-                                  {_draw_sql("shipping", "o_orderkey", "4")} + 1) AS shipping_status
+                                  {_draw_sql("shipping", "o_orderkey", "4")} + 1) AS shipping_status,
+                     list_extract(['กรุงเทพมหานคร', 'นนทบุรี', 'สมุทรปราการ', 'ปทุมธานี', 'ชลบุรี', 'พระนครศรีอยุธยา'],
+                                  {_draw_sql("province", "o_orderkey", "6")} + 1) AS province,
+                     {_draw_sql("phone", "o_orderkey", "100000000")} AS phone
               FROM orders)
         JOIN (SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
                      CAST(p_retailprice AS DECIMAL(18,2)) AS unit_price,
@@ -517,3 +523,32 @@ def gen_order_lines(spark, folder):
 def gen_orders(spark, folder):
     ids = sample.order_ids(spark, folder)
     return generate.orders(ids, sample.products(spark, folder), GENERATOR_SEED)
+
+
+@query(
+    "gen_shipments",
+    f"""SELECT order_id,
+               'TH' || upper(substr(md5('{GENERATOR_SEED}:tracking:' || order_id), 1, 14)) AS tracking_number,
+               list_extract(['Kerry Express', 'Flash Express', 'EMS Thailand', 'J&T Express', 'DHL Express',
+                             'Ninja Van'], {_draw_sql("carrier", "order_id", "6")} + 1) AS carrier,
+               CAST(list_extract([0, 50, 80, 100, 150, 200], {_draw_sql("cost", "order_id", "6")} + 1)
+                    AS DECIMAL(10,2)) AS shipping_cost,
+               CASE WHEN s < 80 THEN 'delivered' ELSE 'shipping' END AS status
+        FROM (SELECT o_orderkey AS order_id, {_draw_sql("status", "o_orderkey", "100")} AS s FROM orders)
+        WHERE s < 88""",
+)
+def gen_shipments(spark, folder):
+    return generate.shipments(gen_orders(spark, folder), GENERATOR_SEED)
+
+
+@query(
+    "stock_coverage",
+    """SELECT product_id, 'missing' AS state FROM products WHERE product_id NOT IN (SELECT product_id FROM levels)
+       UNION ALL
+       SELECT product_id, 'unexpected' FROM levels WHERE product_id NOT IN (SELECT product_id FROM products)""",
+)
+def stock_coverage(spark, folder):
+    """Products without a stock row, and stock rows of unknown products."""
+    return quality.set_difference(
+        sample.products(spark, folder).select("product_id"), _levels(spark, folder).select("product_id")
+    )

@@ -111,6 +111,12 @@ def rejected_inserts(incoming: DataFrame, existing: DataFrame, table: str, key:
     return taken.unionByName(duplicate_keys(incoming, table, key))
 
 
+def set_difference(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """Rows that only one of two tables has, duplicates counted; none when equal."""
+    missing = expected.exceptAll(actual).withColumn("state", F.lit("missing"))
+    return missing.unionByName(actual.exceptAll(expected).withColumn("state", F.lit("unexpected")))
+
+
 def gate(found: DataFrame) -> None:
     """Raise with a count per rule and table when there is any violation."""
     # one row per rule and table: as small as the rule list

@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.contracts import MONEY
+from granary.contracts import CARRIERS, MONEY, PRICE, SHIPPING_COSTS
 from granary.operators.ordering import dense_number
 
 # ---------------------------------------------------------------- fixed values
@@ -23,6 +23,7 @@ QUANTITY_WEIGHTS = [(1, 60), (2, 30), (3, 10)]
 PAYMENT_WEIGHTS = [("promptpay", 50), ("credit", 30), ("cod", 20)]
 ORDER_DISCOUNTS = [(0, 40), (5, 30), (10, 20), (15, 10)]
 DISCOUNT_FROM = 1000
+PROVINCES = ["กรุงเทพมหานคร", "นนทบุรี", "สมุทรปราการ", "ปทุมธานี", "ชลบุรี", "พระนครศรีอยุธยา"]
 # ------------------------------------------------------------ end fixed values
 
 
@@ -68,12 +69,18 @@ def order_lines(ids: DataFrame, products: DataFrame, seed: int, last_day: str) -
         F.date_sub(F.lit(last_day).cast("date"), draw(seed, "day", key, 366).cast("int")).alias("order_date"),
         choice(GENERATED_PAYMENTS, draw(seed, "payment", key, 4)).alias("payment_method"),
         choice(GENERATED_SHIPPING, draw(seed, "shipping", key, 4)).alias("shipping_status"),
+        choice(PROVINCES, draw(seed, "province", key, len(PROVINCES))).alias("province"),
+        draw(seed, "phone", key, 100_000_000).cast("string").alias("_phone"),
     )
     amount = F.col("quantity") * F.col("unit_price") * (F.lit(100) - F.col("discount_pct")) * F.expr("0.01BD")
+    number = F.col("id").cast("string")
     return drawn.join(catalogue, "_n").select(
-        F.concat(F.lit("ORD"), F.lpad(F.col("id").cast("string"), 8, "0")).alias("order_id"),
+        F.concat(F.lit("ORD"), F.lpad(number, 8, "0")).alias("order_id"),
         "order_date",
-        F.concat(F.lit("CUS"), F.lpad(F.col("id").cast("string"), 8, "0")).alias("customer_id"),
+        F.concat(F.lit("CUS"), F.lpad(number, 8, "0")).alias("customer_id"),
+        F.concat(F.lit("ลูกค้า "), number).alias("customer_name"),
+        F.concat(F.lit("customer"), number, F.lit("@example.com")).alias("customer_email"),
+        F.concat(F.lit("08"), F.lpad("_phone", 8, "0")).alias("customer_phone"),
         "product_id",
         "product_name",
         "category",
@@ -82,6 +89,7 @@ def order_lines(ids: DataFrame, products: DataFrame, seed: int, last_day: str) -
         "discount_pct",
         "payment_method",
         "shipping_status",
+        "province",
         F.round(amount, 2).cast(MONEY).alias("total_amount"),
     )
 
@@ -137,3 +145,22 @@ def orders(ids: DataFrame, products: DataFrame, seed: int, completed_ratio: floa
         weighted(statuses, F.col("_status")).alias("status"),
         weighted(PAYMENT_WEIGHTS, F.col("_payment")).alias("payment_method"),
     )
+
+
+def shipments(made: DataFrame, seed: int) -> DataFrame:
+    """A parcel for each paid or shipped order."""
+    key = F.col("order_id")
+    drawn = made.filter(F.col("status").isin("paid", "shipped")).select(
+        "order_id",
+        "status",
+        F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("tracking"), key.cast("string"))).alias("_digest"),
+        draw(seed, "carrier", key, len(CARRIERS)).alias("_carrier"),
+        draw(seed, "cost", key, len(SHIPPING_COSTS)).alias("_cost"),
+    )
+    return drawn.select(
+        "order_id",
+        F.concat(F.lit("TH"), F.upper(F.substring("_digest", 1, 14))).alias("tracking_number"),
+        choice(CARRIERS, F.col("_carrier")).alias("carrier"),
+        choice(SHIPPING_COSTS, F.col("_cost")).cast(PRICE).alias("shipping_cost"),
+        F.when(F.col("status") == "paid", "delivered").otherwise("shipping").alias("status"),
+    )

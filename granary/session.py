@@ -86,3 +86,9 @@ def file_system(spark: SparkSession, path: str):
 def exists(spark: SparkSession, path: str) -> bool:
     location, files = file_system(spark, path)
     return files.exists(location)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application staged, once no frame reads it any more."""
+    location, files = file_system(spark, f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+    files.delete(location, True)

@@ -131,3 +131,21 @@ def test_orphans_with_null_key(spark):
     found = quality.orphans(child, parent, "child", "id", "fk", "pk").collect()
     assert {(row.key, row.detail) for row in found} == {("2", "fk=null"), ("3", "fk=5")}
     assert quality.accepted_by(child, parent, "fk", "pk").select(F.col("id")).collect() == [(1,)]
+
+
+def test_set_difference(spark):
+    one = spark.createDataFrame([("a",), ("b",), ("b",)], "name string")
+    two = spark.createDataFrame([("b",), ("c",)], "name string")
+    assert sorted(quality.set_difference(one, two).collect()) == [
+        ("a", "missing"), ("b", "missing"), ("c", "unexpected")]
+    assert quality.set_difference(one, one).isEmpty()
+
+
+def test_drop_staged(spark):
+    from granary import session
+
+    staged = session.stage(spark.range(3), "gone")
+    folder = f"{session.shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    assert staged.count() == 3 and session.exists(spark, folder)
+    session.drop_staged(spark)
+    assert not session.exists(spark, folder)

@@ -191,3 +191,11 @@ def test_generated_lines(spark):
     assert abs((made["discount_pct"] == 0).mean() - 0.5) < 0.04
     assert made["order_date"].min() >= date(2025, 9, 21) and made["order_date"].max() <= date(2026, 9, 22)
     assert made["order_id"].is_unique and made["quantity"].between(1, 5).all()
+
+
+def test_generated_shipments(spark):
+    made = generate.orders(spark.range(5000), sample.products(spark, SMALL), 2)
+    parcels = generate.shipments(made, 2)
+    shipped = made.filter("status in ('paid', 'shipped')").count()
+    assert parcels.count() == shipped and abs(shipped / 5000 - 0.88) < 0.02
+    assert parcels.filter("length(tracking_number) <> 16 or carrier is null").isEmpty()
