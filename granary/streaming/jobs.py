@@ -11,12 +11,19 @@ from granary.sources import sample
 from granary.streaming import state
 
 
+MAX_BATCH_BYTES = 512 * 2**30
+
+
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Stream over the Parquet files of one sample table in a folder."""
+    """Stream over one sample table, stored as a file or as a folder of files.
+
+    The braces make the path a pattern: a plain path has to be a folder. A
+    backlog is taken in batches of bounded size, so a failure repeats little.
+    """
     return (
         spark.readStream.schema(sample.SCHEMAS[name])
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(folder)
+        .option("maxBytesPerTrigger", MAX_BATCH_BYTES)
+        .parquet(f"{folder}/{{{name}}}.parquet")
     )
 
 
