@@ -34,14 +34,13 @@ MODEL = {
         FROM part""",
     "shippers": "SELECT s_suppkey AS shipper_id, s_name AS shipper_name FROM supplier",
     "sales": """
-        SELECT d.*, h.customer_id, h.order_date, h.shipper_id,
-               CAST(round(d.quantity * d.unit_price * (1 - d.discount), 2) AS DECIMAL(18,2)) AS net_revenue
-        FROM details d JOIN heads h ON d.order_id = h.order_id""",
+        SELECT *, CAST(quantity * unit_price * (1 - discount) AS DECIMAL(18,2)) AS net_revenue
+        FROM details JOIN (SELECT order_id, customer_id, order_date, shipper_id FROM heads) USING (order_id)""",
     "dashboard": """
-        SELECT f.*, p.product_name, p.category_id, c.city, s.shipper_name
-        FROM sales f JOIN products p ON f.product_id = p.product_id
-        JOIN people c ON f.customer_id = c.customer_id
-        JOIN shippers s ON f.shipper_id = s.shipper_id""",
+        SELECT * FROM sales
+        JOIN (SELECT product_id, product_name, category_id FROM products) USING (product_id)
+        JOIN (SELECT customer_id, city FROM people) USING (customer_id)
+        JOIN shippers USING (shipper_id)""",
     "raw": """
         SELECT CASE WHEN l.product_id % 11 = 0 THEN '  '
                     ELSE 'ORD' || lpad(CAST(l.order_id AS VARCHAR), 8, '0') END AS order_id,
@@ -73,15 +72,15 @@ MODEL = {
             CASE line_number WHEN 7 THEN 'not a date' ELSE order_date END AS order_date)
         FROM raw""",
     "silver": """
-        SELECT order_id, CAST(order_date AS DATE) AS order_date, customer_id, trim(customer_name) AS customer_name,
-               lower(trim(customer_email)) AS customer_email, trim(customer_phone) AS customer_phone, product_id,
-               trim(product_name) AS product_name, trim(category) AS category, CAST(quantity AS BIGINT) AS quantity,
-               CAST(unit_price AS DECIMAL(18,2)) AS unit_price, CAST(discount_pct AS DECIMAL(6,4)) AS discount_pct,
-               trim(payment_method) AS payment_method, trim(shipping_status) AS shipping_status,
-               trim(province) AS province, CAST(total_amount AS DECIMAL(18,2)) AS total_amount, source_file
-        FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY source_file, bronze_id) AS rank
-              FROM raw WHERE nullif(trim(order_id), '') IS NOT NULL)
-        WHERE rank = 1""",
+        SELECT * EXCLUDE (line_number, bronze_id, at_order_id) REPLACE (
+            CAST(order_date AS DATE) AS order_date, CAST(quantity AS BIGINT) AS quantity,
+            CAST(unit_price AS DECIMAL(18,2)) AS unit_price, CAST(total_amount AS DECIMAL(18,2)) AS total_amount,
+            CAST(discount_pct AS DECIMAL(6,4)) AS discount_pct, lower(trim(customer_email)) AS customer_email,
+            trim(customer_name) AS customer_name, trim(customer_phone) AS customer_phone,
+            trim(product_name) AS product_name, trim(category) AS category, trim(province) AS province,
+            trim(payment_method) AS payment_method, trim(shipping_status) AS shipping_status)
+        FROM raw WHERE trim(order_id) <> ''
+        QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY source_file, bronze_id) = 1""",
     "headers": """
         SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
                CASE o_orderstatus WHEN 'F' THEN 'paid' WHEN 'O' THEN 'shipped' ELSE 'pending' END AS order_status,

@@ -226,11 +226,10 @@ def run(spark: SparkSession, folder: str, out: str, validate_only: bool = False,
     tables = {f"gold_{batch}_{name}": path for name, path in paths.items()}
     publish.switch_view(
         spark, view, tables,
-        f"""SELECT f.*, p.product_name, p.category_id, c.city, s.shipper_name
-            FROM gold_{batch}_fact_sales f
-            JOIN gold_{batch}_dim_product p ON f.product_id = p.product_id
-            JOIN gold_{batch}_dim_customer c ON f.customer_id = c.customer_id
-            JOIN gold_{batch}_dim_shipper s ON f.shipper_id = s.shipper_id""",
+        f"""SELECT * FROM gold_{batch}_fact_sales
+            JOIN (SELECT product_id, product_name, category_id FROM gold_{batch}_dim_product) USING (product_id)
+            JOIN (SELECT customer_id, city FROM gold_{batch}_dim_customer) USING (customer_id)
+            JOIN gold_{batch}_dim_shipper USING (shipper_id)""",
     )
     publish.switch_pointer(spark, f"{out}/gold", batch)
     return Batch(batch, publish.batch_summary(batch, silver, star["fact_sales"]), view)

@@ -8,7 +8,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from granary.contracts import ORDER_FIELDS
+from granary.contracts import OPERATIONAL_TABLES, ORDER_FIELDS
 from granary.operators.keys import file_positions
 from granary.plans import bronze, medallion
 from granary.sources import files, office, tables
@@ -183,3 +183,12 @@ def test_positions_are_plain_counts(spark, tmp_path):
     path.write_text("\n".join(json.dumps({"order_id": str(i)}) + "\n" for i in range(1, 21)))
     rows = file_positions(files.jsonl_records(spark, str(path), ["order_id"])).orderBy("bronze_id").collect()
     assert [int(r.order_id) for r in rows] == [r.source_row for r in rows] == list(range(1, 21))
+
+
+def test_all_operational_tables_are_snapshotted(spark, tmp_path):
+    for number, source in enumerate(OPERATIONAL_TABLES.values(), start=1):
+        spark.range(number).write.parquet(str(tmp_path / source))
+    taken = bronze.operational_snapshots(spark, str(tmp_path), datetime(2026, 1, 1))
+    assert {name: frame.count() for name, frame in taken.items()} == {
+        f"bronze_{name}": number for number, name in enumerate(OPERATIONAL_TABLES, start=1)
+    }
