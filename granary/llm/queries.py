@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import mixing, quality_rules, sharding
+from granary.llm import mixing, quality_rules, sharding, token_counts
 from granary.llm.registry import ORACLE, QUERIES, query
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -84,3 +84,12 @@ def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.decide(docs, mixing.plan(docs)).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
     )
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")

@@ -11,6 +11,9 @@ from granary.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# documents may be long, so few go to a Python worker at once
+ARROW_ROWS = "512"
+
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
@@ -21,7 +24,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         @wraps(function)
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return function(tune(spark), folder.rstrip("/"))
+            tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+            return function(spark, folder.rstrip("/"))
 
         if name in QUERIES:
             raise KeyError(f"query registered twice: {name}")
