@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import mixing, quality_rules, sharding, token_counts
+from granary.llm import mixing, quality_rules, secret_scan, sharding, token_counts
 from granary.llm.registry import ORACLE, QUERIES, query
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -93,3 +93,22 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def _joined(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query("op6_secret_scan")
+def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: ~s["linked"])
+    return found.select(
+        "doc_id",
+        *[
+            F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+            for kind in ("assign", "access", "hex")
+        ],
+        F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"),
+        _joined(F.col("spans")).alias("spans"),
+    )
