@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import chat_format, mixing, quality_rules, secret_scan, sharding, token_counts
+from granary.llm import chat_format, mixing, quality_rules, secret_scan, sharding, simhash, token_counts
 from granary.llm.registry import ORACLE, QUERIES, query
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -120,3 +120,8 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
     return chat_format.read_back(chat_format.format_conversations(turns.union(added)))
+
+
+@query("op7_simhash_dedup")
+def op7_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
