@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import chat_format, mixing, quality_rules, secret_scan, sharding, simhash, token_counts
+from granary.llm import (
+    chat_format,
+    mixing,
+    pu_classifier,
+    quality_rules,
+    secret_scan,
+    sharding,
+    simhash,
+    token_counts,
+)
 from granary.llm.registry import ORACLE, QUERIES, query
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -125,3 +134,10 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_simhash_dedup")
 def op7_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op10_quality_classifier")
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    network = pu_classifier.fit(docs, table(spark, folder, "labels").select("doc_id", "quality"))
+    return pu_classifier.score(docs, network).select("doc_id", "held_out", "score", "predicted")
