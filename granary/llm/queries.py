@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from granary.llm import (
     chat_format,
+    decontaminate,
     mixing,
     pu_classifier,
     quality_rules,
@@ -141,3 +142,9 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     network = pu_classifier.fit(docs, table(spark, folder, "labels").select("doc_id", "quality"))
     return pu_classifier.score(docs, network).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op1_decontamination")
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    items = decontaminate.question_and_answer(table(spark, folder, "benchmark"))
+    return decontaminate.find_leaks(table(spark, folder, "documents").select("doc_id", "text"), items)
