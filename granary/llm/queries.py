@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from granary.llm import (
     chat_format,
     decontaminate,
+    html_extract,
     mixing,
     pu_classifier,
     quality_rules,
@@ -148,3 +149,9 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     items = decontaminate.question_and_answer(table(spark, folder, "benchmark"))
     return decontaminate.find_leaks(table(spark, folder, "documents").select("doc_id", "text"), items)
+
+
+@query("op8_html_extract")
+def op8_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", "text", "n_chars", "n_shared")
