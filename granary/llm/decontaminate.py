@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from granary import session
 from granary.llm import text as T
-from granary.llm.frames import without
+from granary.llm.frames import shielded, without
 
 SEGMENT = 64
 SHINGLE = 5
@@ -332,6 +332,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", id_column:
     return found
 
 
+@shielded
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a verified item."""
     spark, columns = docs.sparkSession, docs.columns

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from granary import session
 from granary.llm import text as T
-from granary.llm.frames import without
+from granary.llm.frames import shielded, without
 
 WEIGHTS = (3, 1, 2)
 SHARE = Fraction(3, 2)
@@ -232,8 +232,8 @@ def plan(
     return Mix(sources, picked, seed, shards, text, id_column, source, few)
 
 
-def decide(docs: DataFrame, mix: Mix) -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target`` and ``copies``, and where the copies lie in the mix."""
+def _decided(docs: DataFrame, mix: Mix) -> DataFrame:
+    """``docs`` with the decisions, and where the copies lie in the mix."""
     docs = without(docs, *(set(ADDED) - {mix.text, mix.id_column, mix.source}))
     sources = mix.sources.withColumnRenamed("_source", "_its_source")
     picked = mix.picked.select(F.col("_source").alias("_picked_source"), F.col("_unit").alias("_picked_unit"))
@@ -262,13 +262,20 @@ def decide(docs: DataFrame, mix: Mix) -> DataFrame:
     ).select(*docs.columns, *ADDED, "_unit", "_position", "_last", "_passes", "_bits", "_ends")
 
 
+@shielded
+def decide(docs: DataFrame, mix: Mix) -> DataFrame:
+    """``docs`` with ``size``, ``source_size``, ``target`` and ``copies``."""
+    return _decided(docs, mix).drop("_unit", "_position", "_last", "_passes", "_bits", "_ends")
+
+
+@shielded
 def mixed(docs: DataFrame, mix: Mix) -> DataFrame:
     """The mix itself: a row per copy taken, with ``copy``, ``shard`` and a ``place`` that shuffles the shard."""
     docs = without(docs, "copy", "shard", "place")
     last = F.col("copy") == F.col("_passes")
     place = F.col("copy") * F.expr("shiftleft(1L, _bits)") + F.when(last, F.col("_last")).otherwise(F.col("_position"))
     return (
-        decide(docs, mix)
+        _decided(docs, mix)
         .where("copies > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
         .withColumn("_block", place)

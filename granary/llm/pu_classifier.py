@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm import text as T
-from granary.llm.frames import without
+from granary.llm.frames import shielded, without
 
 POSITIVES = 16_000
 UNLABELLED = 24_000
@@ -215,6 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_column: str =
     return Network(unlabelled).train(positive, unlabelled, class_prior(positive, unlabelled))
 
 
+@shielded
 def score(docs: DataFrame, network: Network | None, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """``docs`` with ``held_out``, ``score`` and ``predicted``."""
     docs = without(docs, *({"held_out", "score", "predicted"} - {text, id_column}))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm import text as T
+from granary.llm.frames import shielded, without
 
 WINDOW = 5
 
@@ -140,8 +141,10 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
 
 
+@shielded
 def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with measures, ``broken_rules``, ``base_failed`` and ``kept``."""
+    docs = without(docs, *({"broken_rules", "base_failed", "kept"} - {text}))
     return measures(docs, text).withColumns({"broken_rules": compiled(rules), "base_failed": base_failed()}).withColumn(
         "kept", ~F.col("base_failed") & (F.size("broken_rules") == 0)
     )

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.llm import text as T
-from granary.llm.frames import without
+from granary.llm.frames import shielded, without
 
 HEAVY = 4096
 BUNDLES = 32_768
@@ -55,6 +55,7 @@ def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+@shielded
 def shard(docs: DataFrame, shards: int = 8, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """``docs`` with ``size``, ``text_crc32``, ``shard`` (0 .. shards-1) and ``slot`` (gapless from 0 in a shard)."""
     spark = docs.sparkSession

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from granary import session
 from granary.llm import text as T
 from granary.llm.components import components
-from granary.llm.frames import without
+from granary.llm.frames import shielded, without
 
 SHINGLE = 4
 RADIUS = 4
@@ -230,6 +230,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     )
 
 
+@shielded
 def deduplicate(docs: DataFrame, text: str = "text", id_column: str = "doc_id", radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each component: the smallest id's, the first of them if that repeats."""
     columns = docs.columns

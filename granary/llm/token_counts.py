@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm import text as T
-from granary.llm.frames import without
+from granary.llm.frames import shielded, without
 
 FREQUENT = 65_536
 SAMPLE_TEXTS = 4_000
@@ -160,6 +160,7 @@ def frequent_table(texts: DataFrame, tokenizer: str) -> tuple[str, bytes, bytes]
     return "".join(tokens), ends.tobytes(), array("H", map(len, encoded)).tobytes()
 
 
+@shielded
 def count_tokens(docs: DataFrame, tokenizer_file: str, text: str = "text", limit: int = 1024) -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_tokens`` and ``over_limit``."""
     spark = docs.sparkSession
