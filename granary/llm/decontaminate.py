@@ -352,6 +352,6 @@ def question_and_answer(items: DataFrame, text: str = "text") -> DataFrame:
     split = whole.rlike(both)
     return items.select(
         "item_id",
-        F.when(split, F.regexp_extract(whole, both, 1)).otherwise(whole).alias("question"),
+        F.when(split, F.btrim(F.regexp_extract(whole, both, 1), F.lit(T.SPACES))).otherwise(whole).alias("question"),
         F.when(split, F.regexp_extract(whole, both, 2)).otherwise(F.lit("")).alias("answer"),
     )

@@ -81,12 +81,13 @@ class Lookup:
             start = end
         self.known = dict(self.frequent)
 
-    def learn(self, missing: list[str]) -> dict[str, int]:
-        """Encode pre-tokens not met before; the long ones are returned but not kept."""
-        if len(self.known) + len(missing) > FREQUENT + CACHED:
+    def learn(self, tokens: set[str]) -> dict[str, int]:
+        """Encode the pre-tokens not known; the long ones are returned, the rest kept."""
+        if len(self.known) + len(tokens) > FREQUENT + CACHED:
             self.known = dict(self.frequent)
+        missing = [token for token in tokens if token not in self.known]
         encoded = self.library.encode_batch(missing, add_special_tokens=False)
-        passing = {}
+        passing: dict[str, int] = {}
         for token, found in zip(missing, encoded):
             odd = not token.isascii() and any(unicodedata.category(c) == "Cn" for c in token)
             kept = self.known if len(token) <= LONGEST_CACHED else passing
@@ -102,10 +103,7 @@ class Lookup:
             try:
                 total += sum(map(self.known.__getitem__, tokens))
             except KeyError:
-                passing = self.learn([token for token in set(tokens) if token not in self.known])
-                # known may have been emptied of what this piece shares with earlier ones
-                again = [token for token in set(tokens) if token not in self.known and token not in passing]
-                passing |= self.learn(again) if again else {}
+                passing = self.learn(set(tokens))
                 known = self.known | passing if passing else self.known
                 total += sum(map(known.__getitem__, tokens))
         return total if total < ODD else len(self.library.encode(text, add_special_tokens=False))
