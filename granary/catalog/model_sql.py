@@ -9,6 +9,14 @@ import re
 
 LINE_ORDER = "order_id, line_number, product_id, supplier_id, ship_date, raw_price"
 
+
+
+def padded(number: str, width: int) -> str:
+    """SQL of a number with leading zeros up to ``width``; a longer one stays whole."""
+    digits = f"CAST({number} AS VARCHAR)"
+    return f"CASE WHEN length({digits}) < {width} THEN lpad({digits}, {width}, '0') ELSE {digits} END"
+
+
 MODEL = {
     "lines": """
         SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line_number, l_partkey AS product_id,
@@ -41,15 +49,15 @@ MODEL = {
         JOIN (SELECT product_id, product_name, category_id FROM products) USING (product_id)
         JOIN (SELECT customer_id, city FROM people) USING (customer_id)
         JOIN shippers USING (shipper_id)""",
-    "raw": """
+    "raw": f"""
         SELECT CASE WHEN l.product_id % 11 = 0 THEN '  '
-                    ELSE 'ORD' || lpad(CAST(l.order_id AS VARCHAR), 8, '0') END AS order_id,
+                    ELSE 'ORD' || {padded("l.order_id", 8)} END AS order_id,
                strftime(o_orderdate, '%Y-%m-%d') AS order_date,
-               'CUS' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS customer_id,
+               'CUS' || {padded("c_custkey", 8)} AS customer_id,
                '  ' || c_name || ' ' AS customer_name,
                ' User' || c_custkey || '@Example.COM ' AS customer_email,
-               '08' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') || '  ' AS customer_phone,
-               'P' || lpad(CAST(l.product_id AS VARCHAR), 8, '0') AS product_id,
+               '08' || {padded("c_custkey", 8)} || '  ' AS customer_phone,
+               'P' || {padded("l.product_id", 8)} AS product_id,
                ' ' || p_name || ' ' AS product_name, p_type || ' ' AS category,
                CAST(l.quantity AS VARCHAR) AS quantity, CAST(l.unit_price AS VARCHAR) AS unit_price,
                CAST(CAST(l.discount * 100 AS DECIMAL(6,2)) AS VARCHAR) AS discount_pct,
@@ -69,13 +77,14 @@ MODEL = {
                  ELSE quantity END AS quantity,
             CASE line_number WHEN 4 THEN unit_price || 'x' WHEN 5 THEN 'NaN' WHEN 6 THEN unit_price || '5'
                  ELSE unit_price END AS unit_price,
+            CASE line_number WHEN 2 THEN '100' ELSE discount_pct END AS discount_pct,
             CASE line_number WHEN 7 THEN 'not a date' ELSE order_date END AS order_date)
         FROM raw""",
     "silver": """
         SELECT * EXCLUDE (line_number, bronze_id, at_order_id) REPLACE (
             CAST(order_date AS DATE) AS order_date, CAST(quantity AS BIGINT) AS quantity,
             CAST(unit_price AS DECIMAL(18,2)) AS unit_price, CAST(total_amount AS DECIMAL(18,2)) AS total_amount,
-            CAST(discount_pct AS DECIMAL(6,4)) AS discount_pct, lower(trim(customer_email)) AS customer_email,
+            CAST(discount_pct AS DECIMAL(7,4)) AS discount_pct, lower(trim(customer_email)) AS customer_email,
             trim(customer_name) AS customer_name, trim(customer_phone) AS customer_phone,
             trim(product_name) AS product_name, trim(category) AS category, trim(province) AS province,
             trim(payment_method) AS payment_method, trim(shipping_status) AS shipping_status)
@@ -140,9 +149,9 @@ MODEL = {
         SELECT product_id, CAST(created_at AS DATE) AS day, CAST(sum(change_quantity) AS BIGINT) AS change,
                CAST(sum(CASE WHEN log_type = 'outbound' THEN -change_quantity ELSE 0 END) AS BIGINT) AS outbound
         FROM log GROUP BY ALL""",
-    "parcels": """
+    "parcels": f"""
         SELECT o_orderkey AS shipment_id, o_orderkey AS order_id,
-               'TH' || lpad(CAST(o_orderkey AS VARCHAR), 14, '0') AS tracking_number,
+               'TH' || {padded("o_orderkey", 14)} AS tracking_number,
                CASE o_orderkey % 6 WHEN 0 THEN 'Kerry Express' WHEN 1 THEN 'Flash Express' WHEN 2 THEN 'EMS Thailand'
                     WHEN 3 THEN 'J&T Express' WHEN 4 THEN 'DHL Express' ELSE 'Ninja Van' END AS carrier,
                CAST(CASE o_orderkey % 6 WHEN 0 THEN 0 WHEN 1 THEN 50 WHEN 2 THEN 80 WHEN 3 THEN 100 WHEN 4 THEN 150

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from granary.catalog.model_sql import padded
 from granary.catalog.registry import query
 from granary.contracts import coupon_table
 from granary.functions import payload
@@ -451,10 +452,10 @@ def _draw_sql(field: str, key: str, n: str) -> str:
 
 @query(
     "gen_order_lines",
-    f"""SELECT 'ORD' || lpad(CAST(id AS VARCHAR), 8, '0') AS order_id, order_date,
-               'CUS' || lpad(CAST(id AS VARCHAR), 8, '0') AS customer_id, 'ลูกค้า ' || id AS customer_name,
+    f"""SELECT 'ORD' || {padded("id", 8)} AS order_id, order_date,
+               'CUS' || {padded("id", 8)} AS customer_id, 'ลูกค้า ' || id AS customer_name,
                'customer' || id || '@example.com' AS customer_email,
-               '08' || lpad(CAST(phone AS VARCHAR), 8, '0') AS customer_phone, product_id, product_name, category,
+               '08' || {padded("phone", 8)} AS customer_phone, product_id, product_name, category,
                quantity, unit_price, discount_pct, payment_method, shipping_status, province,
                CAST(quantity * unit_price * (100 - discount_pct) * 0.01 AS DECIMAL(18,2)) AS total_amount
         FROM (SELECT o_orderkey AS id,
@@ -468,13 +469,13 @@ def _draw_sql(field: str, key: str, n: str) -> str:
                                   {_draw_sql("payment", "o_orderkey", "4")} + 1) AS payment_method,
                      list_extract(['จัดส่งแล้ว', 'กำลังจัดส่ง', 'รอดำเนินการ', 'ส่งสำเร็จ'],
                                   {_draw_sql("shipping", "o_orderkey", "4")} + 1) AS shipping_status,
-                     list_extract(['กรุงเทพมหานคร', 'นนทบุรี', 'สมุทรปราการ', 'ปทุมธานี', 'ชลบุรี', 'พระนครศรีอยุธยา'],
-                                  {_draw_sql("province", "o_orderkey", "6")} + 1) AS province,
+                     {_draw_sql("province", "o_orderkey", "(SELECT count(*) FROM nation)")} AS place,
                      {_draw_sql("phone", "o_orderkey", "100000000")} AS phone
               FROM orders)
         JOIN (SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
                      CAST(p_retailprice AS DECIMAL(18,2)) AS unit_price,
-                     row_number() OVER (ORDER BY p_partkey) - 1 AS n FROM part) USING (n)""",
+                     row_number() OVER (ORDER BY p_partkey) - 1 AS n FROM part) USING (n)
+        JOIN (SELECT n_name AS province, row_number() OVER (ORDER BY n_name) - 1 AS place FROM nation) USING (place)""",
 )
 def gen_order_lines(spark, folder):
     """One generated line per order of the table, from its product catalogue."""
@@ -483,7 +484,7 @@ def gen_order_lines(spark, folder):
         F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"), F.col("p_type").alias("category"),
         F.col("p_retailprice").cast("decimal(18,2)").alias("unit_price"),
     )
-    return generate.order_lines(ids, products, GENERATOR_SEED, "2026-09-22")
+    return generate.order_lines(ids, products, GENERATOR_SEED, "2026-09-22", sample.provinces(spark, folder))
 
 
 @query(

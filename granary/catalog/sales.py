@@ -53,10 +53,11 @@ def dim_date_iso(spark, folder):
     return gold.dim_date_iso(sample.orders(spark, folder))
 
 
-@query("sales_dashboard", "SELECT * FROM dashboard")
+@query("sales_dashboard", "SELECT * EXCLUDE (line_id) FROM dashboard")
 def sales_dashboard(spark, folder):
+    """The published view; lines are numbered when they are loaded, not when they are read."""
     return gold.sales_dashboard(
-        fact_sales(spark, folder),
+        _sales(spark, folder),
         sample.products(spark, folder),
         sample.customers(spark, folder),
         sample.shippers(spark, folder),
@@ -82,7 +83,7 @@ def kpi_units(spark, folder):
 @query(
     "daily_revenue",
     "SELECT order_date, CAST(sum(net_revenue) AS DECIMAL(18,2)) AS revenue FROM dashboard "
-    "GROUP BY order_date ORDER BY revenue DESC, order_date LIMIT 10000",
+    "GROUP BY order_date ORDER BY revenue DESC, order_date",
 )
 def daily_revenue(spark, folder):
     return kpi.daily_revenue(_sales(spark, folder))
@@ -91,7 +92,7 @@ def daily_revenue(spark, folder):
 @query(
     "revenue_by_shipper",
     "SELECT shipper_name, CAST(sum(net_revenue) AS DECIMAL(18,2)) AS revenue FROM dashboard "
-    "GROUP BY shipper_name ORDER BY revenue DESC, shipper_name LIMIT 10000",
+    "GROUP BY shipper_name ORDER BY revenue DESC, shipper_name",
 )
 def revenue_by_shipper(spark, folder):
     return kpi.revenue_by_shipper(_sales(spark, folder), sample.shippers(spark, folder))
@@ -106,6 +107,16 @@ def top_products(spark, folder):
     return kpi.top_products(_sales(spark, folder), sample.products(spark, folder))
 
 
+@query(
+    "chart_row_limit",
+    "SELECT product_id, order_date, CAST(sum(net_revenue) AS DECIMAL(18,2)) AS revenue FROM dashboard "
+    "GROUP BY ALL ORDER BY revenue DESC, product_id, order_date LIMIT 10000",
+)
+def chart_row_limit(spark, folder):
+    """A chart with more groups than the chart's own row limit."""
+    return kpi.chart(_sales(spark, folder), "revenue", ("product_id",), "day", kpi.CHART_ROW_LIMIT)
+
+
 @query(
     "kpi_smoke",
     """SELECT 'Net Revenue (THB)' AS chart, CAST(1 AS BIGINT) AS rows FROM (SELECT count(*) FROM dashboard)

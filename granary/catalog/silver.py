@@ -46,7 +46,7 @@ def silver_clean(spark, folder):
     """SELECT order_id, line_number, try_cast(order_date AS DATE) AS order_date,
               CAST(trunc(try_cast(trim(quantity) AS DECIMAL(38,6))) AS BIGINT) AS quantity,
               try_cast(unit_price AS DECIMAL(18,2)) AS unit_price,
-              try_cast(discount_pct AS DECIMAL(6,4)) AS discount_pct,
+              try_cast(discount_pct AS DECIMAL(7,4)) AS discount_pct,
               try_cast(total_amount AS DECIMAL(18,2)) AS total_amount
        FROM damaged""",
 )

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
 FRACTION = "decimal(6,4)"
+PERCENT = "decimal(7,4)"
 PRICE = "decimal(10,2)"
 MARGIN = "decimal(10,4)"
 

@@ -50,6 +50,12 @@ def same_ignoring_case(left: ColumnOrName, right: ColumnOrName) -> Column:
     return F.lower(_col(left)) == F.lower(strip_whitespace(right))
 
 
+def zero_padded(value: ColumnOrName, width: int) -> Column:
+    """Number as text with leading zeros up to ``width``; a longer one stays whole."""
+    digits = _col(value).cast("string")
+    return F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
+
+
 def text_or_dash(value: ColumnOrName) -> Column:
     return F.coalesce(F.nullif(_col(value), F.lit("")), F.lit("-"))
 

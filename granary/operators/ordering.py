@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from granary.session import stage
 
-HOT_ROWS = 10_000_000
 _POSITION_BITS = 33  # layout of monotonically_increasing_id
 
 
@@ -48,11 +47,6 @@ def dense_number(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return numbered.withColumn(name, F.col("_at") - F.col("_first") + F.col("_offset") + 1).select(*df.columns, name)
 
 
-def hot_keys(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
-    """Keys that hold more than ``limit`` rows; counted map-side first."""
-    return df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit).select(*keys)
-
-
 def _same_keys(keys: list[str], left: str, right: str) -> Column:
     condition = F.lit(True)
     for key in keys:
@@ -60,12 +54,12 @@ def _same_keys(keys: list[str], left: str, right: str) -> Column:
     return condition
 
 
-def _running_by_window(df: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(name, F.sum(value).over(window))
-
+def running_total(df: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    """Running sum of ``value`` per key along a total order.
 
-def _running_by_slices(df: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    The rows are cut into range slices on key and order, so a key of any size
+    spreads over many tasks; each slice adds what the key summed up to before.
+    """
     slices = ordered_slices(df, [*keys, *order], name)
     sums = slices.groupBy("_slice", *keys).agg(F.sum(value).alias("_sum"))
     carry = sums.select("_slice", *keys, _before("_sum", "_slice", keys).alias("_carry"))
@@ -79,31 +73,3 @@ def _running_by_slices(df: DataFrame, keys: list[str], order: list[str], value:
         .withColumn(name, F.sum(value).over(inside) + F.col("_carry"))
         .select(*df.columns, name)
     )
-
-
-def running_total(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    value: str,
-    name: str,
-    hot_rows: int = HOT_ROWS,
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """Running sum of ``value`` per key along a total order.
-
-    Keys of ordinary size take the plain window. Keys with more than
-    ``hot_rows`` rows are cut into range slices, so no task holds such a key
-    whole. The result is the same either way. A caller that knows the hot keys
-    already passes them as ``hot`` and saves the counting pass.
-    """
-    if hot is None:
-        hot = stage(hot_keys(df, keys, hot_rows), "hot-keys")
-    if hot.isEmpty():
-        return _running_by_window(df, keys, order, value, name)
-    same = _same_keys(keys, "l", "r")
-    ordinary = df.alias("l").join(hot.alias("r"), same, "left_anti")
-    large = df.alias("l").join(hot.alias("r"), same, "left_semi")
-    return _running_by_window(ordinary, keys, order, value, name).unionByName(
-        _running_by_slices(large, keys, order, value, name)
-    )

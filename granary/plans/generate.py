@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.contracts import CARRIERS, MONEY, PRICE, SHIPPING_COSTS
+from granary.functions import text
 from granary.operators.ordering import dense_number
 
 # ---------------------------------------------------------------- fixed values
@@ -23,7 +24,6 @@ QUANTITY_WEIGHTS = [(1, 60), (2, 30), (3, 10)]
 PAYMENT_WEIGHTS = [("promptpay", 50), ("credit", 30), ("cod", 20)]
 ORDER_DISCOUNTS = [(0, 40), (5, 30), (10, 20), (15, 10)]
 DISCOUNT_FROM = 1000
-PROVINCES = ["กรุงเทพมหานคร", "นนทบุรี", "สมุทรปราการ", "ปทุมธานี", "ชลบุรี", "พระนครศรีอยุธยา"]
 # ------------------------------------------------------------ end fixed values
 
 
@@ -47,19 +47,23 @@ def weighted(pairs: Iterable[tuple], picked: Column) -> Column:
     return result
 
 
-def numbered_catalogue(products: DataFrame) -> DataFrame:
-    """Products with a position 0..n-1 to draw from."""
-    numbered = dense_number(products, ["product_id"], "_n")
-    return numbered.withColumn("_n", F.col("_n") - 1)
+def numbered_catalogue(rows: DataFrame, key: str = "product_id", name: str = "_n") -> DataFrame:
+    """Rows with a position 0..n-1 to draw from."""
+    return dense_number(rows, [key], name).withColumn(name, F.col(name) - 1)
 
 
-def order_lines(ids: DataFrame, products: DataFrame, seed: int, last_day: str) -> DataFrame:
+def order_lines(
+    ids: DataFrame, products: DataFrame, seed: int, last_day: str, provinces: DataFrame | None = None
+) -> DataFrame:
     """One landing-file order line per id.
 
-    ``products`` needs ``product_id, product_name, category, unit_price``.
+    ``products`` needs ``product_id, product_name, category, unit_price`` and
+    ``provinces`` one column ``province``; without it the field is NULL.
     """
     catalogue = numbered_catalogue(products)
     size = products.count()
+    places = None if provinces is None else numbered_catalogue(provinces, "province", "_place")
+    place_count = 1 if provinces is None else provinces.count()
     key = F.col("id")
     drawn = ids.select(
         "id",
@@ -69,18 +73,22 @@ def order_lines(ids: DataFrame, products: DataFrame, seed: int, last_day: str) -
         F.date_sub(F.lit(last_day).cast("date"), draw(seed, "day", key, 366).cast("int")).alias("order_date"),
         choice(GENERATED_PAYMENTS, draw(seed, "payment", key, 4)).alias("payment_method"),
         choice(GENERATED_SHIPPING, draw(seed, "shipping", key, 4)).alias("shipping_status"),
-        choice(PROVINCES, draw(seed, "province", key, len(PROVINCES))).alias("province"),
+        draw(seed, "province", key, place_count).alias("_place"),
         draw(seed, "phone", key, 100_000_000).cast("string").alias("_phone"),
     )
     amount = F.col("quantity") * F.col("unit_price") * (F.lit(100) - F.col("discount_pct")) * F.expr("0.01BD")
     number = F.col("id").cast("string")
+    if places is None:
+        drawn = drawn.withColumn("province", F.lit(None).cast("string"))
+    else:
+        drawn = drawn.join(places, "_place")
     return drawn.join(catalogue, "_n").select(
-        F.concat(F.lit("ORD"), F.lpad(number, 8, "0")).alias("order_id"),
+        F.concat(F.lit("ORD"), text.zero_padded(number, 8)).alias("order_id"),
         "order_date",
-        F.concat(F.lit("CUS"), F.lpad(number, 8, "0")).alias("customer_id"),
+        F.concat(F.lit("CUS"), text.zero_padded(number, 8)).alias("customer_id"),
         F.concat(F.lit("ลูกค้า "), number).alias("customer_name"),
         F.concat(F.lit("customer"), number, F.lit("@example.com")).alias("customer_email"),
-        F.concat(F.lit("08"), F.lpad("_phone", 8, "0")).alias("customer_phone"),
+        F.concat(F.lit("08"), text.zero_padded("_phone", 8)).alias("customer_phone"),
         "product_id",
         "product_name",
         "category",

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions import dates, text
-from granary.operators.ordering import HOT_ROWS, running_total
-from granary.session import stage
+from granary.operators.ordering import running_total
 
 
 def stock_levels(log: DataFrame) -> DataFrame:
@@ -32,9 +31,9 @@ def inventory_stats(levels: DataFrame) -> DataFrame:
     )
 
 
-def running_balance(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def running_balance(log: DataFrame) -> DataFrame:
     """Stock of the product after each movement."""
-    return running_total(log, ["product_id"], ["created_at", "log_id"], "change_quantity", "balance", hot_rows)
+    return running_total(log, ["product_id"], ["created_at", "log_id"], "change_quantity", "balance")
 
 
 def recent_log(log: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
@@ -131,8 +130,7 @@ def outbound_from_sales(items: DataFrame) -> DataFrame:
     )
 
 
-def oversell_report(demand: DataFrame, stock: DataFrame, order: list[str], day: str = "order_date",
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
+def oversell_report(demand: DataFrame, stock: DataFrame, order: list[str], day: str = "order_date") -> DataFrame:
     """First order line per product at which demand so far exceeds the stock.
 
     Daily totals find the day of the breach; only that day's lines are then
@@ -140,25 +138,19 @@ def oversell_report(demand: DataFrame, stock: DataFrame, order: list[str], day:
     is the total order of a product's lines within a day and holds ``order_id``.
     """
     daily = demand.groupBy("product_id", F.col(day).alias("_day")).agg(
-        F.sum("quantity").alias("_ordered"), F.count("*").alias("_lines")
+        F.sum("quantity").alias("_ordered")
     )
     by_day = Window.partitionBy("product_id").orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
     so_far = daily.withColumn("_so_far", F.sum("_ordered").over(by_day)).join(stock, "product_id")
     over = so_far.filter(F.col("_so_far") > F.col("stock"))
     breach = over.groupBy("product_id", "stock").agg(
-        F.min(F.struct("_day", (F.col("_so_far") - F.col("_ordered")).alias("_before"), "_lines")).alias("_first")
+        F.min(F.struct("_day", (F.col("_so_far") - F.col("_ordered")).alias("_before"))).alias("_first")
     )
-    # at most one row per product, read twice below
-    days = stage(
-        breach.select(
-            "product_id", "stock", F.col("_first._day").alias(day), F.col("_first._before").alias("_before"),
-            F.col("_first._lines").alias("_lines"),
-        ),
-        "breach-days",
+    days = breach.select(
+        "product_id", "stock", F.col("_first._day").alias(day), F.col("_first._before").alias("_before")
     )
-    hot = days.filter(F.col("_lines") > hot_rows).select("product_id")
-    lines = demand.join(days.drop("_lines"), ["product_id", day])
-    walked = running_total(lines, ["product_id"], order, "quantity", "_here", hot=hot)
+    lines = demand.join(days, ["product_id", day])
+    walked = running_total(lines, ["product_id"], order, "quantity", "_here")
     reached = walked.withColumn("demand", (F.col("_before") + F.col("_here")).cast("bigint")).filter("demand > stock")
     first = F.min(F.struct(*order, "demand")).alias("_line")
     return reached.groupBy("product_id", "stock").agg(first).select(

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from granary.contracts import MONEY
 
-ROW_LIMIT = 10_000
+# the saved charts ask for at most this many rows
+CHART_ROW_LIMIT = 10_000
 
 
 def metric(name: str) -> Column:
@@ -22,11 +23,11 @@ def metric(name: str) -> Column:
 
 
 def chart(sales: DataFrame, name: str, columns: tuple[str, ...] = (), grain: str | None = None,
-          limit: int = ROW_LIMIT) -> DataFrame:
+          limit: int | None = None) -> DataFrame:
     """One metric by columns and, optionally, by day, week, month or year.
 
-    Highest values first; ties go by the grouping columns, so that the row
-    limit always cuts at the same place.
+    Highest values first; ties go by the grouping columns, so that a row limit
+    the caller passes always cuts at the same place.
     """
     groups = [F.col(c) for c in columns]
     if grain:
@@ -34,7 +35,8 @@ def chart(sales: DataFrame, name: str, columns: tuple[str, ...] = (), grain: str
     if not groups:
         return sales.agg(metric(name))
     ties = [*columns, *(["order_date"] if grain else [])]
-    return sales.groupBy(*groups).agg(metric(name)).orderBy(F.desc(name), *ties).limit(limit)
+    ranked = sales.groupBy(*groups).agg(metric(name)).orderBy(F.desc(name), *ties)
+    return ranked if limit is None else ranked.limit(limit)
 
 
 def net_revenue(sales: DataFrame) -> DataFrame:
@@ -54,7 +56,7 @@ def daily_revenue(sales: DataFrame) -> DataFrame:
 
 
 def revenue_by_attribute(
-    sales: DataFrame, dim: DataFrame, key: str, attribute: str, limit: int = ROW_LIMIT
+    sales: DataFrame, dim: DataFrame, key: str, attribute: str, limit: int | None = None
 ) -> DataFrame:
     """Revenue by a dimension attribute, summed by key before the join.
 

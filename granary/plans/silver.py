@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.contracts import MONEY, PRICE
+from granary.contracts import MONEY, PERCENT, PRICE
 from granary.functions import dates, numbers, text
 from granary.operators.dedup import dedup_first
 
@@ -34,7 +34,7 @@ def typed(bronze: DataFrame) -> DataFrame:
             "order_date": numbers.lenient_date("order_date"),
             "quantity": numbers.lenient_long("quantity"),
             "unit_price": numbers.lenient_decimal("unit_price"),
-            "discount_pct": numbers.lenient_decimal("discount_pct", "decimal(6,4)"),
+            "discount_pct": numbers.lenient_decimal("discount_pct", PERCENT),
             "total_amount": numbers.lenient_decimal("total_amount"),
         }
     )
@@ -46,7 +46,7 @@ def cast_rejects(bronze: DataFrame, row_label: str = "bronze_id") -> DataFrame:
         "order_date": text.is_present("order_date") & numbers.lenient_date("order_date").isNull(),
         "quantity": text.is_present("quantity") & numbers.lenient_long("quantity").isNull(),
         "unit_price": numbers.is_bad_number("unit_price"),
-        "discount_pct": numbers.is_bad_number("discount_pct", "decimal(6,4)"),
+        "discount_pct": numbers.is_bad_number("discount_pct", PERCENT),
         "total_amount": numbers.is_bad_number("total_amount"),
     }
     entries = F.array(

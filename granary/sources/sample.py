@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.contracts import CARRIERS, FRACTION, MONEY, PRICE, SHIPPING_COSTS
-from granary.functions import numbers
+from granary.functions import numbers, text
 from granary.operators.ordering import dense_number
 
 # The line's own number does not identify it; these columns together do.
@@ -37,21 +37,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Shuffle a table by key if its files give fewer tasks than there are cores.
-
-    A small table in one file would otherwise be worked on by one core. A
-    large table has more splits than cores and is read as it lies.
-    """
-    if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism:
-        return df.repartition(key)
-    return df
-
-
 # ---------------------------------------------------------------- sales model
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines with the columns that fix their order."""
-    return spread(table(spark, folder, "lineitem"), "l_orderkey").select(
+    return table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").cast("bigint").alias("line_number"),
         F.col("l_partkey").alias("product_id"),
@@ -87,7 +76,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "orders").select(F.col("o_orderkey").alias("id")), "id")
+    return table(spark, folder, "orders").select(F.col("o_orderkey").alias("id"))
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -138,17 +127,17 @@ def customer_orders(spark: SparkSession, folder: str) -> DataFrame:
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(parts, "product_id")
     )
-    code = F.concat(F.lit("ORD"), F.lpad(F.col("order_id").cast("string"), 8, "0"))
+    code = F.concat(F.lit("ORD"), text.zero_padded("order_id", 8))
     total = numbers.net_revenue("quantity", "unit_price", "discount")
     key = F.col("c_custkey").cast("string")
     return flat.select(
         F.when(F.col("product_id") % 11 == 0, "  ").otherwise(code).alias("order_id"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
-        F.concat(F.lit("CUS"), F.lpad(key, 8, "0")).alias("customer_id"),
+        F.concat(F.lit("CUS"), text.zero_padded(key, 8)).alias("customer_id"),
         _padded(F.col("c_name"), "  ").alias("customer_name"),
         _padded(F.concat(F.lit("User"), key, F.lit("@Example.COM"))).alias("customer_email"),
-        _padded(F.concat(F.lit("08"), F.lpad(key, 8, "0")), "", "  ").alias("customer_phone"),
-        F.concat(F.lit("P"), F.lpad(F.col("product_id").cast("string"), 8, "0")).alias("product_id"),
+        _padded(F.concat(F.lit("08"), text.zero_padded(key, 8)), "", "  ").alias("customer_phone"),
+        F.concat(F.lit("P"), text.zero_padded("product_id", 8)).alias("product_id"),
         _padded(F.col("p_name")).alias("product_name"),
         _padded(F.col("p_type"), "").alias("category"),
         F.col("quantity").cast("string").alias("quantity"),
@@ -180,12 +169,17 @@ def damaged_orders(spark: SparkSession, folder: str) -> DataFrame:
             .when(line == 5, "NaN")
             .when(line == 6, F.concat("unit_price", F.lit("5")))
             .otherwise(F.col("unit_price")),
+            "discount_pct": F.when(line == 2, "100").otherwise(F.col("discount_pct")),
             "order_date": F.when(line == 7, "not a date").otherwise(F.col("order_date")),
         }
     )
 
 
 # ------------------------------------------------------------- operational model
+def provinces(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "nation").select(F.col("n_name").alias("province"))
+
+
 def order_header(spark: SparkSession, folder: str) -> DataFrame:
     """Order with status, payment method and the coupon code it names, if any."""
     status = F.col("o_orderstatus")
@@ -241,7 +235,7 @@ def shipments(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("shipment_id"),
         F.col("o_orderkey").alias("order_id"),
-        F.concat(F.lit("TH"), F.lpad(F.col("o_orderkey").cast("string"), 14, "0")).alias("tracking_number"),
+        F.concat(F.lit("TH"), text.zero_padded("o_orderkey", 14)).alias("tracking_number"),
         F.element_at(F.array(*[F.lit(c) for c in CARRIERS]), pick).alias("carrier"),
         F.element_at(F.array(*[F.lit(c) for c in SHIPPING_COSTS]), pick).cast(PRICE).alias("shipping_cost"),
         F.when(status == "F", "delivered").when(status == "O", "shipping").otherwise("preparing").alias("status"),
