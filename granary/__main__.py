@@ -41,6 +41,7 @@ def main() -> None:
     lines = jobs.add_parser("generate-lines", help="sample landing file (JSON Lines)")
     lines.add_argument("--records", type=int, default=10_000)
     lines.add_argument("--seed", type=int, default=20260922)
+    lines.add_argument("--provinces", help="Parquet with a column province to draw from")
 
     sale = jobs.add_parser("generate-orders", help="sample priced orders (Parquet)")
     sale.add_argument("--total", type=int, default=5_000_000)
@@ -60,7 +61,10 @@ def main() -> None:
         result.summary.show(truncate=False)
     elif args.job == "generate-lines":
         ids = spark.range(1, args.records + 1)
-        rows = generate.order_lines(ids, _catalogue(spark, args.products), args.seed, date.today().isoformat())
+        provinces = spark.read.parquet(args.provinces).select("province") if args.provinces else None
+        rows = generate.order_lines(
+            ids, _catalogue(spark, args.products), args.seed, date.today().isoformat(), provinces
+        )
         publish.export(rows, f"{args.out}/customer_orders.txt", "json")
     else:
         ids = spark.range(1, args.total + 1)

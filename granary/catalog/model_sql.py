@@ -17,6 +17,19 @@ def padded(number: str, width: int) -> str:
     return f"CASE WHEN length({digits}) < {width} THEN lpad({digits}, {width}, '0') ELSE {digits} END"
 
 
+def _priced(applied: str) -> str:
+    """SQL of the priced baskets, given the table of the coupons they get."""
+    return f"""
+        SELECT b.order_id, b.customer_id, b.order_date, b.order_status, b.payment_method, b.subtotal,
+               a.code AS coupon,
+               CAST(coalesce(a.exact, 0) AS DECIMAL(18,2)) AS discount,
+               CAST(CAST(b.subtotal AS DECIMAL(24,6)) - coalesce(a.exact, 0) AS DECIMAL(18,2)) AS final_price,
+               CAST(CAST(b.subtotal AS DECIMAL(24,6)) - coalesce(a.exact, 0) + 50 AS DECIMAL(18,2))
+                   AS total_with_shipping,
+               CAST(floor((CAST(b.subtotal AS DECIMAL(24,6)) - coalesce(a.exact, 0)) * 0.01) AS BIGINT) AS points
+        FROM baskets b LEFT JOIN {applied} a ON b.order_id = a.order_id"""
+
+
 MODEL = {
     "lines": """
         SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line_number, l_partkey AS product_id,
@@ -113,25 +126,20 @@ MODEL = {
             ('PCT20', 'percentage', CAST(20 AS DECIMAL(10,2)), CAST(15000 AS DECIMAL(10,2)),
              DATE '1998-01-01', DATE '2001-12-31'))
         AS t(code, discount_type, value, min_purchase, start_date, end_date)""",
-    "eligible": """
+    "offered": """
         SELECT b.order_id, b.subtotal, b.wanted, c.code, c.discount_type,
                least(CASE c.discount_type WHEN 'percentage' THEN CAST(b.subtotal * c.value * 0.01 AS DECIMAL(24,6))
                      ELSE CAST(c.value AS DECIMAL(24,6)) END, CAST(b.subtotal AS DECIMAL(24,6))) AS exact
         FROM baskets b JOIN coupons c ON b.order_date BETWEEN c.start_date AND c.end_date
         WHERE b.subtotal >= c.min_purchase""",
-    "applied": """
+    "eligible": "SELECT * FROM offered WHERE wanted = code",
+    "applied": "SELECT order_id, code, exact FROM eligible",
+    "applied_auto": """
         SELECT order_id, code, exact FROM (
             SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY exact DESC, code) AS rank
-            FROM eligible WHERE wanted IS NULL OR wanted = code) WHERE rank = 1""",
-    "priced": """
-        SELECT b.order_id, b.customer_id, b.order_date, b.order_status, b.payment_method, b.subtotal,
-               a.code AS coupon,
-               CAST(coalesce(a.exact, 0) AS DECIMAL(18,2)) AS discount,
-               CAST(CAST(b.subtotal AS DECIMAL(24,6)) - coalesce(a.exact, 0) AS DECIMAL(18,2)) AS final_price,
-               CAST(CAST(b.subtotal AS DECIMAL(24,6)) - coalesce(a.exact, 0) + 50 AS DECIMAL(18,2))
-                   AS total_with_shipping,
-               CAST(floor((CAST(b.subtotal AS DECIMAL(24,6)) - coalesce(a.exact, 0)) * 0.01) AS BIGINT) AS points
-        FROM baskets b LEFT JOIN applied a ON b.order_id = a.order_id""",
+            FROM offered WHERE wanted IS NULL OR wanted = code) WHERE rank = 1""",
+    "priced": _priced("applied"),
+    "priced_auto": _priced("applied_auto"),
     "log": """
         SELECT event_id AS log_id, user_id AS product_id, ts AS created_at,
                CASE WHEN event_type IN ('signup', 'click') THEN 'inbound'

@@ -40,7 +40,8 @@ def order_subtotals(spark, folder):
 
 @query(
     "coupon_validity_join",
-    """SELECT h.order_id, c.code FROM headers h JOIN coupons c ON h.order_date BETWEEN c.start_date AND c.end_date""",
+    """SELECT h.order_id, c.code FROM headers h JOIN coupons c ON h.wanted = c.code
+       WHERE h.order_date BETWEEN c.start_date AND c.end_date""",
 )
 def coupon_validity_join(spark, folder):
     return pricing.valid_coupons(sample.order_header(spark, folder), coupon_table(spark)).select("order_id", "code")
@@ -62,6 +63,18 @@ def priced_orders(spark, folder):
     )
 
 
+@query(
+    "priced_orders_auto",
+    "SELECT order_id, customer_id, order_date, subtotal, coupon, discount, final_price, total_with_shipping "
+    "FROM priced_auto",
+)
+def priced_orders_auto(spark, folder):
+    """Baskets that name no coupon get the best one in force."""
+    return pricing.priced(_baskets(spark, folder), coupon_table(spark), auto_apply=True).select(
+        "order_id", "customer_id", "order_date", "subtotal", "coupon", "discount", "final_price", "total_with_shipping"
+    )
+
+
 @query("applied_coupon", "SELECT order_id, coupon, discount FROM priced WHERE coupon IS NOT NULL")
 def applied_coupon(spark, folder):
     return _priced(spark, folder).filter("coupon is not null").select("order_id", "coupon", "discount")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.contracts import FLAT_SHIPPING, MONEY
@@ -16,78 +18,129 @@ def order_subtotals(items: DataFrame) -> DataFrame:
     return items.groupBy("order_id").agg(numbers.total(F.col("price") * F.col("quantity")).alias("subtotal"))
 
 
-def coupon_calendar(coupons: DataFrame) -> DataFrame:
-    """Active coupons of each day they are valid on, as one array per day.
+def _discount(subtotal: Column, kind: Column, value: Column) -> Column:
+    """Percentage of the subtotal or a fixed amount, never above the subtotal."""
+    percentage = (subtotal * value * F.expr("0.01BD")).cast(PRICE_EXACT)
+    return F.least(F.when(kind == "percentage", percentage).otherwise(value.cast(PRICE_EXACT)),
+                   subtotal.cast(PRICE_EXACT))
 
-    Turning the validity range into days makes the order lookup an equality
-    join. The calendar has one row per day with a coupon, whatever the number
-    of orders.
-    """
-    days = coupons.filter("active").withColumn(
-        "day", F.explode(F.sequence(F.to_date("start_date"), F.to_date("end_date")))
+
+def _in_force(at: str) -> Column:
+    """Whether a coupon is valid then; a missing end leaves that side open."""
+    return F.coalesce(F.col(at) >= F.col("start_date"), F.lit(True)) & F.coalesce(
+        F.col(at) <= F.col("end_date"), F.lit(True)
     )
-    offer = F.struct("code", "discount_type", "value", "min_purchase", "start_date", "end_date")
-    return days.groupBy("day").agg(F.sort_array(F.collect_list(offer)).alias("offers"))
 
 
-def _with_offers(orders: DataFrame, coupons: DataFrame, at: str) -> DataFrame:
-    """Each order with the coupons valid at its own time; none gives an empty array."""
-    joined = orders.withColumn("day", F.to_date(at)).join(coupon_calendar(coupons), "day", "left").drop("day")
-    in_force = F.filter("offers", lambda o: F.col(at).between(o["start_date"], o["end_date"]))
-    return joined.withColumn("offers", F.coalesce(in_force, F.array().cast(joined.schema["offers"].dataType)))
+def _wanted() -> Column:
+    return F.nullif(text.clean_code("coupon_code"), F.lit(""))
 
 
-def valid_coupons(orders: DataFrame, coupons: DataFrame, at: str = "order_date") -> DataFrame:
-    """One row per order and coupon in force at the time of the order."""
-    found = _with_offers(orders, coupons, at).withColumn("offer", F.explode("offers")).drop("offers")
-    return found.select(*orders.columns, "offer.code", "offer.discount_type", "offer.value", "offer.min_purchase")
+OFFER = ["code", "discount_type", "value", "min_purchase"]
 
 
-def _discount(subtotal: Column, kind: Column, value: Column) -> Column:
-    """Percentage of the subtotal or a fixed amount, never above the subtotal."""
-    percentage = (subtotal * value * F.expr("0.01BD")).cast(PRICE_EXACT)
-    return F.least(F.when(kind == "percentage", percentage).otherwise(value.cast(PRICE_EXACT)),
-                   subtotal.cast(PRICE_EXACT))
+def valid_coupons(orders: DataFrame, coupons: DataFrame, at: str = "order_date") -> DataFrame:
+    """Orders with the coupon they name, if it is in force at the time of the order.
+
+    An equality join on the code, which is unique: at most one row per order,
+    whatever the number of coupons and however long they run.
+    """
+    active = coupons.filter("active").select(*OFFER, "start_date", "end_date")
+    return orders.join(active, _wanted() == F.col("code")).filter(_in_force(at)).select(*orders.columns, *OFFER)
 
 
 def eligible_coupons(baskets: DataFrame, coupons: DataFrame, at: str = "order_date") -> DataFrame:
-    """Valid coupons whose minimum purchase the basket reaches, with the discount."""
+    """Valid named coupons whose minimum purchase the basket reaches, with the discount."""
     reached = valid_coupons(baskets, coupons, at).filter(F.col("subtotal") >= F.col("min_purchase"))
     discount = _discount(F.col("subtotal"), F.col("discount_type"), F.col("value"))
     return reached.withColumn("discount", numbers.money(discount))
 
 
-def priced(baskets: DataFrame, coupons: DataFrame, at: str = "order_date") -> DataFrame:
-    """Coupon applied, discount, final price and points of each basket.
+def best_offers(coupons: DataFrame, first: date, last: date) -> DataFrame:
+    """Per day and minimum-purchase step the best percentage and the best fixed coupon.
 
-    A basket that names a coupon gets that one or none; otherwise the best
-    discount wins, ties by code. The candidates stay inside the row, so an
-    order is never multiplied by the number of coupons.
+    ``day, low, high, pct, fixed``: for subtotals from ``low`` to below
+    ``high``. Only steps that improve an offer are kept, so a day has few rows
+    however many coupons run on it. Coupons are unrolled to the days between
+    ``first`` and ``last`` only.
     """
-    offers = _with_offers(baskets, coupons, at)
-    wanted = F.nullif(text.clean_code("coupon_code"), F.lit(""))
-    usable = F.filter(
-        "offers",
-        lambda o: (F.col("subtotal") >= o["min_purchase"]) & (wanted.isNull() | (o["code"] == wanted)),
-    )
-    ranked = F.transform(
-        usable,
-        lambda o: F.struct(
-            (-_discount(F.col("subtotal"), o["discount_type"], o["value"])).alias("cost"), o["code"].alias("code")
-        ),
+    begin = F.greatest(F.coalesce(F.to_date("start_date"), F.lit(first)), F.lit(first))
+    end = F.least(F.coalesce(F.to_date("end_date"), F.lit(last)), F.lit(last))
+    running = coupons.filter("active").withColumns({"_begin": begin, "_end": end}).filter("_begin <= _end")
+    # the higher value wins, then the lower code: both in one minimum
+    rank = F.struct((-F.col("value")).alias("less"), "code", "value")
+    steps = (
+        running.withColumn("day", F.explode(F.sequence("_begin", "_end")))
+        .groupBy("day", "min_purchase")
+        .agg(
+            F.min(F.when(F.col("discount_type") == "percentage", rank)).alias("pct"),
+            F.min(F.when(F.col("discount_type") == "fixed", rank)).alias("fixed"),
+        )
     )
-    best = offers.withColumn("best", F.array_min(ranked)).drop("offers")
-    exact = F.coalesce(-F.col("best.cost"), F.lit(0).cast(PRICE_EXACT))
+    up_to = Window.partitionBy("day").orderBy("min_purchase").rowsBetween(Window.unboundedPreceding, 0)
+    best = steps.select(
+        "day", F.col("min_purchase").alias("low"), F.min("pct").over(up_to).alias("pct"),
+        F.min("fixed").over(up_to).alias("fixed"),
+    )
+    by_low = Window.partitionBy("day").orderBy("low")
+    same = F.lag("pct").over(by_low).eqNullSafe(F.col("pct")) & F.lag("fixed").over(by_low).eqNullSafe(F.col("fixed"))
+    better = best.withColumn("_same", same & F.lag("low").over(by_low).isNotNull()).filter("not _same")
+    return better.select("day", "low", F.lead("low").over(by_low).alias("high"), "pct", "fixed")
+
+
+def _priced_by(baskets: DataFrame, exact: Column, code: Column) -> DataFrame:
+    """Discount, final price, price with shipping and points from an exact discount."""
     final = F.col("subtotal") - F.col("_exact")
-    return (
-        best.withColumn("coupon", F.col("best.code"))
-        .withColumn("_exact", exact)
-        .withColumn("discount", numbers.money(F.col("_exact")))
-        .withColumn("final_price", numbers.money(final))
-        .withColumn("total_with_shipping", numbers.money(final + F.lit(FLAT_SHIPPING)))
-        .withColumn("points", numbers.loyalty_points(final))
-        .drop("best", "_exact", "coupon_code")
+    kept = [c for c in baskets.columns if c != "coupon_code" and not c.startswith("_")]
+    return baskets.withColumns({"coupon": code, "_exact": F.coalesce(exact, F.lit(0).cast(PRICE_EXACT))}).select(
+        *kept,
+        "coupon",
+        numbers.money(F.col("_exact")).alias("discount"),
+        numbers.money(final).alias("final_price"),
+        numbers.money(final + F.lit(FLAT_SHIPPING)).alias("total_with_shipping"),
+        numbers.loyalty_points(final).alias("points"),
+    )
+
+
+def priced(baskets: DataFrame, coupons: DataFrame, at: str = "order_date", auto_apply: bool = False) -> DataFrame:
+    """Coupon applied, discount, final price and points of each basket.
+
+    A basket gets the coupon it names, if that is in force and the minimum is
+    reached, or none. With ``auto_apply`` a basket that names none gets the
+    better of its day's best percentage and best fixed coupon, ties by code.
+    """
+    columns = list(baskets.columns)
+    active = coupons.filter("active").select(
+        *[F.col(c).alias(f"_{c}") for c in OFFER], F.col("start_date").alias("_from"), F.col("end_date").alias("_to")
+    )
+    usable = (
+        F.coalesce(F.col(at) >= F.col("_from"), F.lit(True))
+        & F.coalesce(F.col(at) <= F.col("_to"), F.lit(True))
+        & (F.col("subtotal") >= F.col("_min_purchase"))
     )
+    named = baskets.filter(_wanted().isNotNull()) if auto_apply else baskets
+    joined = named.join(active, (_wanted() == F.col("_code")) & usable, "left")
+    exact = _discount(F.col("subtotal"), F.col("_discount_type"), F.col("_value"))
+    result = _priced_by(joined, F.when(F.col("_code").isNotNull(), exact), F.col("_code"))
+    if not auto_apply:
+        return result
+
+    open_baskets = baskets.filter(_wanted().isNull())
+    days = baskets.agg(F.min(F.to_date(at)).alias("first"), F.max(F.to_date(at)).alias("last")).first()
+    if days.first is None:
+        return result
+    offers = best_offers(coupons, days.first, days.last).select(*[F.col(c).alias(f"_{c}") for c in
+                                                                 ("day", "low", "high", "pct", "fixed")])
+    within = (F.col("subtotal") >= F.col("_low")) & (F.col("_high").isNull() | (F.col("subtotal") < F.col("_high")))
+    found = open_baskets.join(offers, (F.to_date(at) == F.col("_day")) & within, "left")
+
+    def offer(name: str, kind: str) -> Column:
+        cost = -_discount(F.col("subtotal"), F.lit(kind), F.col(f"_{name}.value"))
+        return F.when(F.col(f"_{name}").isNotNull(), F.struct(cost.alias("cost"), F.col(f"_{name}.code").alias("code")))
+
+    best = found.withColumn("_best", F.least(offer("pct", "percentage"), offer("fixed", "fixed")))
+    auto = _priced_by(best.select(*columns, "_best"), -F.col("_best.cost"), F.col("_best.code"))
+    return result.unionByName(auto)
 
 
 def points_earned(priced_orders: DataFrame) -> DataFrame:

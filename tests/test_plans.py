@@ -53,8 +53,8 @@ def basket(spark, *rows):
     )
 
 
-def applied(spark, *rows):
-    frame = pricing.priced(basket(spark, *rows), coupon_table(spark))
+def applied(spark, *rows, auto=True):
+    frame = pricing.priced(basket(spark, *rows), coupon_table(spark), auto_apply=auto)
     return {r.order_id: (r.coupon, r.discount, r.final_price, r.total_with_shipping, r.points) for r in frame.collect()}
 
 
@@ -81,6 +81,46 @@ def test_coupon_limits(spark):
     assert result[8][:2] == (None, d("0.00")) and result[9][0] == "PCT10"
 
 
+def test_only_named_coupons_unless_asked(spark):
+    d = Decimal
+    rows = [(1, d("2000"), date(1998, 6, 1), None), (2, d("2000"), date(1998, 6, 1), "pct10"), (3, d("9"), date(1998, 6, 1), "PCT10")]
+    result = applied(spark, *rows, auto=False)
+    assert [result[i][:2] for i in (1, 2, 3)] == [(None, d("0.00")), ("PCT10", d("200.00")), (None, d("0.00"))]
+
+
+def test_ten_thousand_coupons_make_no_arrays(spark):
+    """Many coupons, some without an end, against trying each."""
+    import random
+
+    draw = random.Random(4)
+    rows = []
+    for n in range(10_000):
+        start = date(1998, 1, 1 + draw.randrange(28))
+        end = date(1998, 2, 1 + draw.randrange(28)) if n % 50 else None
+        kind = "percentage" if n % 2 else "fixed"
+        value = Decimal(draw.randrange(1, 40)) if n % 2 else Decimal(draw.randrange(1, 90))
+        rows.append((f"C{n:05d}", kind, value, Decimal(100 + draw.randrange(400)), n % 7 != 0, start if n % 11 else None, end))
+    schema = "code string, discount_type string, value decimal(10,2), min_purchase decimal(10,2), active boolean, start_date date, end_date date"
+    coupons = spark.createDataFrame(rows, schema)
+    orders = [
+        (i, Decimal(draw.randrange(9000, 60000)) / 100, date(1998, 1 + i % 3, 1 + i % 28), f"c{draw.randrange(10_000):05d} " if i % 3 == 0 else None)
+        for i in range(150)
+    ]
+    frame = pricing.priced(basket(spark, *orders), coupons, auto_apply=True)
+    assert "collect_list" not in plan(frame)
+    got = {r.order_id: (r.coupon, r.discount) for r in frame.collect()}
+    for number, subtotal, day, wanted in orders:
+        tried = []
+        for code, kind, value, least, active, start, end in rows:
+            if active and (start is None or start <= day) and (end is None or day <= end) and subtotal >= least:
+                if wanted is None or wanted.strip().upper() == code:
+                    exact = min(subtotal * value / 100 if kind == "percentage" else value, subtotal)
+                    tried.append((-exact, code))
+        expected = (min(tried)[1], -min(tried)[0]) if tried else (None, Decimal(0))
+        assert got[number][0] == expected[0], (number, got[number], expected)
+        assert abs(got[number][1] - expected[1]) <= Decimal("0.005")
+
+
 def test_fixed_discount_stops_at_the_subtotal(spark):
     coupons = coupon_table(spark).withColumn("min_purchase", F.expr("0BD").cast("decimal(10,2)"))
     frame = pricing.priced(basket(spark, (1, Decimal("120"), date(2000, 6, 1), "fix500")), coupons)
