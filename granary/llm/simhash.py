@@ -207,15 +207,12 @@ def classes(docs: DataFrame, radius: int = RADIUS, id_column: str = "doc_id") ->
     ``_class`` is the smallest fingerprint reachable, ``component_id`` the smallest id.
     """
     nodes = session.stage(docs.groupBy("_print").agg(F.min(id_column).alias("_low")), "fingerprints")
-    roots = components(link_prints(nodes.select("_print"), radius)).withColumnRenamed("node", "_print")
-    placed = session.stage(
-        nodes.join(roots, "_print", "left").select("_print", "_low", F.coalesce("root", "_print").alias("_class")),
-        "fingerprint-classes",
-    )
-    lowest = placed.where("_print <> _class").select("_class").distinct()
-    joined = placed.join(lowest, "_class", "left_semi").groupBy("_class").agg(F.min("_low").alias("_lowest"))
-    return placed.join(joined, "_class", "left").select(
-        "_print", "_class", F.coalesce("_lowest", "_low").alias("component_id")
+    roots = components(link_prints(nodes.select("_print"), radius)).toDF("_print", "_class")
+    linked = session.stage(nodes.join(roots, "_print"), "linked-fingerprints")
+    lowest = linked.groupBy("_class").agg(F.min("_low").alias("_lowest"))
+    known = linked.join(lowest, "_class").select("_print", "_class", "_lowest")
+    return nodes.join(known, "_print", "left").select(
+        "_print", F.coalesce("_class", "_print").alias("_class"), F.coalesce("_lowest", "_low").alias("component_id")
     )
 
 
