@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from granary import session
 from granary.contracts import LANDING_FILES
-from granary.plans import generate, medallion, northwind, publish
+from granary.plans import generate, medallion, northwind, publish, silver
 
 
 def _catalogue(spark, location: str):
@@ -31,7 +31,10 @@ def main() -> None:
     orders = jobs.add_parser("medallion", help="order files to Bronze, Silver and Gold")
     orders.add_argument("--input-dir", required=True, help=f"folder with any of {', '.join(LANDING_FILES)}")
     orders.add_argument("--out", required=True)
-    orders.add_argument("--line-grain", action="store_true", help="keep every product of an order")
+    orders.add_argument("--line-grain", action="store_true", help="keep every line of an order")
+    orders.add_argument(
+        "--plain-csv", action="store_true", help="no line breaks inside CSV quotes: large files are split over tasks"
+    )
 
     lake = jobs.add_parser("northwind", help="validate and publish the Northwind files")
     lake.add_argument("--input-dir", required=True)
@@ -53,9 +56,16 @@ def main() -> None:
 
     args = parser.parse_args()
     spark = session.build()
+    try:
+        run(spark, args)
+    finally:
+        session.drop_staged(spark)
+
+
+def run(spark, args: argparse.Namespace) -> None:
     if args.job == "medallion":
-        keys = ("order_id", "product_id") if args.line_grain else ("order_id",)
-        medallion.run(spark, args.input_dir, args.out, keys).show(truncate=False)
+        keys = silver.LINE_GRAIN if args.line_grain else ("order_id",)
+        medallion.run(spark, args.input_dir, args.out, keys, not args.plain_csv).show(truncate=False)
     elif args.job == "northwind":
         result = northwind.run(spark, args.input_dir, args.out, args.validate_only)
         result.summary.show(truncate=False)
@@ -68,12 +78,13 @@ def main() -> None:
         publish.export(rows, f"{args.out}/customer_orders.txt", "json")
     else:
         ids = spark.range(1, args.total + 1)
-        made = generate.orders(ids, _catalogue(spark, args.products), args.seed, args.completed_ratio)
+        catalogue = _catalogue(spark, args.products)
+        items = publish.rebuild(generate.order_items(ids, catalogue, args.seed), f"{args.out}/order_items")
+        made = generate.orders(ids, catalogue, args.seed, args.completed_ratio, items)
         made.write.mode("overwrite").parquet(f"{args.out}/orders")
         generate.shipments(spark.read.parquet(f"{args.out}/orders"), args.seed).write.mode("overwrite").parquet(
             f"{args.out}/shipments"
         )
-    session.drop_staged(spark)
 
 
 if __name__ == "__main__":

@@ -241,6 +241,31 @@ def days_of_supply(spark, folder):
     return inventory.days_of_supply(sample.stock_log(spark, folder))
 
 
+@query(
+    "fact_stock_snapshot_documented",
+    """SELECT CAST(strftime(day, '%Y%m%d') AS BIGINT) AS snapshot_date_key, product_id AS product_key,
+              quantity AS current_quantity,
+              coalesce(product_id % 9 <> 0 AND quantity <= product_id % 20, false) AS is_low_stock,
+              CAST(CASE WHEN used > 0 THEN sign(quantity) * ((abs(quantity) * 600000 + used) // (2 * used)) END * 0.0001
+                   AS DECIMAL(18,4)) AS days_of_supply
+       FROM (SELECT product_id, day,
+                    CAST(sum(change) OVER (PARTITION BY product_id ORDER BY day ROWS UNBOUNDED PRECEDING) AS BIGINT)
+                        AS quantity,
+                    CAST(sum(outbound) OVER (PARTITION BY product_id ORDER BY day
+                         RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW) AS BIGINT) AS used
+             FROM (SELECT g.product_id, g.day, coalesce(d.change, 0) AS change, coalesce(d.outbound, 0) AS outbound
+                   FROM (SELECT product_id,
+                                CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
+                         FROM daily_log GROUP BY product_id) g
+                   LEFT JOIN daily_log d USING (product_id, day)))""",
+)
+def fact_stock_snapshot_documented(spark, folder):
+    """Days of supply on every day; products of each ninth key have no reorder point."""
+    points = sample.table(spark, folder, "events").select(F.col("user_id").alias("product_id")).distinct()
+    points = points.filter("product_id % 9 <> 0").withColumn("reorder_point", sample.reorder_point())
+    return inventory.documented_snapshot(sample.stock_log(spark, folder), points)
+
+
 @query(
     "low_stock",
     """SELECT product_id, quantity, reorder_point, quantity - reorder_point AS margin FROM levels
@@ -539,6 +564,27 @@ def gen_orders(spark, folder):
     return generate.orders(ids, sample.products(spark, folder), GENERATOR_SEED)
 
 
+@query(
+    "gen_order_items",
+    f"""WITH drawn AS (
+            SELECT o_orderkey AS order_id, {_draw_sql("items", "o_orderkey", "100")} AS i,
+                   {_draw_sql("first", "o_orderkey", "(SELECT count(*) FROM part)")} AS first,
+                   {_draw_sql("stride", "o_orderkey", "(SELECT greatest(1, count(*) // 5) FROM part)")} + 1 AS stride
+            FROM orders),
+        slots AS (
+            SELECT order_id, (first + slot * stride) % (SELECT count(*) FROM part) AS n,
+                   {_draw_sql("quantity", "order_id || ':' || slot", "100")} AS q
+            FROM (SELECT *, unnest(range(CASE WHEN i < 20 THEN 1 WHEN i < 55 THEN 2 WHEN i < 80 THEN 3 WHEN i < 95 THEN 4
+                         ELSE 5 END)) AS slot FROM drawn))
+        SELECT order_id, product_id, price,
+               CAST(CASE WHEN q < 60 THEN 1 WHEN q < 90 THEN 2 ELSE 3 END AS BIGINT) AS quantity
+        FROM slots JOIN (SELECT p_partkey AS product_id, CAST(p_retailprice AS DECIMAL(18,2)) AS price,
+                                row_number() OVER (ORDER BY p_partkey) - 1 AS n FROM part) USING (n)""",
+)
+def gen_order_items(spark, folder):
+    return generate.order_items(sample.order_ids(spark, folder), sample.products(spark, folder), GENERATOR_SEED)
+
+
 @query(
     "gen_shipments",
     f"""SELECT order_id,

@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from granary.catalog.registry import query
-from granary.contracts import ORDER_STATUS, SHIPMENT_STATUS, STOCK_LOG_TYPES
+from granary.contracts import (
+    DISCOUNT_TYPES,
+    ORDER_STATUS,
+    PAYMENT_METHODS,
+    SHIPMENT_STATUS,
+    STOCK_LOG_TYPES,
+    coupon_table,
+)
 from granary.operators import quality
+from granary.plans import northwind, pricing
 from granary.sources import sample
 
 
@@ -121,6 +129,49 @@ def dq_measures(spark, folder):
     return quality.negative_freight(orders).unionByName(quality.measure_rules(details, "order_id"))
 
 
+@query(
+    "northwind_gate",
+    """SELECT 'invalid_number' AS rule, 'order_details' AS table_name,
+              CAST(order_id * 10 + line_number AS VARCHAR) AS key, 'quantity=' || quantity || '.7' AS detail
+       FROM lines WHERE order_id % 31 = 1
+       UNION ALL SELECT 'required', 'order_details', CAST(order_id * 10 + line_number AS VARCHAR), 'unit_price= '
+       FROM lines WHERE order_id % 37 = 2
+       UNION ALL SELECT 'invalid_date', 'orders', CAST(order_id AS VARCHAR), 'order_date=not a date'
+       FROM heads WHERE order_id % 41 = 3
+       UNION ALL SELECT 'required', 'orders', CAST(order_id AS VARCHAR), 'order_date=null'
+       FROM heads WHERE order_id % 41 = 4
+       UNION ALL SELECT 'invalid_number', 'products', CAST(product_id AS VARCHAR), 'unit_price=12.345'
+       FROM products WHERE product_id % 43 = 5""",
+)
+def northwind_gate(spark, folder):
+    """Source texts that do not fit the contract: broken whole numbers, bad dates, gaps, too many decimals."""
+    def text_of(df, **changes):
+        return df.select([F.col(name).cast("string").alias(name) for name in df.columns]).withColumns(changes)
+
+    def where(condition, value, name):
+        return F.when(F.expr(condition), value).otherwise(F.col(name))
+
+    details = sample.lines(spark, folder).withColumn("line_id", F.expr("order_id * 10 + line_number"))
+    details = details.select("line_id", *sample.DETAIL_COLUMNS)
+    raw = {
+        "customers": text_of(sample.customers(spark, folder)),
+        "products": text_of(
+            sample.products(spark, folder).drop("cost"), unit_price=where("product_id % 43 = 5", "12.345", "unit_price")
+        ),
+        "orders": text_of(
+            sample.orders(spark, folder),
+            order_date=F.when(F.expr("order_id % 41 = 3"), "not a date").when(F.expr("order_id % 41 <> 4"), F.col("order_date")),
+        ),
+        "order_details": text_of(
+            details,
+            quantity=where("order_id % 31 = 1", F.concat("quantity", F.lit(".7")), "quantity"),
+            unit_price=where("order_id % 37 = 2", " ", "unit_price"),
+        ),
+        "shippers": text_of(sample.shippers(spark, folder)),
+    }
+    return northwind.unreadable(raw)
+
+
 @query(
     "dq_accepted_values",
     """SELECT 'accepted_values' AS rule, 'orders' AS table_name, CAST(order_id AS VARCHAR) AS key,
@@ -128,11 +179,23 @@ def dq_measures(spark, folder):
        UNION ALL SELECT 'accepted_values', 'shipments', CAST(shipment_id AS VARCHAR), 'status=null'
        FROM parcels WHERE shipment_id % 19 = 0
        UNION ALL SELECT 'accepted_values', 'stock_logs', CAST(log_id AS VARCHAR), 'log_type=outbound '
-       FROM log WHERE log_type = 'outbound' AND log_id % 23 = 0""",
+       FROM log WHERE log_type = 'outbound' AND log_id % 23 = 0
+       UNION ALL SELECT 'accepted_values', 'orders', CAST(order_id AS VARCHAR), 'payment_method=cash'
+       FROM headers WHERE order_id % 29 = 0
+       UNION ALL SELECT 'accepted_values', 'applied_coupons', CAST(order_id AS VARCHAR), 'discount_type=Fixed'
+       FROM eligible WHERE discount_type = 'fixed' AND order_id % 3 = 0""",
 )
 def dq_accepted_values(spark, folder):
-    orders = sample.order_header(spark, folder).withColumn(
-        "order_status", F.when(F.col("order_id") % 17 == 0, "lost").otherwise(F.col("order_status"))
+    orders = sample.order_header(spark, folder).withColumns(
+        {
+            "order_status": F.when(F.col("order_id") % 17 == 0, "lost").otherwise(F.col("order_status")),
+            "payment_method": F.when(F.col("order_id") % 29 == 0, "cash").otherwise(F.col("payment_method")),
+        }
+    )
+    baskets = pricing.baskets(sample.order_items(spark, folder), sample.order_header(spark, folder))
+    capital = (F.col("discount_type") == "fixed") & (F.col("order_id") % 3 == 0)
+    coupons = pricing.eligible_coupons(baskets, coupon_table(spark)).withColumn(
+        "discount_type", F.when(capital, "Fixed").otherwise(F.col("discount_type"))
     )
     shipments = sample.shipments(spark, folder).withColumn(
         "status", F.when(F.col("shipment_id") % 19 != 0, F.col("status"))
@@ -146,6 +209,8 @@ def dq_accepted_values(spark, folder):
             quality.not_accepted(orders, "orders", "order_id", "order_status", ORDER_STATUS),
             quality.not_accepted(shipments, "shipments", "shipment_id", "status", SHIPMENT_STATUS),
             quality.not_accepted(log, "stock_logs", "log_id", "log_type", STOCK_LOG_TYPES),
+            quality.not_accepted(orders, "orders", "order_id", "payment_method", PAYMENT_METHODS),
+            quality.not_accepted(coupons, "applied_coupons", "order_id", "discount_type", DISCOUNT_TYPES),
         ]
     )
 

@@ -208,6 +208,56 @@ def dim_product_latest(spark, folder):
     return gold.dim_product_latest(sample.lines(spark, folder), recency)
 
 
+@query(
+    "dim_product_documented",
+    """SELECT row_number() OVER (ORDER BY product_id) AS product_key, product_id, sku, product_name,
+              CAST(unit_price AS DECIMAL(10,2)) AS current_price, CAST(cost AS DECIMAL(10,2)) AS current_cost,
+              CAST(CASE WHEN cents <> 0 THEN ((cents - cost_cents) * 20000 + cents) // (2 * cents) END * 0.0001
+                   AS DECIMAL(10,4)) AS profit_margin
+       FROM (SELECT p.*, b.p_brand || '-' || p.product_id AS sku, CAST(unit_price * 100 AS BIGINT) AS cents,
+                    CAST(cost * 100 AS BIGINT) AS cost_cents
+             FROM products p JOIN part b ON p.product_id = b.p_partkey)""",
+)
+def dim_product_documented(spark, folder):
+    return gold.documented_product(_products_with_sku(spark, folder))
+
+
+def _products_with_sku(spark, folder):
+    brands = sample.table(spark, folder, "part").select(F.col("p_partkey").alias("product_id"), "p_brand")
+    return sample.products(spark, folder).join(brands, "product_id").withColumn(
+        "sku", F.concat_ws("-", "p_brand", F.col("product_id").cast("string"))
+    )
+
+
+@query(
+    "fact_sales_documented",
+    """SELECT s.line_id AS sale_id, CAST(strftime(s.order_date, '%Y%m%d') AS BIGINT) AS date_key, s.order_id,
+              p.product_key, c.customer_key, y.payment_key, s.quantity, s.unit_price, p.cost AS unit_cost,
+              CAST(round(s.quantity * s.unit_price, 2) AS DECIMAL(18,2)) AS line_total,
+              CAST(round(s.quantity * s.unit_price, 2) AS DECIMAL(18,2)) - s.net_revenue AS discount_amount,
+              s.net_revenue, CAST(s.net_revenue - s.quantity * p.cost AS DECIMAL(18,2)) AS gross_profit
+       FROM sales s JOIN headers h ON s.order_id = h.order_id
+       LEFT JOIN (SELECT product_id, cost, row_number() OVER (ORDER BY product_id) AS product_key FROM products
+                  WHERE product_id % 11 <> 0) p ON s.product_id = p.product_id
+       LEFT JOIN (SELECT customer_id, row_number() OVER (ORDER BY customer_id) AS customer_key FROM people) c
+              ON s.customer_id = c.customer_id
+       LEFT JOIN (SELECT payment_method, row_number() OVER (ORDER BY payment_method) AS payment_key
+                  FROM (SELECT DISTINCT payment_method FROM headers)) y ON h.payment_method = y.payment_method""",
+)
+def fact_sales_documented(spark, folder):
+    """The whole documented row; products of each eleventh key are unknown."""
+    headers = sample.order_header(spark, folder)
+    known = sample.products(spark, folder).filter("product_id % 11 <> 0")
+    return gold.documented_sales(
+        sample.lines(spark, folder),
+        headers,
+        gold.keyed(known, "product_id", "product_key"),
+        gold.keyed(sample.customers(spark, folder).select("customer_id"), "customer_id", "customer_key"),
+        gold.dim_payment_labelled(headers),
+        tuple(sample.LINE_ORDER),
+    )
+
+
 @query(
     "dim_date_th",
     """SELECT DISTINCT CAST(strftime(order_date, '%Y%m%d') AS BIGINT) AS date_key, order_date AS full_date,

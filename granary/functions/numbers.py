@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from granary.contracts import GOLD_POINTS, MARGIN, MONEY, PLATINUM_POINTS, POINT_VALUE
-from granary.functions.text import ColumnOrName, _col, is_present
+from granary.functions.text import ColumnOrName, _col, is_present, strip_whitespace
 
 
 def money(value: Column) -> Column:
@@ -49,6 +49,17 @@ def is_overprecise(value: ColumnOrName, scale: int = 2) -> Column:
     return exact != F.round(exact, scale)
 
 
+def is_not_whole(value: ColumnOrName) -> Column:
+    """Text is there but is no whole number."""
+    exact = _col(value).try_cast("decimal(38,12)")
+    return is_present(value) & F.coalesce(exact != F.floor(exact), F.lit(True))
+
+
+def is_not_a_date(value: ColumnOrName) -> Column:
+    """Text is there but is neither a date nor a date with a time of day."""
+    return is_present(value) & strip_whitespace(value).try_cast("timestamp").isNull()
+
+
 def line_total(quantity: ColumnOrName, price: ColumnOrName) -> Column:
     return money(_col(quantity) * _col(price))
 

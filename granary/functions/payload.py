@@ -11,15 +11,29 @@ from granary.functions.text import ColumnOrName, _col
 NUMBER = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$|^[+-]?(nan|inf|infinity)$"
 
 
+# a quoted text, or one of the literals of the other notation standing outside of quotes
+_QUOTED = r"""("(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*')"""
+
+
+def _json_literals(raw: Column) -> Column:
+    """``None``, ``True`` and ``False`` outside quotes as JSON writes them."""
+    for literal, json in (("None", "null"), ("True", "true"), ("False", "false")):
+        # quoted texts are matched first and put back as they are
+        raw = F.regexp_replace(raw, rf"{_QUOTED}|\b{literal}\b", f"$1\u0001{json}\u0001")
+        raw = F.regexp_replace(raw, f"([\"'])\u0001{json}\u0001", "$1")
+        raw = F.regexp_replace(raw, "\u0001", "")
+    return raw
+
+
 def rating_text(body: ColumnOrName) -> Column:
     """The ``rating`` entry as text whichever way the body was encoded.
 
     Spark's JSON reader takes single quotes as well, so one parse covers both
-    mapping notations. A body that is no mapping is read as form encoding,
+    mapping notations once their literals agree. A body that is no mapping is read as form encoding,
     where the last of several entries counts; an unreadable one gives NULL.
     """
     raw = _col(body)
-    mapping = F.from_json(raw, "rating string").getField("rating")
+    mapping = F.from_json(_json_literals(raw), "rating string").getField("rating")
     entries = F.regexp_extract_all(raw, F.lit(r"(?:^|&)rating=([^&]*)"), F.lit(1))
     form = F.try_element_at(entries, F.lit(-1))
     return (

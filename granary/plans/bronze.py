@@ -25,18 +25,20 @@ def load_time() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def customer_orders(spark: SparkSession, landing: str, extracted_at: datetime | None = None) -> DataFrame:
+def customer_orders(
+    spark: SparkSession, landing: str, extracted_at: datetime | None = None, quoted_newlines: bool = True
+) -> DataFrame:
     """All allowed landing files as numbered Bronze rows."""
-    records = landing_records(spark, landing, LANDING_FILES, ORDER_FIELDS)
+    records = landing_records(spark, landing, LANDING_FILES, ORDER_FIELDS, quoted_newlines)
     numbered = file_positions(records)
     return numbered.withColumn("extracted_at", F.lit(extracted_at or load_time())).select(
         *BRONZE_METADATA, *ORDER_FIELDS
     )
 
 
-def load(spark: SparkSession, landing: str, out: str) -> DataFrame:
+def load(spark: SparkSession, landing: str, out: str, quoted_newlines: bool = True) -> DataFrame:
     """Full reload of the Bronze table, partitioned by file."""
-    customer_orders(spark, landing).write.mode("overwrite").partitionBy("source_file").parquet(out)
+    customer_orders(spark, landing, quoted_newlines=quoted_newlines).write.mode("overwrite").partitionBy("source_file").parquet(out)
     return spark.read.parquet(out)
 
 

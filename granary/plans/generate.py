@@ -125,13 +125,20 @@ def order_items(ids: DataFrame, products: DataFrame, seed: int) -> DataFrame:
     return lines.join(catalogue, "_n").select("order_id", "product_id", "price", "quantity")
 
 
-def orders(ids: DataFrame, products: DataFrame, seed: int, completed_ratio: float = 0.8) -> DataFrame:
-    """Priced orders with status and payment drawn by weight."""
+def orders(
+    ids: DataFrame, products: DataFrame, seed: int, completed_ratio: float = 0.8, items: DataFrame | None = None
+) -> DataFrame:
+    """Priced orders with status and payment drawn by weight.
+
+    ``items`` are the ids' order items, if they are written already.
+    """
+    if items is None:
+        items = order_items(ids, products, seed)
     completed = round(completed_ratio * 100)
     statuses = [("paid", completed), ("shipped", 8), ("pending", 7), ("cancelled", 5)]
     everything = sum(weight for _, weight in statuses)
     key = F.col("order_id")
-    totals = order_items(ids, products, seed).groupBy("order_id").agg(
+    totals = items.groupBy("order_id").agg(
         F.count("*").alias("items"), F.sum(F.col("price") * F.col("quantity")).cast(MONEY).alias("total_price")
     )
     drawn = totals.withColumns(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.contracts import DAYS_TH, MONTHS_TH, PAYMENT_LABELS
+from granary.contracts import DAYS_TH, MONTHS_TH, PAYMENT_LABELS, PRICE
 from granary.functions import dates, numbers, text
 from granary.operators.ordering import dense_number
 
@@ -168,6 +168,56 @@ def with_surrogates(fact: DataFrame, dims: dict[str, tuple[DataFrame, str, str]]
     return fact
 
 
+def documented_product(products: DataFrame) -> DataFrame:
+    """``product_key, sku, product_name, current_price, current_cost, profit_margin`` and the natural key."""
+    columns = products.select(
+        "product_id",
+        "sku",
+        "product_name",
+        F.col("unit_price").cast(PRICE).alias("current_price"),
+        F.col("cost").cast(PRICE).alias("current_cost"),
+        numbers.profit_margin("unit_price", "cost").alias("profit_margin"),
+    )
+    return keyed(columns, "product_id", "product_key")
+
+
+def documented_sales(
+    lines: DataFrame, orders: DataFrame, products: DataFrame, customers: DataFrame, payments: DataFrame,
+    order: tuple[str, ...],
+) -> DataFrame:
+    """Sales at line grain with the keys of all dimensions, cost, discount and gross profit.
+
+    ``order`` totally orders the lines for ``sale_id``. A line whose product
+    has no cost, or whose member is unknown, stays with NULL there.
+    """
+    header = orders.select("order_id", "customer_id", "order_date", "payment_method")
+    costs = products.select("product_id", "product_key", F.col("cost").alias("unit_cost"))
+    total = numbers.line_total("quantity", "unit_price")
+    joined = (
+        dense_number(lines, list(order), "sale_id")
+        .join(header, "order_id")
+        .join(costs, "product_id", "left")
+        .join(customers.select("customer_id", "customer_key"), "customer_id", "left")
+        .join(payments.select("payment_method", "payment_key"), "payment_method", "left")
+        .withColumn("net_revenue", numbers.net_revenue("quantity", "unit_price", "discount"))
+    )
+    return joined.select(
+        "sale_id",
+        dates.date_key("order_date").alias("date_key"),
+        "order_id",
+        "product_key",
+        "customer_key",
+        "payment_key",
+        "quantity",
+        "unit_price",
+        "unit_cost",
+        total.alias("line_total"),
+        numbers.money(total - F.col("net_revenue")).alias("discount_amount"),
+        "net_revenue",
+        numbers.money(F.col("net_revenue") - F.col("quantity") * F.col("unit_cost")).alias("gross_profit"),
+    )
+
+
 def keyed(dim: DataFrame, natural: str, surrogate: str) -> DataFrame:
     """A dimension numbered 1..n by its natural key."""
     return dense_number(dim, [natural], surrogate)

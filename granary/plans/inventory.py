@@ -119,6 +119,40 @@ def days_of_supply(log: DataFrame, trailing_days: int = 30) -> DataFrame:
     )
 
 
+def documented_snapshot(log: DataFrame, reorder_points: DataFrame, trailing_days: int = 30) -> DataFrame:
+    """Quantity, low-stock flag and days of supply for every day of a product.
+
+    Days without movements are filled in first, so the trailing outbound runs
+    down between movements. A product without a reorder point is never low.
+    """
+    by_day = Window.partitionBy("product_id").orderBy("day")
+    moves = daily_movements(log).withColumn("_next", F.date_sub(F.lead("day").over(by_day), 1))
+    days = moves.withColumn("_day", F.explode(F.sequence("day", F.coalesce("_next", "day"))))
+    first = F.col("_day") == F.col("day")
+    filled = days.select(
+        "product_id",
+        F.col("_day").alias("day"),
+        F.unix_date("_day").alias("_n"),
+        F.when(first, F.col("change")).otherwise(0).alias("change"),
+        F.when(first, F.col("outbound")).otherwise(0).alias("outbound"),
+    )
+    by_number = Window.partitionBy("product_id").orderBy("_n")
+    measured = filled.select(
+        "product_id",
+        "day",
+        F.sum("change").over(by_number.rowsBetween(Window.unboundedPreceding, 0)).alias("quantity"),
+        F.sum("outbound").over(by_number.rangeBetween(1 - trailing_days, 0)).alias("outbound"),
+    )
+    supply = (F.col("quantity") * trailing_days).cast("decimal(24,6)") / F.nullif("outbound", F.lit(0)).cast("decimal(18,0)")
+    return measured.join(reorder_points, "product_id", "left").select(
+        dates.date_key("day").alias("snapshot_date_key"),
+        F.col("product_id").alias("product_key"),
+        F.col("quantity").cast("bigint").alias("current_quantity"),
+        F.coalesce(is_low_stock(), F.lit(False)).alias("is_low_stock"),
+        F.round(supply, 4).cast("decimal(18,4)").alias("days_of_supply"),
+    )
+
+
 def outbound_from_sales(items: DataFrame) -> DataFrame:
     """Stock movements that the order lines cause."""
     return items.select(

@@ -8,14 +8,16 @@ from granary.operators.quality import duplicate_keys
 from granary.plans import bronze, gold, publish, silver
 
 
-def run(spark: SparkSession, landing: str, out: str, keys: tuple[str, ...] = ("order_id",)) -> DataFrame:
+def run(
+    spark: SparkSession, landing: str, out: str, keys: tuple[str, ...] = ("order_id",), quoted_newlines: bool = True
+) -> DataFrame:
     """Rebuild all layers under ``out`` and return the row count of each table.
 
     Every layer reads the stored layer below it, so a lost executor repeats
     work of one layer at most. Values that did not convert and repeated
     customer and product keys are written as reports beside the tables.
     """
-    raw = bronze.load(spark, landing, f"{out}/bronze/customer_orders")
+    raw = bronze.load(spark, landing, f"{out}/bronze/customer_orders", quoted_newlines)
     built = publish.rebuild(silver.build(raw, keys), f"{out}/silver/customer_orders")
     rejects = publish.rebuild(silver.cast_rejects(silver.with_key(raw)), f"{out}/silver/rejects")
 

@@ -102,26 +102,47 @@ def to_contract(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 # ---------------------------------------------------------------- validation
 def unreadable(raw: dict[str, DataFrame]) -> DataFrame:
-    """Numbers that are no finite number, or finer than the contract keeps.
+    """Values that do not fit their contract type, and typed values that are missing.
 
-    One pass per table, however many number columns it has.
+    ``invalid_number``: no finite number, finer than the contract keeps, or
+    broken where a whole number belongs. ``invalid_date``: no date.
+    ``required``: a number or date that is NULL or blank. One pass per table,
+    however many columns it has.
     """
     parts = []
     for table, types in NORTHWIND_TYPES.items():
         checks = []
+
+        def check(rule: str, name: str, broken) -> None:
+            detail = F.concat(F.lit(f"{name}="), F.coalesce(F.col(name).cast("string"), F.lit("null")))
+            checks.append(F.when(broken, F.struct(F.lit(rule).alias("rule"), detail.alias("detail"))))
+
         for name, kind in types.items():
-            if kind.startswith("decimal"):
-                scale = int(kind.rstrip(")").split(",")[1])
-                broken = numbers.is_bad_number(name, "decimal(38,12)") | numbers.is_overprecise(name, scale)
-            elif kind == "bigint" and name != "line_id":
-                broken = text.is_present(name) & numbers.lenient_long(name).isNull()
-            else:
+            if kind == "string" or name == "line_id":
                 continue
-            checks.append(F.when(broken, F.concat(F.lit(f"{name}="), F.col(name))))
+            if kind == "date":
+                check("invalid_date", name, numbers.is_not_a_date(name))
+            elif kind == "bigint":
+                check("invalid_number", name, numbers.is_not_whole(name))
+            else:
+                scale = int(kind.rstrip(")").split(",")[1])
+                check(
+                    "invalid_number", name,
+                    numbers.is_bad_number(name, "decimal(38,12)") | numbers.is_overprecise(name, scale),
+                )
+            if name != next(iter(types)):  # a missing key has a rule of its own
+                check("required", name, ~F.coalesce(text.is_present(name), F.lit(False)))
         if checks:
-            found = F.explode(F.filter(F.array(*checks), lambda detail: detail.isNotNull()))
-            rows = raw[table].withColumn("_detail", found)
-            parts.append(quality.violations(rows, "invalid_number", table, next(iter(types)), F.col("_detail")))
+            found = F.explode(F.filter(F.array(*checks), lambda entry: entry.isNotNull()))
+            rows = raw[table].withColumn("_bad", found)
+            parts.append(
+                rows.select(
+                    "_bad.rule",
+                    F.lit(table).alias("table_name"),
+                    F.col(next(iter(types))).cast("string").alias("key"),
+                    "_bad.detail",
+                )
+            )
     return quality.union_all(parts)
 
 
@@ -187,6 +208,20 @@ def revenue_reconciliation(details: DataFrame, fact: DataFrame) -> DataFrame:
     return publish.side_by_side(expected, actual).withColumn("agrees", agree)
 
 
+def count_reconciliation(source: dict[str, DataFrame], silver: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each validated source table and of its Silver table."""
+    parts = [
+        df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), F.lit(layer).alias("layer"), "rows")
+        for layer, tables in (("source", source), ("silver", silver))
+        for name, df in tables.items()
+    ]
+    counts = quality.union_all(parts).groupBy("table_name").agg(
+        F.max(F.when(F.col("layer") == "source", F.col("rows"))).alias("source_rows"),
+        F.max(F.when(F.col("layer") == "silver", F.col("rows"))).alias("silver_rows"),
+    )
+    return counts.withColumn("agrees", F.col("source_rows").eqNullSafe(F.col("silver_rows")))
+
+
 @dataclass(frozen=True)
 class Batch:
     """What a run produced."""
@@ -203,11 +238,12 @@ def run(spark: SparkSession, folder: str, out: str, validate_only: bool = False,
     Nothing is published before every rule and the reconciliation passed. The
     same input content gives the same batch, so a retry writes nothing twice.
     """
+    # the digest comes before the rows, and again before they are published: a file replaced in between is seen
+    batch = batch_id(spark, folder, NORTHWIND_FILES, MODEL_VERSION)
     # files are parsed once; the rules and Silver read the columnar copy
     raw = {name: stage(df, f"raw-{name}") for name, df in read_raw(spark, folder).items()}
     typed = to_contract(raw)
     clean = validate(typed, raw)
-    batch = batch_id(spark, folder, NORTHWIND_FILES, MODEL_VERSION)
     if validate_only:
         return Batch(batch, publish.row_counts(clean), None)
 
@@ -219,9 +255,15 @@ def run(spark: SparkSession, folder: str, out: str, validate_only: bool = False,
     paths = {name: f"{out}/gold/{batch}/{name}" for name in gold_tables(silver)}
     star = {name: publish.write_once(df, paths[name]) for name, df in gold_tables(silver).items()}
 
-    check = revenue_reconciliation(silver["order_details"], star["fact_sales"]).first()
+    # five rows, one per table
+    differing = [row.asDict() for row in count_reconciliation(clean, silver).collect() if not row.agrees]
+    if differing:
+        raise publish.BatchError(f"silver does not reconcile with its source: {differing}")
+    check = revenue_reconciliation(clean["order_details"], star["fact_sales"]).first()
     if not check.agrees:
         raise publish.BatchError(f"gold does not reconcile with its source: {check.asDict()}")
+    if batch_id(spark, folder, NORTHWIND_FILES, MODEL_VERSION) != batch:
+        raise publish.BatchError(f"a source file changed during the run: {folder}")
 
     tables = {f"gold_{batch}_{name}": path for name, path in paths.items()}
     publish.switch_view(

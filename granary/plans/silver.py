@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.contracts import MONEY, PERCENT, PRICE
@@ -59,15 +59,30 @@ def cast_rejects(bronze: DataFrame, row_label: str = "bronze_id") -> DataFrame:
     return listed.select(row_label, "bad.field", "bad.value")
 
 
+LINE_GRAIN = ("order_id", "line_number")
+
+
+def with_line_number(bronze: DataFrame) -> DataFrame:
+    """Number the lines of an order within each file, in file order.
+
+    A file that arrives twice under two names repeats its numbers, so that the
+    copies meet; two lines of one product in an order stay two.
+    """
+    lines = Window.partitionBy("source_file", "order_id").orderBy("bronze_id")
+    return bronze.withColumn("line_number", F.row_number().over(lines).cast("bigint"))
+
+
 def build(
     bronze: DataFrame, keys: tuple[str, ...] = ("order_id",), order: tuple[str, ...] = ("source_file", "bronze_id")
 ) -> DataFrame:
     """Bronze rows to Silver: blank keys out, first row per key, clean and type.
 
-    ``("order_id",)`` keeps one row per order; add the line number to keep the
-    line grain.
+    ``("order_id",)`` keeps one row per order, ``LINE_GRAIN`` every line.
     """
-    first = dedup_first(with_key(bronze), list(keys), list(order))
+    kept = with_key(bronze)
+    if "line_number" in keys and "line_number" not in bronze.columns:
+        kept = with_line_number(kept)
+    first = dedup_first(kept, list(keys), list(order))
     return typed(cleaned(first)).drop("bronze_id", "source_row", "raw_json")
 
 

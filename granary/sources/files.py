@@ -85,15 +85,19 @@ def jsonl_records(spark: SparkSession, path: str | list[str], fields: list[str])
 
 
 def json_array_records(spark: SparkSession, path: str | list[str], fields: list[str]) -> DataFrame:
-    """Files that hold one JSON array each; the format allows one task per file."""
-    documents = spark.read.text(path, wholetext=True).select(*_origin()[:3], "value")
-    elements = documents.select(
-        "source_file",
-        "_file",
-        "_block",
-        F.posexplode(F.from_json("value", "array<string>", {"mode": "FAILFAST"})).alias("_at", "raw_json"),
+    """Files that hold one JSON array each; the format allows one task per file.
+
+    The reader streams the elements, so a task holds one record at a time. It
+    reads the files once more beforehand for the fields they have, since the
+    payload keeps those outside the contract too; values keep their text.
+    """
+    raw = (
+        spark.read.option("multiLine", True)
+        .option("primitivesAsString", True)
+        .option("mode", "FAILFAST")
+        .json(path)
     )
-    return _from_raw_json(elements.withColumn("_seq", F.col("_at").cast("bigint")), fields)
+    return raw.select(*_origin(), _as_json(raw.columns).alias("raw_json"), *_conformed(raw, fields))
 
 
 def office_records(spark: SparkSession, path: str | list[str], fields: list[str]) -> DataFrame:
@@ -134,7 +138,18 @@ def missing_files(spark: SparkSession, folder: str, required: tuple[str, ...]) -
     return wanted.join(list_files(spark, folder).select("name"), "name", "left_anti")
 
 
-def landing_records(spark: SparkSession, folder: str, allowed: tuple[str, ...], fields: list[str]) -> DataFrame:
+def read_records(
+    spark: SparkSession, suffix: str, path: str | list[str], fields: list[str], quoted_newlines: bool = True
+) -> DataFrame:
+    """Records of files with one suffix; large CSV is split over tasks if its quotes hold no line breaks."""
+    if suffix == ".csv":
+        return csv_records(spark, path, fields, quoted_newlines=quoted_newlines)
+    return READERS[suffix](spark, path, fields)
+
+
+def landing_records(
+    spark: SparkSession, folder: str, allowed: tuple[str, ...], fields: list[str], quoted_newlines: bool = True
+) -> DataFrame:
     """Union of all allowed files in a folder, each read by its suffix.
 
     A landing name may also be a directory of shards, which count as one file
@@ -144,7 +159,9 @@ def landing_records(spark: SparkSession, folder: str, allowed: tuple[str, ...],
     if not present:
         raise FileNotFoundError(f"no supported landing file in {folder}")
     parts = [
-        READERS[name[name.rindex("."):]](spark, f"{folder}/{name}", fields).withColumn("source_file", F.lit(name))
+        read_records(spark, name[name.rindex("."):], f"{folder}/{name}", fields, quoted_newlines).withColumn(
+            "source_file", F.lit(name)
+        )
         for name in present
     ]
     return reduce(lambda left, right: left.unionByName(right), parts)

@@ -93,6 +93,11 @@ def test_form_instants(spark):
     ('{"rating": 9.6}', 9.6, None),
     ('{"rating": "9.6", "title": "x"}', 9.6, None),
     ("{'rating': 8}", 8.0, None),
+    ("{'rating': 5, 'title': None}", 5.0, None),
+    ("{'title': 'None, True', 'seen': True, 'new': False, 'rating': '7'}", 7.0, None),
+    ("{'rating': None}", None, "rating is required"),
+    ("{'rating': 'None'}", None, "rating must be a number"),
+    ('{"rating": 3, "note": "it\'s None"}', 3.0, None),
     ("rating=9.6", 9.6, None),
     ("title=a%20b&rating=7%2E5", 7.5, None),
     ("rating=1&rating=2", 2.0, None),
