@@ -42,8 +42,8 @@ def stream_daily_totals(spark, folder):
     events = jobs.table_stream(spark, folder, "events").select(
         F.col("ts").cast("timestamp").alias("ts"), F.col("value").cast("decimal(18,2)").alias("amount")
     )
-    jobs.daily_feed(events, out, f"{out}-checkpoint", closed_only=False)
-    return state.current(spark, out, ["day"])
+    jobs.daily_feed(events, out, f"{out}-checkpoint")
+    return state.current(spark, out, ["day"]).select("day", "events", "amount")
 
 
 @query(

@@ -145,10 +145,10 @@ def sales_dashboard(fact: DataFrame, products: DataFrame, customers: DataFrame,
 
 # ------------------------------------------------------ documented extensions
 def with_profit(fact: DataFrame, products: DataFrame) -> DataFrame:
-    """Unit cost and gross profit per line."""
+    """Unit cost and gross profit per line; both NULL for a product without a cost."""
     costs = products.select("product_id", F.col("cost").alias("unit_cost"))
     profit = numbers.money(F.col("net_revenue") - F.col("quantity") * F.col("unit_cost"))
-    return fact.join(costs, "product_id").withColumn("gross_profit", profit)
+    return fact.join(costs, "product_id", "left").withColumn("gross_profit", profit)
 
 
 def product_margin(products: DataFrame) -> DataFrame:

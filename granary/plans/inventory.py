@@ -82,7 +82,8 @@ def stock_snapshot(log: DataFrame, reorder_points: DataFrame) -> DataFrame:
     """Quantity per product for every day from its first to its last movement.
 
     Each movement day repeats its closing quantity until the next one, which
-    fills the gaps without a join against a calendar.
+    fills the gaps without a join against a calendar. A product without a
+    reorder point is never low.
     """
     by_day = Window.partitionBy("product_id").orderBy("day")
     closing = daily_movements(log).select(
@@ -92,11 +93,11 @@ def stock_snapshot(log: DataFrame, reorder_points: DataFrame) -> DataFrame:
         F.date_sub(F.lead("day").over(by_day), 1).alias("last"),
     )
     filled = closing.withColumn("day", F.explode(F.sequence("day", F.coalesce("last", "day"))))
-    return filled.join(reorder_points, "product_id").select(
+    return filled.join(reorder_points, "product_id", "left").select(
         dates.date_key("day").alias("snapshot_date_key"),
         F.col("product_id").alias("product_key"),
         F.col("quantity").cast("bigint").alias("current_quantity"),
-        is_low_stock().alias("is_low_stock"),
+        F.coalesce(is_low_stock(), F.lit(False)).alias("is_low_stock"),
     )
 
 

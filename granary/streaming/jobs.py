@@ -2,29 +2,31 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.contracts import ORDER_FIELDS
+from granary.contracts import BRONZE_METADATA, ORDER_FIELDS
 from granary.functions import payload
-from granary.sources import sample
+from granary.operators.keys import file_positions
+from granary.plans.bronze import load_time
+from granary.session import exists
+from granary.sources import files, sample
 from granary.streaming import state
 
 
-MAX_BATCH_BYTES = 512 * 2**30
-
-
-def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table_stream(spark: SparkSession, folder: str, name: str, batch_bytes: int | None = None) -> DataFrame:
     """Stream over one sample table, stored as a file or as a folder of files.
 
-    The braces make the path a pattern: a plain path has to be a folder. A
-    backlog is taken in batches of bounded size, so a failure repeats little.
+    The braces make the path a pattern: a plain path has to be a folder.
+    ``batch_bytes`` cuts a backlog into batches, so that a failure repeats
+    less; what a job has written in the end does not depend on it.
     """
-    return (
-        spark.readStream.schema(sample.SCHEMAS[name])
-        .option("maxBytesPerTrigger", MAX_BATCH_BYTES)
-        .parquet(f"{folder}/{{{name}}}.parquet")
-    )
+    reader = spark.readStream.schema(sample.SCHEMAS[name])
+    if batch_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", batch_bytes)
+    return reader.parquet(f"{folder}/{{{name}}}.parquet")
 
 
 # ------------------------------------------------------------- rating updates
@@ -74,40 +76,70 @@ def stock_feed(log: DataFrame, out: str, checkpoint: str) -> None:
 
 
 # --------------------------------------------------------------- daily totals
-def daily_totals(events: DataFrame, lateness: str) -> DataFrame:
-    """Count and amount per day of event time; later rows than allowed are dropped."""
-    return (
-        events.withWatermark("ts", lateness)
-        .groupBy(F.window("ts", "1 day").alias("day"))
-        .agg(F.count("*").alias("events"), F.sum("amount").cast("decimal(18,2)").alias("amount"))
-        .select(F.col("day.start").cast("date").alias("day"), "events", "amount")
-    )
+def daily_totals(events: DataFrame) -> DataFrame:
+    """Count and amount per day of event time, and the newest event of the day.
 
+    The state is one row per day, so it needs no watermark, and no event is
+    dropped for arriving in a late batch.
+    """
+    return events.groupBy(F.to_date("ts").alias("day")).agg(
+        F.count("*").alias("events"),
+        F.sum("amount").cast("decimal(18,2)").alias("amount"),
+        F.max("ts").alias("newest"),
+    )
 
-def daily_feed(events: DataFrame, out: str, checkpoint: str, lateness: str = "1 day", closed_only: bool = True) -> None:
-    """Daily totals as Parquet.
 
-    ``closed_only`` appends a day once the watermark has passed its end;
-    otherwise each batch sends the days it changed and readers take the newest.
-    """
-    totals = daily_totals(events, lateness)
-    if closed_only:
-        writer = totals.writeStream.outputMode("append").format("parquet").option("path", out)
-    else:
-        writer = totals.writeStream.outputMode("update").foreachBatch(state.delta_writer(out))
+def daily_feed(events: DataFrame, out: str, checkpoint: str) -> None:
+    """Daily totals: each batch sends the days it changed and readers take the newest."""
+    writer = daily_totals(events).writeStream.outputMode("update").foreachBatch(state.delta_writer(out))
     state.run_available(writer, checkpoint)
 
 
+def closed_days(spark: SparkSession, out: str, lateness: str = "1 day") -> DataFrame:
+    """Days that ended at least ``lateness`` before the newest event seen, with their totals so far."""
+    days = state.current(spark, out, ["day"])
+    newest = days.agg(F.max("newest")).first()[0]  # one value
+    ended = F.date_add("day", 1).cast("timestamp") + F.expr(f"interval {lateness}")
+    return days.filter(ended <= F.lit(newest)).drop("newest")
+
+
 # -------------------------------------------------------- incremental landing
-def landing_feed(spark: SparkSession, landing: str, out: str, checkpoint: str) -> None:
-    """Append new JSON Lines landing files to Bronze, each file once."""
-    schema = ", ".join(f"{name} string" for name in ORDER_FIELDS)
-    lines = spark.readStream.option("pathGlobFilter", "*.txt").text(landing).filter(F.trim("value") != "")
-    rows = lines.select(
-        F.col("_metadata.file_name").alias("source_file"),
-        F.current_timestamp().alias("extracted_at"),
-        F.col("value").alias("raw_json"),
-        F.from_json("value", schema, {"mode": "FAILFAST"}).alias("_record"),
-    ).select("source_file", "extracted_at", "raw_json", "_record.*")
-    writer = rows.writeStream.outputMode("append").format("parquet").option("path", out)
-    state.run_available(writer, checkpoint)
+ARRIVAL = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def landing_feed(
+    spark: SparkSession, landing: str, out: str, checkpoint: str, files_per_batch: int = 1000,
+    quoted_newlines: bool = True,
+) -> None:
+    """Append new landing files of every supported format to Bronze, each file once.
+
+    The stream carries the paths of new files only; their rows come from the
+    batch readers and are numbered as in a full load, ``bronze_id`` going on
+    from the batches before. A repeated batch overwrites itself.
+    """
+    arrivals = (
+        spark.readStream.format("binaryFile")
+        .schema(ARRIVAL)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(landing)
+        .select("path")
+    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        paths = sorted(row.path for row in batch.collect())  # at most files_per_batch
+        parts = [
+            files.read_records(spark, suffix, wanted, ORDER_FIELDS, quoted_newlines)
+            for suffix in files.READERS
+            if (wanted := [path for path in paths if path.endswith(suffix)])
+        ]
+        if not parts:
+            return
+        before = 0
+        if batch_id and exists(spark, out):
+            earlier = spark.read.parquet(out).where(F.col("batch") < batch_id)
+            before = earlier.agg(F.max("bronze_id")).first()[0] or 0
+        numbered = file_positions(reduce(DataFrame.unionByName, parts))
+        rows = numbered.withColumns({"bronze_id": F.col("bronze_id") + before, "extracted_at": F.lit(load_time())})
+        rows.select(*BRONZE_METADATA, *ORDER_FIELDS).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    state.run_available(arrivals.writeStream.foreachBatch(write), checkpoint)

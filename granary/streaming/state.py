@@ -21,9 +21,11 @@ def delta_writer(path: str, split: Callable[[DataFrame], dict[str, DataFrame]] |
             batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
             return
         batch.persist()  # read once per output
-        for name, rows in split(batch).items():
-            rows.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
-        batch.unpersist()
+        try:
+            for name, rows in split(batch).items():
+                rows.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     return write
 

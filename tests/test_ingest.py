@@ -112,6 +112,34 @@ def test_broken_json_line_fails(spark, tmp_path):
         files.jsonl_records(spark, str(tmp_path / "customer_orders.txt"), ORDER_FIELDS).collect()
 
 
+def test_plain_csv_is_split_over_tasks(spark, tmp_path):
+    rows = "".join(f"ORD{i},2026-01-01,C{i},{'x' * 60}\n" for i in range(20_000))
+    (tmp_path / "customer_orders.csv").write_text("order_id,order_date,customer_id,customer_name\n" + rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+        whole = files.landing_records(spark, str(tmp_path), ("customer_orders.csv",), ORDER_FIELDS)
+        plain = files.landing_records(spark, str(tmp_path), ("customer_orders.csv",), ORDER_FIELDS, quoted_newlines=False)
+        assert whole.rdd.getNumPartitions() == 1 and plain.rdd.getNumPartitions() > 5
+        one = bronze.customer_orders(spark, str(tmp_path), datetime(2026, 1, 1))
+        many = bronze.customer_orders(spark, str(tmp_path), datetime(2026, 1, 1), quoted_newlines=False)
+        assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty() and many.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_line_grain_keeps_two_lines_of_one_product(spark):
+    from granary.plans import silver
+
+    rows = [(1, "a.csv", "A", "P1"), (2, "a.csv", "A", "P1"), (3, "a.csv", "B", "P1"), (4, "b.csv", "A", "P1")]
+    schema = "bronze_id bigint, source_file string, order_id string, product_id string"
+    missing = {name: F.lit(None).cast("string") for name in ORDER_FIELDS if name not in ("order_id", "product_id")}
+    frame = spark.createDataFrame(rows, schema).withColumns(missing)
+    kept = silver.build(frame, silver.LINE_GRAIN).select("order_id", "line_number", "source_file").collect()
+    assert sorted(map(tuple, kept)) == [("A", 1, "a.csv"), ("A", 2, "a.csv"), ("B", 1, "a.csv")]
+    assert silver.build(frame).count() == 2
+
+
 def test_positions_over_many_splits(spark, tmp_path):
     """Three files cut into many splits still count from 1 without gaps."""
     for part in range(3):

@@ -7,6 +7,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from granary.contracts import NORTHWIND_TYPES
 from granary.operators.quality import QualityError
@@ -105,6 +106,36 @@ def test_unreadable_numbers(spark, value, broken):
     assert (northwind.unreadable(raw).count() == 1) is broken
 
 
+def raw_set(spark, **changes):
+    """The valid set as text, with some columns of a table replaced."""
+    raw = {}
+    for name, types in NORTHWIND_TYPES.items():
+        rows = [tuple(None if v is None else str(v) for v in row) for row in ROWS[name]]
+        raw[name] = spark.createDataFrame(rows, ", ".join(f"{column} string" for column in types))
+    for place, value in changes.items():
+        table, column = place.split("__")
+        raw[table] = raw[table].withColumn(column, F.lit(value).cast("string"))
+    return raw
+
+
+@pytest.mark.parametrize("change,rule", [
+    ({"order_details__quantity": "2.7"}, "invalid_number"), ({"order_details__quantity": "2.0"}, None),
+    ({"orders__order_date": "not a date"}, "invalid_date"), ({"orders__order_date": "2026-02-30"}, "invalid_date"),
+    ({"orders__order_date": " 2026-02-01 "}, None), ({"orders__order_date": None}, "required"),
+    ({"orders__freight": " "}, "required"), ({"order_details__discount": None}, "required"),
+    ({"products__category_id": "1.5"}, "invalid_number"), ({"customers__city": None}, None),
+])
+def test_gate_refuses_what_does_not_fit(spark, change, rule):
+    rules = {row.rule for row in northwind.unreadable(raw_set(spark, **change)).collect()}
+    assert rules == ({rule} if rule else set())
+
+
+def test_silver_counts_are_checked(spark):
+    data = {"a": spark.range(3), "b": spark.range(2)}
+    rows = {r.table_name: r.agrees for r in northwind.count_reconciliation(data, {**data, "b": spark.range(1)}).collect()}
+    assert rows == {"a": True, "b": False}
+
+
 # ----------------------------------------------------------------- whole runs
 def write_sources(folder, freight=100.0, lines=3):
     folder.mkdir(exist_ok=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import date
 
 import pytest
@@ -63,31 +64,51 @@ def test_payload_feed_splits(spark, tmp_path):
     assert rejected == {2: "rating must be a number", 3: "rating is required"}
 
 
-def test_daily_totals_append_only_closed_days(spark, tmp_path):
-    feed = tmp_path / "feed"
+def day_stream(spark, feed, **options):
+    return spark.readStream.schema("ts timestamp, amount decimal(18,2)").options(**options).json(str(feed))
+
+
+def test_closed_days(spark, tmp_path):
+    feed, out = tmp_path / "feed", str(tmp_path / "out")
     feed.mkdir()
-    rows = [{"ts": f"2026-01-0{day}T12:00:00", "amount": day} for day in (1, 1, 2, 3, 5)]
-    write_updates(feed / "a.json", rows)
-    events = spark.readStream.schema("ts timestamp, amount decimal(18,2)").json(str(feed))
-    out = str(tmp_path / "out")
-    jobs.daily_feed(events, out, str(tmp_path / "checkpoint"))
-    closed = {row.day: row.events for row in spark.read.parquet(out).collect()}
+    write_updates(feed / "a.json", [{"ts": f"2026-01-0{day}T12:00:00", "amount": day} for day in (1, 1, 2, 3, 5)])
+    jobs.daily_feed(day_stream(spark, feed), out, str(tmp_path / "checkpoint"))
+    closed = {row.day: row.events for row in jobs.closed_days(spark, out).collect()}
     assert closed == {date(2026, 1, 1): 2, date(2026, 1, 2): 1, date(2026, 1, 3): 1}
 
 
+@pytest.mark.parametrize("files", ["1", "1000"])
+def test_daily_totals_do_not_depend_on_the_batch_size(spark, tmp_path, files):
+    """Newest day first: no batch size drops the older days."""
+    feed, out = tmp_path / "feed", str(tmp_path / "out")
+    feed.mkdir()
+    for place, day in enumerate((10, 9, 3, 1)):
+        path = feed / f"{place}.json"
+        write_updates(path, [{"ts": f"2026-01-{day:02d}T12:00:00", "amount": 1}] * day)
+        os.utime(path, (1_700_000_000 + place, 1_700_000_000 + place))
+    jobs.daily_feed(day_stream(spark, feed, maxFilesPerTrigger=files), out, str(tmp_path / "checkpoint"))
+    totals = {row.day.day: row.events for row in state.current(spark, out, ["day"]).collect()}
+    assert totals == {10: 10, 9: 9, 3: 3, 1: 1}
+
+
 def test_landing_feed_takes_each_file_once(spark, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
     out, checkpoint = str(tmp_path / "bronze"), str(tmp_path / "checkpoint")
     write_updates(landing / "one.txt", [{"order_id": "A"}, {"order_id": "B", "quantity": 2}])
-    (landing / "ignored.csv").write_text("order_id\nX\n")
+    (landing / "notes.md").write_text("not a landing file")
     jobs.landing_feed(spark, str(landing), out, checkpoint)
     jobs.landing_feed(spark, str(landing), out, checkpoint)
     assert spark.read.parquet(out).count() == 2
-    write_updates(landing / "two.txt", [{"order_id": "C"}])
+    (landing / "two.csv").write_text("order_id,province\nX,north\nY,\"a\nb\"\n")
+    (landing / "three.json").write_text('[{"order_id": "C"}, {"order_id": "D", "more": 1}]')
     jobs.landing_feed(spark, str(landing), out, checkpoint)
-    rows = spark.read.parquet(out)
-    assert {(r.order_id, r.source_file) for r in rows.collect()} == {("A", "one.txt"), ("B", "one.txt"), ("C", "two.txt")}
+    rows = spark.read.parquet(out).orderBy("bronze_id").collect()
+    assert [(r.bronze_id, r.source_file, r.source_row, r.order_id) for r in rows] == [
+        (1, "one.txt", 1, "A"), (2, "one.txt", 2, "B"), (3, "three.json", 1, "C"), (4, "three.json", 2, "D"),
+        (5, "two.csv", 1, "X"), (6, "two.csv", 2, "Y"),
+    ]
+    assert rows[5].province == "a\nb" and json.loads(rows[3].raw_json)["more"] == "1"
 
 
 def test_stock_feed(spark, tmp_path):
