@@ -36,13 +36,17 @@ STOP_WORDS = {
 
 @dataclass(frozen=True)
 class Rule:
-    """``measure`` / ``per`` must lie within [low, high]; without words only ``n_words`` rules apply."""
+    """``measure`` / ``per`` must lie within [low, high] in texts of ``from_words`` words or more.
+
+    A ratio over nothing is within any limits.
+    """
 
     name: str
     measure: str
     per: str | None = None
     low: float | None = None
     high: float | None = None
+    from_words: int = 0
 
 
 # Measures a rule may name: the columns of ``measures``. Ratios are per word or per line.
@@ -51,8 +55,8 @@ RULES = (
     Rule("too_long", "n_words", high=1_000_000),
     Rule("word_length", "word_chars", per="n_words", low=2.0, high=16.0),
     Rule("symbols", "n_symbols", per="n_words", high=0.10),
-    Rule("stop_words", "n_stop_words", per="n_words", low=0.06),
-    Rule("repeated_lines", "n_dup_lines", per="n_lines", high=0.30),
+    Rule("stop_words", "n_stop_words", per="n_words", low=0.06, from_words=30),
+    Rule("repeated_lines", "n_dup_lines", per="n_lines", high=0.50),
     Rule("list_lines", "n_bullet_lines", per="n_lines", high=0.90),
     Rule("cut_lines", "n_cut_lines", per="n_lines", high=0.30),
 )
@@ -132,6 +136,8 @@ def compiled(rules: tuple[Rule, ...] = RULES) -> Column:
             outside = outside | (value < rule.low)
         if rule.high is not None:
             outside = outside | (value > rule.high)
+        if rule.from_words:
+            outside = outside & (F.col("n_words") >= rule.from_words)
         broken.append(F.when(outside, F.lit(rule.name)))
     return F.array_compact(F.array(*broken))
 

@@ -35,9 +35,9 @@ def _rules_sql() -> str:
         if rule.per:
             value = f"{value} / nullif(CAST({rule.per} AS DOUBLE), 0)"
         if rule.low is not None:
-            broken.append(f"coalesce({value} < {rule.low}, false)")
+            broken.append(f"coalesce({value} < {rule.low}, false) AND n_words >= {rule.from_words}")
         if rule.high is not None:
-            broken.append(f"coalesce({value} > {rule.high}, false)")
+            broken.append(f"coalesce({value} > {rule.high}, false) AND n_words >= {rule.from_words}")
     return f"""
     WITH base AS (
       SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
