@@ -13,16 +13,18 @@ share is bounded, enter as that bound. A block that stays below the threshold
 cannot hold a pivot and is skipped. In the others WAND walks its cursors: the
 pivot is the first segment where the cursors' maxima reach the threshold.
 
-An item found this way counts only if at least ``OVERLAP`` of the five-word
-shingles of its question and of its answer occur in the whole document.
+An item found this way counts only if at least ``OVERLAP`` of its five-word
+shingles occur in the whole document, and the shingles found cover at least
+``PART_COVER`` of the words of its question and of its answer, so that neither
+stands for the other.
 
 Index statistics are computed in Spark. The index is broadcast in shards of
 about ``SHARD_SEGMENTS`` segments, each a bounded array; a benchmark of any size
 is so many passes over the documents.
 
 Defined results: null and empty documents hold nothing; items without words
-are never found; parts of an item shorter than five words must occur as a
-whole; an item without an answer is held to its question alone; equal items are
+are never found; an item shorter than five words must occur as a whole; an item
+without an answer is held to its question alone; equal items are
 reported by each id; repeated documents are searched alike; an empty table on
 either side gives no leaks. Other columns stay as they are.
 """
@@ -33,7 +35,6 @@ import re
 import uuid
 from bisect import bisect_left
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,7 @@ from granary.llm.frames import shielded, without
 SEGMENT = 64
 SHINGLE = 5
 OVERLAP = 0.8
+PART_COVER = 0.5
 THRESHOLD = 0.6
 BLOCK = 4
 SHARD_SEGMENTS = 4096
@@ -54,12 +56,13 @@ K1, B = 1.2, 0.75
 MOST_CELLS = 4_000_000
 
 WORDS = re.compile(r"\w+")
-LEAK = "array<struct<item_id:long,score:double,question_overlap:double,answer_overlap:double>>"
+LEAK = "array<struct<item_id:long,score:double,overlap:double,question_overlap:double,answer_overlap:double>>"
 ARROW_LEAK = pa.list_(
     pa.struct(
         [
             ("item_id", pa.int64()),
             ("score", pa.float64()),
+            ("overlap", pa.float64()),
             ("question_overlap", pa.float64()),
             ("answer_overlap", pa.float64()),
         ]
@@ -73,23 +76,24 @@ def words_of(text: str) -> list[str]:
     return WORDS.findall(text.lower())
 
 
-def shingles(words: list[str]) -> list[str]:
-    """Five-word shingles between spaces; of a shorter text the whole."""
-    if not words:
-        return []
-    return [f" {' '.join(words[i : i + SHINGLE])} " for i in range(max(1, len(words) - SHINGLE + 1))]
-
-
-@dataclass
 class Item:
-    item_id: int
-    question: list[str]
-    answer: list[str]
+    """A test item's words, and where its answer begins."""
+
+    def __init__(self, item_id: int | None, question: str, answer: str):
+        self.item_id = item_id
+        asked, answered = words_of(question), words_of(answer)
+        self.words, self.answer_at = asked + answered, len(asked)
+        starts = range(max(1, len(self.words) - SHINGLE + 1)) if self.words else ()
+        self.shingles = [f" {' '.join(self.words[i : i + SHINGLE])} " for i in starts]
 
-    def overlaps(self, document: str) -> tuple[float, float]:
-        """Shares of the question's and the answer's shingles in a document's spaced words."""
-        found = [sum(s in document for s in part) / len(part) if part else 1.0 for part in (self.question, self.answer)]
-        return found[0], found[1]
+    def overlaps(self, document: str) -> tuple[float, float, float]:
+        """Share of the shingles in a document's spaced words; share of question and answer words they cover."""
+        found = [i for i, shingle in enumerate(self.shingles) if shingle in document]
+        covered = {i + k for i in found for k in range(SHINGLE) if i + k < len(self.words)}
+        answered = sum(i >= self.answer_at for i in covered)
+        parts = ((len(covered) - answered, self.answer_at), (answered, len(self.words) - self.answer_at))
+        question, answer = (part / whole if whole else 1.0 for part, whole in parts)
+        return len(found) / max(1, len(self.shingles)), question, answer
 
 
 class Index:
@@ -227,10 +231,16 @@ class Index:
             spaced = f" {' '.join(words)} " if scores else ""
             for place, score in sorted(scores.items()):
                 item = self.items[place]
-                question, answer = item.overlaps(spaced)
-                if question >= OVERLAP and answer >= OVERLAP:
+                overlap, question, answer = item.overlaps(spaced)
+                if overlap >= OVERLAP and question >= PART_COVER and answer >= PART_COVER:
                     leaks.append(
-                        {"item_id": item.item_id, "score": score, "question_overlap": question, "answer_overlap": answer}
+                        {
+                            "item_id": item.item_id,
+                            "score": score,
+                            "overlap": overlap,
+                            "question_overlap": question,
+                            "answer_overlap": answer,
+                        }
                     )
             verified.append(leaks)
         return verified
@@ -282,7 +292,7 @@ def index_shards(items: DataFrame, threshold: float = THRESHOLD) -> Iterator[Ind
     for number in range(shards):
         listed = postings.where(F.col("_shard") == number).orderBy("_key", "_part", "_term").collect()
         whole = {
-            row._key: Item(row.item_id, shingles(words_of(row.question)), shingles(words_of(row.answer)))
+            row._key: Item(row.item_id, row.question, row.answer)
             for row in rows.where(shard == number).collect()
         }
         yield _shard_index(listed, whole, threshold)
@@ -318,7 +328,7 @@ def _search(index) -> object:
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """A row per document and verified item: the id, ``item_id``, ``score`` and both overlaps."""
+    """A row per document and verified item: the id, ``item_id``, ``score`` and the overlaps."""
     spark, found = docs.sparkSession, None
     for index in index_shards(items):
         search = _search(spark.sparkContext.broadcast(index))

@@ -92,6 +92,16 @@ def test_leaks_need_question_and_answer(spark, items):
     assert kept == set(range(90, len(texts)))
 
 
+def test_a_copy_with_a_changed_word_is_found_and_half_an_item_is_not(index):
+    for number, question, answer in make_items(90)[30:40]:
+        words = f"{question} {answer}".split()
+        for place in (1, len(words) // 2, len(words) - 1):
+            changed = [*words[:place], "other", *words[place + 1 :]]
+            leaks = index.leaks([f"{prose(1, 20)} {' '.join(changed)} {prose(2, 20)}"])[0]
+            assert [leak["item_id"] for leak in leaks] == ([number] if len(words) > 30 else [leak["item_id"] for leak in leaks])
+        assert index.leaks([" ".join(words[: len(words) // 2])])[0] == []
+
+
 def test_shards_find_what_one_index_finds(spark, items, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(documents())), "doc_id long, text string")
     one = {tuple(r)[:2] for r in decontaminate.find_leaks(docs, items).collect()}
