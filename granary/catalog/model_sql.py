@@ -7,10 +7,17 @@ from __future__ import annotations
 
 import re
 
+from granary.contracts import CARRIERS, SHIPPING_COSTS
+
 LINE_ORDER = "order_id, line_number, product_id, supplier_id, ship_date, raw_price"
 
 
 
+def _cases(values) -> str:
+    """WHEN branches 0, 1, 2 ... of the given SQL values."""
+    return " ".join(f"WHEN {n} THEN {value}" for n, value in enumerate(values))
+
+
 def padded(number: str, width: int) -> str:
     """SQL of a number with leading zeros up to ``width``; a longer one stays whole."""
     digits = f"CAST({number} AS VARCHAR)"
@@ -160,10 +167,8 @@ MODEL = {
     "parcels": f"""
         SELECT o_orderkey AS shipment_id, o_orderkey AS order_id,
                'TH' || {padded("o_orderkey", 14)} AS tracking_number,
-               CASE o_orderkey % 6 WHEN 0 THEN 'Kerry Express' WHEN 1 THEN 'Flash Express' WHEN 2 THEN 'EMS Thailand'
-                    WHEN 3 THEN 'J&T Express' WHEN 4 THEN 'DHL Express' ELSE 'Ninja Van' END AS carrier,
-               CAST(CASE o_orderkey % 6 WHEN 0 THEN 0 WHEN 1 THEN 50 WHEN 2 THEN 80 WHEN 3 THEN 100 WHEN 4 THEN 150
-                    ELSE 200 END AS DECIMAL(10,2)) AS shipping_cost,
+               CASE o_orderkey % 6 {_cases(f"'{c}'" for c in CARRIERS)} END AS carrier,
+               CAST(CASE o_orderkey % 6 {_cases(map(str, SHIPPING_COSTS))} END AS DECIMAL(10,2)) AS shipping_cost,
                CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipping' ELSE 'preparing' END AS status,
                CAST(o_orderdate AS DATE) AS updated_at
         FROM orders""",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from granary.catalog.model_sql import padded
 from granary.catalog.registry import query
-from granary.contracts import coupon_table
+from granary.contracts import CARRIERS, SHIPPING_COSTS, coupon_table
 from granary.functions import payload
 from granary.operators import quality
 from granary.plans import generate, inventory, logistics, marketing, pricing, silver
@@ -484,6 +484,11 @@ def top_rated(spark, folder):
 GENERATOR_SEED = 20260922
 
 
+def _list_sql(values: list) -> str:
+    """A DuckDB list of the generator's fixed values."""
+    return "[" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values) + "]"
+
+
 def _draw_sql(field: str, key: str, n: str) -> str:
     return f"('0x' || substr(md5('{GENERATOR_SEED}:{field}:' || {key}), 1, 12))::BIGINT % {n}"
 
@@ -501,11 +506,11 @@ def _draw_sql(field: str, key: str, n: str) -> str:
                          AS order_date,
                      {_draw_sql("product", "o_orderkey", "(SELECT count(*) FROM part)")} AS n,
                      {_draw_sql("quantity", "o_orderkey", "5")} + 1 AS quantity,
-                     CAST(list_extract([0, 0, 0, 5, 10, 15], {_draw_sql("discount", "o_orderkey", "6")} + 1) AS BIGINT)
+                     CAST(list_extract({_list_sql(generate.DISCOUNT_CHOICES)}, {_draw_sql("discount", "o_orderkey", "6")} + 1) AS BIGINT)
                          AS discount_pct,
-                     list_extract(['โอนเงิน', 'บัตรเครดิต', 'เก็บเงินปลายทาง', 'e-Wallet'],
+                     list_extract({_list_sql(generate.GENERATED_PAYMENTS)},
                                   {_draw_sql("payment", "o_orderkey", "4")} + 1) AS payment_method,
-                     list_extract(['จัดส่งแล้ว', 'กำลังจัดส่ง', 'รอดำเนินการ', 'ส่งสำเร็จ'],
+                     list_extract({_list_sql(generate.GENERATED_SHIPPING)},
                                   {_draw_sql("shipping", "o_orderkey", "4")} + 1) AS shipping_status,
                      {_draw_sql("province", "o_orderkey", "(SELECT count(*) FROM nation)")} AS place,
                      {_draw_sql("phone", "o_orderkey", "100000000")} AS phone
@@ -589,9 +594,8 @@ def gen_order_items(spark, folder):
     "gen_shipments",
     f"""SELECT order_id,
                'TH' || upper(substr(md5('{GENERATOR_SEED}:tracking:' || order_id), 1, 14)) AS tracking_number,
-               list_extract(['Kerry Express', 'Flash Express', 'EMS Thailand', 'J&T Express', 'DHL Express',
-                             'Ninja Van'], {_draw_sql("carrier", "order_id", "6")} + 1) AS carrier,
-               CAST(list_extract([0, 50, 80, 100, 150, 200], {_draw_sql("cost", "order_id", "6")} + 1)
+               list_extract({_list_sql(CARRIERS)}, {_draw_sql("carrier", "order_id", "6")} + 1) AS carrier,
+               CAST(list_extract({_list_sql(SHIPPING_COSTS)}, {_draw_sql("cost", "order_id", "6")} + 1)
                     AS DECIMAL(10,2)) AS shipping_cost,
                CASE WHEN s < 80 THEN 'delivered' ELSE 'shipping' END AS status
         FROM (SELECT o_orderkey AS order_id, {_draw_sql("status", "o_orderkey", "100")} AS s FROM orders)

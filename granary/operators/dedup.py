@@ -29,9 +29,16 @@ def _versions(df: DataFrame, key: str) -> DataFrame:
 
 
 def conflicting_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys whose rows are not all the same."""
-    versions = _versions(df, key).filter(~F.col("_low").eqNullSafe(F.col("_high")))
-    return versions.select(F.col("_key").alias(key))
+    """Keys whose rows are not all the same.
+
+    Rows are compared by two 64-bit digests of all columns, whose minima and
+    maxima aggregate by hash; NULL is told from an empty value by its flag.
+    """
+    cells = [cell for c in df.columns for cell in (F.col(c), F.col(c).isNull())]
+    digests = {f"_{n}": F.xxhash64(F.lit(n), *cells) for n in (1, 2)}
+    ends = [end(name).alias(f"{name}_{label}") for name in digests for label, end in (("low", F.min), ("high", F.max))]
+    versions = df.select(F.col(key).alias("_key"), *[d.alias(name) for name, d in digests.items()]).groupBy("_key")
+    return versions.agg(*ends).filter("_1_low <> _1_high or _2_low <> _2_high").select(F.col("_key").alias(key))
 
 
 def dedup_exact_or_reject(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
