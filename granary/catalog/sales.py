@@ -234,7 +234,7 @@ def _products_with_sku(spark, folder):
     """SELECT s.line_id AS sale_id, CAST(strftime(s.order_date, '%Y%m%d') AS BIGINT) AS date_key, s.order_id,
               p.product_key, c.customer_key, y.payment_key, s.quantity, s.unit_price, p.cost AS unit_cost,
               CAST(round(s.quantity * s.unit_price, 2) AS DECIMAL(18,2)) AS line_total,
-              CAST(round(s.quantity * s.unit_price, 2) AS DECIMAL(18,2)) - s.net_revenue AS discount_amount,
+              CAST(round(s.quantity * s.unit_price, 2) - s.net_revenue AS DECIMAL(18,2)) AS discount_amount,
               s.net_revenue, CAST(s.net_revenue - s.quantity * p.cost AS DECIMAL(18,2)) AS gross_profit
        FROM sales s JOIN headers h ON s.order_id = h.order_id
        LEFT JOIN (SELECT product_id, cost, row_number() OVER (ORDER BY product_id) AS product_key FROM products
