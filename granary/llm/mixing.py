@@ -42,7 +42,8 @@ DOCS_PER_BLOCK = 64
 LEAST_BITS, MOST_BITS = 6, 20
 REGION_DOCS = 512
 EXACT_UNITS = 128
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 100_000
+ROWS_PER_PIECE = 4096
 
 ADDED = ("size", "source_size", "target", "copies")
 
@@ -96,6 +97,7 @@ class Mix:
     id_column: str
     source: str
     few_picks: bool
+    pieces: int
 
 
 def _unit(text: str, id_column: str, seed: int) -> Column:
@@ -164,13 +166,15 @@ def plan(
         step, start = (int.from_bytes(half, "big") % (1 << bits) for half in (draw[:8], draw[8:]))
         room = float(aim - passes * r["size"])
         rows.append((r._source, r["size"], float(aim), passes, room, bits, step | 1, start, r.docs <= REGION_DOCS))
+    # one row a source; beyond the bound Spark joins them as it sees fit
+    placed = F.broadcast if len(rows) <= BROADCAST_ROWS else lambda table: table
     first = spark.createDataFrame(
         rows,
         "_source string, _size long, _target double, _passes int, _room double, _bits int, _step long, _start long, "
         "_few boolean",
     )
     blocks = (
-        narrow.join(first, narrow["_source"].eqNullSafe(first["_source"])).drop(first["_source"])
+        narrow.join(placed(first), narrow["_source"].eqNullSafe(first["_source"])).drop(first["_source"])
         .withColumn("_position", _position())
         .groupBy("_source", "_position")
         .agg(
@@ -212,7 +216,7 @@ def plan(
     sources = spark.createDataFrame(table, f"{schema},_cut:long,_end:long,_picks:long,_ends:array<bigint>")
 
     near = (
-        narrow.join(sources, narrow["_source"].eqNullSafe(sources["_source"])).drop(sources["_source"])
+        narrow.join(placed(sources), narrow["_source"].eqNullSafe(sources["_source"])).drop(sources["_source"])
         .withColumn("_position", _position())
         .where((F.col("_position") >= F.col("_cut")) & (F.col("_position") < F.col("_end")))
         .groupBy("_source", "_position", "_unit")
@@ -222,14 +226,15 @@ def plan(
         [(row[0], spare) for row, spare in zip(rows, spares)], "_source string, _room long"
     )
     picked = session.stage(
-        near.join(spare, near["_source"].eqNullSafe(spare["_source"]))
+        near.join(placed(spare), near["_source"].eqNullSafe(spare["_source"]))
         .drop(spare["_source"])
         .groupBy("_source")
         .applyInPandas(_picks, "_source string, _unit long"),
         "mix-picks",
     )
     few = sum(c.docs for c in cuts.values()) <= BROADCAST_ROWS
-    return Mix(sources, picked, seed, shards, text, id_column, source, few)
+    pieces = max(1, -(-2 * sum(r.docs for r in found) // (shards * ROWS_PER_PIECE)))
+    return Mix(placed(sources), picked, seed, shards, text, id_column, source, few, pieces)
 
 
 def _decided(docs: DataFrame, mix: Mix) -> DataFrame:
@@ -270,7 +275,11 @@ def decide(docs: DataFrame, mix: Mix) -> DataFrame:
 
 @shielded
 def mixed(docs: DataFrame, mix: Mix) -> DataFrame:
-    """The mix itself: a row per copy taken, with ``copy``, ``shard`` and a ``place`` that shuffles the shard."""
+    """The mix itself: a row per copy taken, with ``copy``, ``shard`` and a ``place`` that shuffles the shard.
+
+    Rows are dealt out by shard and piece of the shard, both told by hashes,
+    and lie in order of ``place`` within a piece.
+    """
     docs = without(docs, "copy", "shard", "place")
     last = F.col("copy") == F.col("_passes")
     place = F.col("copy") * F.expr("shiftleft(1L, _bits)") + F.when(last, F.col("_last")).otherwise(F.col("_position"))
@@ -281,7 +290,8 @@ def mixed(docs: DataFrame, mix: Mix) -> DataFrame:
         .withColumn("_block", place)
         .withColumn("shard", F.size(F.filter("_ends", lambda end: end <= F.col("_block"))))
         .withColumn("place", F.xxhash64(F.lit(mix.seed), F.col("_unit"), F.col("copy")))
-        .drop("_unit", "_position", "_last", "_passes", "_bits", "_ends", "_block")
-        .repartitionByRange("shard", "place")
-        .sortWithinPartitions("shard", "place")
+        .withColumn("_piece", F.pmod("place", F.lit(mix.pieces)))
+        .repartition("shard", "_piece")
+        .sortWithinPartitions("shard", "_piece", "place")
+        .drop("_unit", "_position", "_last", "_passes", "_bits", "_ends", "_block", "_piece")
     )
