@@ -25,7 +25,6 @@ from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from granary.llm import text as T
 from granary.llm.template import compile_template

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from granary import session
 from granary.llm import text as T
 from granary.llm.components import components
-from granary.llm.frames import shielded, without
+from granary.llm.frames import shielded
 
 SHINGLE = 4
 RADIUS = 4
