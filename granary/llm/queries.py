@@ -125,7 +125,32 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op4_chat_format")
+def _guarded_sql(text: str) -> str:
+    """Length of a text with its backslashes doubled and its control strings broken up."""
+    return (
+        f"(length({text}) + length({text}) - length(replace({text}, '\\', ''))"
+        f" + len(regexp_extract_all({text}, '[<\\[]/?(?:s>|INST\\])')))"
+    )
+
+
+CHAT_SQL = f"""
+    WITH said AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+      UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+    )
+    SELECT conv_id, count(*) AS n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+      CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+      sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+        AS loss_sha256,
+      CAST(sum(8 + {_guarded_sql("role")} + length(role) - length(replace(role, chr(10), ''))
+               + {_guarded_sql("text")} + CASE WHEN role = 'assistant' THEN 0 ELSE 15 END) AS BIGINT) AS formatted_chars
+    FROM said GROUP BY conv_id
+    """
+
+
+@query("op4_chat_format", CHAT_SQL)
 def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -145,10 +170,79 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return pu_classifier.score(docs, network).select("doc_id", "held_out", "score", "predicted")
 
 
-@query("op1_decontamination")
+# every passage against every segment, without an index; words as the operator's pattern cuts them
+LEAK_SQL = f"""
+    WITH parted AS (
+      SELECT DISTINCT item_id, text,
+        CASE WHEN regexp_matches(text, '(?s)^(.*[.!?\\n])\\s+(\\S.*)$')
+             THEN regexp_extract(text, '(?s)^(.*[.!?\\n])\\s+(\\S.*)$', 1) ELSE text END AS question
+      FROM (SELECT item_id, coalesce(text, '') AS text FROM benchmark)
+    ), items AS (
+      SELECT item_id, row_number() OVER () AS item, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS w,
+        len(regexp_extract_all(lower(question), '[\\p{{L}}\\p{{N}}_]+')) AS asked
+      FROM parted
+    ), item_words AS (
+      SELECT item, unnest(w) AS term, unnest(range(len(w))) AS i FROM items
+    ), tf AS (
+      SELECT item, i // {decontaminate.SEGMENT} AS seg, term, count(*) AS tf FROM item_words GROUP BY ALL
+    ), segments AS (
+      SELECT item, seg, sum(tf) AS length FROM tf GROUP BY ALL
+    ), stats AS (
+      SELECT count(*) AS n, avg(length) AS mean FROM segments
+    ), df AS (
+      SELECT term, count(*) AS df FROM tf GROUP BY term
+    ), weights AS (
+      SELECT item, seg, term, ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * {decontaminate.K1 + 1}
+        / (tf + {decontaminate.K1} * ({1 - decontaminate.B} + {decontaminate.B} * length / mean)) AS weight
+      FROM tf JOIN df USING (term) JOIN segments USING (item, seg) CROSS JOIN stats
+    ), impacts AS (
+      SELECT item, seg, term, weight / sum(weight) OVER (PARTITION BY item, seg) AS impact FROM weights
+    ), docs AS (
+      SELECT row_number() OVER () AS doc, doc_id,
+        regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}_]+') AS w
+      FROM documents
+    ), doc_words AS (
+      SELECT doc, unnest(w) AS term, unnest(range(len(w))) // {decontaminate.SEGMENT} AS half FROM docs
+    ), passages AS (
+      SELECT doc, half, term FROM doc_words UNION SELECT doc, half - 1, term FROM doc_words WHERE half > 0
+    ), scores AS (
+      SELECT doc, half, item, seg, sum(impact) AS score FROM passages JOIN impacts USING (term) GROUP BY ALL
+      HAVING sum(impact) >= {decontaminate.THRESHOLD} - 1e-9
+    ), found AS (
+      SELECT doc, item, max(score) AS score FROM scores GROUP BY ALL
+    ), item_shingles AS (
+      SELECT item, asked, len(w) AS n, unnest(range(greatest(1, len(w) - 4))) AS i, w FROM items WHERE len(w) > 0
+    ), doc_text AS (
+      SELECT doc, ' ' || array_to_string(w, ' ') || ' ' AS t FROM docs WHERE doc IN (SELECT doc FROM found)
+    ), hits AS (
+      SELECT doc, item, score, asked, n, i,
+        contains(t, ' ' || array_to_string(w[i + 1:i + {decontaminate.SHINGLE}], ' ') || ' ') AS hit
+      FROM found JOIN item_shingles USING (item) JOIN doc_text USING (doc)
+    ), shares AS (
+      SELECT doc, item, score, asked, n, CAST(count(*) FILTER (hit) AS DOUBLE) / count(*) AS overlap
+      FROM hits GROUP BY ALL
+    ), covered AS (
+      SELECT DISTINCT doc, item, unnest(range(i, least(i + {decontaminate.SHINGLE}, n))) AS p FROM hits WHERE hit
+    ), covers AS (
+      SELECT doc, item, count(*) FILTER (p < asked) AS q, count(*) FILTER (p >= asked) AS a
+      FROM covered JOIN (SELECT DISTINCT item, asked FROM item_shingles) USING (item) GROUP BY ALL
+    ), judged AS (
+      SELECT doc, item, score, overlap, CASE WHEN asked > 0 THEN CAST(q AS DOUBLE) / asked ELSE 1 END AS question_overlap,
+        CASE WHEN n > asked THEN CAST(a AS DOUBLE) / (n - asked) ELSE 1 END AS answer_overlap
+      FROM shares JOIN covers USING (doc, item)
+    )
+    SELECT doc_id, item_id, round(score, 9) AS score, overlap, question_overlap, answer_overlap
+    FROM judged JOIN docs USING (doc) JOIN items USING (item)
+    WHERE overlap >= {decontaminate.OVERLAP} AND question_overlap >= {decontaminate.PART_COVER}
+      AND answer_overlap >= {decontaminate.PART_COVER}
+    """
+
+
+@query("op1_decontamination", LEAK_SQL)
 def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     items = decontaminate.question_and_answer(table(spark, folder, "benchmark"))
-    return decontaminate.find_leaks(table(spark, folder, "documents").select("doc_id", "text"), items)
+    found = decontaminate.find_leaks(table(spark, folder, "documents").select("doc_id", "text"), items)
+    return found.withColumn("score", F.round("score", 9))
 
 
 @query("op8_html_extract")
