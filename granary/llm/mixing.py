@@ -43,7 +43,6 @@ LEAST_BITS, MOST_BITS = 6, 20
 REGION_DOCS = 512
 EXACT_UNITS = 128
 BROADCAST_ROWS = 100_000
-ROWS_PER_PIECE = 4096
 
 ADDED = ("size", "source_size", "target", "copies")
 
@@ -97,7 +96,6 @@ class Mix:
     id_column: str
     source: str
     few_picks: bool
-    pieces: int
 
 
 def _unit(text: str, id_column: str, seed: int) -> Column:
@@ -233,8 +231,7 @@ def plan(
         "mix-picks",
     )
     few = sum(c.docs for c in cuts.values()) <= BROADCAST_ROWS
-    pieces = max(1, -(-2 * sum(r.docs for r in found) // (shards * ROWS_PER_PIECE)))
-    return Mix(placed(sources), picked, seed, shards, text, id_column, source, few, pieces)
+    return Mix(placed(sources), picked, seed, shards, text, id_column, source, few)
 
 
 def _decided(docs: DataFrame, mix: Mix) -> DataFrame:
@@ -277,8 +274,8 @@ def decide(docs: DataFrame, mix: Mix) -> DataFrame:
 def mixed(docs: DataFrame, mix: Mix) -> DataFrame:
     """The mix itself: a row per copy taken, with ``copy``, ``shard`` and a ``place`` that shuffles the shard.
 
-    Rows are dealt out by shard and piece of the shard, both told by hashes,
-    and lie in order of ``place`` within a piece.
+    Rows are dealt out evenly by their place, itself a hash, and each task's
+    rows of a shard lie in that order.
     """
     docs = without(docs, "copy", "shard", "place")
     last = F.col("copy") == F.col("_passes")
@@ -290,8 +287,7 @@ def mixed(docs: DataFrame, mix: Mix) -> DataFrame:
         .withColumn("_block", place)
         .withColumn("shard", F.size(F.filter("_ends", lambda end: end <= F.col("_block"))))
         .withColumn("place", F.xxhash64(F.lit(mix.seed), F.col("_unit"), F.col("copy")))
-        .withColumn("_piece", F.pmod("place", F.lit(mix.pieces)))
-        .repartition("shard", "_piece")
-        .sortWithinPartitions("shard", "_piece", "place")
-        .drop("_unit", "_position", "_last", "_passes", "_bits", "_ends", "_block", "_piece")
+        .drop("_unit", "_position", "_last", "_passes", "_bits", "_ends", "_block")
+        .repartition("shard", "place")
+        .sortWithinPartitions("shard", "place")
     )

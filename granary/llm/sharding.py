@@ -28,7 +28,7 @@ from granary.llm.frames import shielded, without
 
 HEAVY = 4096
 BUNDLES = 32_768
-ROWS_PER_SLICE = 4096
+ROWS_PER_SLICE = 1024
 MOST_SLICES = 8192
 
 
