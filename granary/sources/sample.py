@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from granary.contracts import CARRIERS, FRACTION, MONEY, PRICE, SHIPPING_COSTS
 from granary.functions import numbers, text
+from granary.operators.dedup import dedup_first
 from granary.operators.ordering import dense_number
 
 # The line's own number does not identify it; these columns together do.
@@ -109,12 +110,26 @@ def _padded(value: Column, left: str = " ", right: str = " ") -> Column:
     return F.concat(F.lit(left), value, F.lit(right))
 
 
-def customer_orders(spark: SparkSession, folder: str) -> DataFrame:
+def _landing_file() -> Column:
+    return F.concat(F.lit("part_"), (F.col("line_number") % 3).cast("string"), F.lit(".csv"))
+
+
+def first_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The line of each order that comes first in its landing files, among those with an order id.
+
+    Told from the narrow lines alone, so that only survivors meet the other tables.
+    """
+    kept = lines(spark, folder).filter("product_id % 11 <> 0").withColumn("source_file", _landing_file())
+    return dedup_first(kept, ["order_id"], ["source_file", *LINE_ORDER]).drop("source_file")
+
+
+def customer_orders(spark: SparkSession, folder: str, priced: DataFrame | None = None) -> DataFrame:
     """Raw order-file rows: all text, padded, some order ids blank.
 
     Keeps the line order columns (prefixed ``at_``) in place of a stored row id.
+    ``priced`` gives the lines to take, if not all.
     """
-    priced = lines(spark, folder)
+    priced = lines(spark, folder) if priced is None else priced
     order = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"), "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"
     )
@@ -147,7 +162,7 @@ def customer_orders(spark: SparkSession, folder: str) -> DataFrame:
         _padded(F.col("o_orderstatus"), "", "   ").alias("shipping_status"),
         _padded(F.col("n_name")).alias("province"),
         total.cast("string").alias("total_amount"),
-        F.concat(F.lit("part_"), (F.col("line_number") % 3).cast("string"), F.lit(".csv")).alias("source_file"),
+        _landing_file().alias("source_file"),
         "line_number",
         *[F.col(c).alias(f"at_{c}") for c in LINE_ORDER],
     )
