@@ -109,17 +109,23 @@ def _position() -> Column:
 
 
 def fill(words: list[int], room: int) -> list[int]:
-    """Places of numbers whose sum comes nearest below ``room``: one by one while they fit, the last ones by subset sums."""
+    """Places of numbers whose sum comes near ``room``: one by one while they fit, the last ones by subset sums.
+
+    Of two sums as near, the lower one is taken.
+    """
     head, tail, taken = words[:-EXACT_UNITS], words[-EXACT_UNITS:], []
     for i, n in enumerate(head):
         if 0 < n <= room:
             room -= n
             taken.append(i)
-    within = (1 << (room + 1)) - 1
+    within = (1 << (room + max(tail, default=0) + 1)) - 1
     sums = [1]  # bit k: some of the numbers so far add up to k
     for n in tail:
         sums.append((sums[-1] | sums[-1] << n) & within)
-    best = sums[-1].bit_length() - 1
+    below, above = sums[-1] & ((1 << (room + 1)) - 1), sums[-1] >> (room + 1)
+    best = below.bit_length() - 1
+    if above and (step := (above & -above).bit_length()) < room - best:
+        best = room + step
     for i in range(len(tail) - 1, -1, -1):
         if not sums[i] >> best & 1:
             best -= tail[i]

@@ -28,7 +28,8 @@ def test_quotas_split_exactly():
 def test_fill_comes_nearest():
     assert sum([3, 5, 9][i] for i in mixing.fill([3, 5, 9], 13)) == 12
     assert mixing.fill([], 10) == []
-    assert mixing.fill([4], 3) == []
+    assert mixing.fill([4], 3) == [0] and mixing.fill([4], 2) == [] and mixing.fill([4], 0) == []
+    assert sum([10, 25][i] for i in mixing.fill([10, 25], 24)) == 25
     many = [7] * 500
     assert sum(many[i] for i in mixing.fill(many, 1400)) == 1400
 
