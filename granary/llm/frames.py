@@ -16,7 +16,7 @@ def without(df: DataFrame, *names: str) -> DataFrame:
 
 def carrying(docs: DataFrame, core: tuple[str, ...], operate: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``operate(docs)`` with all columns but ``core`` out of its way: renamed before, named back after."""
-    away = {name: f"carried_{i}" for i, name in enumerate(docs.columns) if name not in core}
+    away = {name: f"granary_carried_{i}" for i, name in enumerate(docs.columns) if name not in core}
     return operate(docs.withColumnsRenamed(away)).withColumnsRenamed({new: old for old, new in away.items()})
 
 
