@@ -54,6 +54,7 @@ BLOCK = 4
 SHARD_SEGMENTS = 4096
 K1, B = 1.2, 0.75
 MOST_CELLS = 4_000_000
+ROUNDING = 1e-9  # scores are summed in no fixed order
 
 WORDS = re.compile(r"\w+")
 LEAK = "array<struct<item_id:long,score:double,overlap:double,question_overlap:double,answer_overlap:double>>"
@@ -157,7 +158,8 @@ class Index:
             bound = bound.reshape(-1, self.blocks)
             first = high - low if high == len(joined) else high - low - 1
             following = np.vstack([bound[1:], np.zeros((1, self.blocks))])[:first]
-            live = bound[:first] + following * joined[low : low + first, None] + self.common_share >= self.threshold
+            reached = bound[:first] + following * joined[low : low + first, None] + self.common_share
+            live = reached >= self.threshold - ROUNDING
             for half in np.flatnonzero(live.any(axis=1)).tolist():
                 yield low + half, np.flatnonzero(live[half]).tolist()
             if high == len(joined):
@@ -177,14 +179,14 @@ class Index:
             bound, pivot = 0.0, None
             for cursor in cursors:
                 bound += cursor[4]
-                if bound >= self.threshold - 1e-9:
+                if bound >= self.threshold - ROUNDING:
                     pivot = cursor[0]
                     break
             if pivot is None:
                 return
             if cursors[0][0] == pivot:
                 total = sum(cursor[3][cursor[1]] for cursor in cursors if cursor[0] == pivot)
-                if total >= self.threshold - 1e-9:
+                if total >= self.threshold - ROUNDING:
                     yield pivot, total
                 pivot += 1
             for cursor in cursors:

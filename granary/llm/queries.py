@@ -207,7 +207,7 @@ LEAK_SQL = f"""
       SELECT doc, half, term FROM doc_words UNION SELECT doc, half - 1, term FROM doc_words WHERE half > 0
     ), scores AS (
       SELECT doc, half, item, seg, sum(impact) AS score FROM passages JOIN impacts USING (term) GROUP BY ALL
-      HAVING sum(impact) >= {decontaminate.THRESHOLD} - 1e-9
+      HAVING sum(impact) >= {decontaminate.THRESHOLD} - {decontaminate.ROUNDING}
     ), found AS (
       SELECT doc, item, max(score) AS score FROM scores GROUP BY ALL
     ), item_shingles AS (
