@@ -184,6 +184,18 @@ def held_out(id_column: str) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
+def drawn(ids: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` of the different ``_id``, those of lowest hash.
+
+    A table of more ids is thinned by hash to about twice as many first, so
+    that a task hands on a few of its ids and not ``most`` of them.
+    """
+    rows = ids.count()
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col("_id")), 11)  # 53 bits
+    low = ids.where(place < min(1 << 53, (2 * most << 53) // max(1, rows)))
+    return low.distinct().orderBy(place, "_id").limit(most)
+
+
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_column: str = "doc_id") -> Network | None:
     """A trained network, or None without positives. ``labels`` has the id and ``quality``."""
     ids = docs.select(F.col(id_column).alias("_id")).where(~held_out("_id"))
@@ -194,14 +206,13 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_column: str =
         .agg(F.min("quality").alias("quality"))
         .where("quality = 1")
     )
-    order = F.xxhash64(F.lit(SEED), F.col("_id"))
-    positives = good.select("_id", F.lit(True).alias("_good")).orderBy(order).limit(POSITIVES)
-    others = ids.select("_id", F.lit(False).alias("_good")).orderBy(order).limit(UNLABELLED)
-    drawn = positives.unionByName(others).distinct()  # at most POSITIVES + UNLABELLED ids
+    positives = drawn(good.select("_id"), POSITIVES).withColumn("_good", F.lit(True))
+    others = drawn(ids, UNLABELLED).withColumn("_good", F.lit(False))
+    taken = positives.unionByName(others)  # at most POSITIVES + UNLABELLED ids
     measures = F.arrow_udf(_measured, "array<double>")
     sample = (
         docs.select(F.col(id_column).alias("_id"), T.whole(text).alias("_text"))
-        .join(F.broadcast(drawn), "_id")
+        .join(F.broadcast(taken), "_id")
         .select("_good", "_id", measures("_text").alias("x"))
         .limit(2 * (POSITIVES + UNLABELLED))  # an id may repeat
         .collect()

@@ -62,6 +62,15 @@ def test_prior_comes_near_the_share_of_positives():
     assert abs(pu_classifier.class_prior(good[3000:], mixed) - 0.7) < 0.06
 
 
+def test_samples_are_bounded_and_spread(spark):
+    ids = spark.range(20_000).withColumnRenamed("id", "_id").union(spark.range(5000).selectExpr("7 as _id"))
+    taken = [r._id for r in pu_classifier.drawn(ids, 500).collect()]
+    assert len(taken) == len(set(taken)) == 500
+    assert 8000 < np.mean(taken) < 12_000
+    assert taken == [r._id for r in pu_classifier.drawn(ids.repartition(7), 500).collect()]
+    assert pu_classifier.drawn(ids, 100_000).count() == 20_000
+
+
 def test_without_positives_every_score_is_one_half(corpus):
     docs, labels, _ = corpus
     none = labels.where("quality = 2")
