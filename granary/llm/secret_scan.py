@@ -50,6 +50,7 @@ IDENTITY = re.compile(
 IDENTITY_WORDS = (b"user", b"login", b"account", b"client", b"access", b"tenant")
 MATERIAL = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(r"""[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,}|(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}:\d{2,5}(?!\d)""")
+PORT = re.compile(r"\.\d{1,3}:\d{2}")  # in every endpoint without ://
 PARAGRAPH = re.compile(r"\n[\x20\t]*\n")
 REACH = 240
 LEAST_BITS = 3.5
@@ -100,7 +101,7 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     weak = []
     if any(word.decode() in lower for word in IDENTITY_WORDS):
         weak += [("identity", *m.span()) for m in IDENTITY.finditer(text)]
-    if "://" in text or base:
+    if "://" in text or PORT.search(text):
         weak += [("endpoint", *m.span()) for m in ENDPOINT.finditer(text)]
     if not base and not weak:
         return []

@@ -61,6 +61,44 @@ def test_scope_ends_with_distance_and_paragraph():
     assert kinds("user: admin_1\n\n" + MATERIAL) == []
 
 
+def brute_linked(text: str) -> list[tuple]:
+    """Every pattern over every text, and every candidate against every part."""
+    strong = brute(text)
+    weak = [(kind, *m.span()) for kind, pattern in (("identity", secret_scan.IDENTITY), ("endpoint", secret_scan.ENDPOINT))
+            for m in pattern.finditer(text)]
+    weak += [("material", *m.span()) for m in secret_scan.MATERIAL.finditer(text) if secret_scan._random_looking(m[0])]
+    weak = [w for w in weak if not any(w[1] < s[2] and s[1] < w[2] for s in strong)]
+    breaks = [m.start() for m in secret_scan.PARAGRAPH.finditer(text)]
+    linked = []
+    for kind, start, end in weak:
+        low = max([start - secret_scan.REACH, *(b for b in breaks if b < start)])
+        high = min([end + secret_scan.REACH, len(text), *(b for b in breaks if b >= start)])
+        roles = secret_scan.NEEDS[kind]
+        if any(secret_scan.ROLE[k] in roles and s < high and low < e for k, s, e in strong + weak):
+            linked.append((start, secret_scan.KINDS.index(kind), kind, end))
+    return [(kind, start, end) for start, _, kind, end in sorted(linked)]
+
+
+def test_linked_spans_against_brute_force():
+    draw = random.Random(11)
+    parts = ["user: admin_1", "username: svc_app", "host 10.0.0.5:5432", "192.168.1.20:80", "10.0.0.5", ":6379", "12:30", "v1.2:3",
+             MATERIAL, "https://a.example/x", "redis://10.0.0.5:6379", "password=abcdef1", "AKIA" + "Z9" * 8, "0123456789abcdef" * 2,
+             "\n", "\n\n", " x" * 130, "é", "٣.٣.٣.٣:٣٣"]
+    alone = 0
+    for _ in range(20_000):
+        text = draw.choice([" ", "\n", ""]).join(draw.choice(parts) for _ in range(draw.randint(0, 6)))
+        expected = brute_linked(text)
+        assert [(s["kind"], s["start"], s["end"]) for s in secret_scan.scan(text) if s["linked"]] == expected, repr(text)
+        alone += "://" not in text and not brute(text) and any(kind == "endpoint" for kind, _, _ in expected)
+    assert alone > 100
+
+
+def test_an_address_with_a_port_needs_no_scheme():
+    assert kinds("username: svc_app\nhost 10.0.0.5:5432") == ["endpoint"]
+    assert kinds(f"{MATERIAL} 10.0.0.5:6379") == ["material", "endpoint"]
+    assert kinds("host 10.0.0.5:5432 at 12:30") == []
+
+
 def test_odd_rows_and_columns(odd_documents, no_documents):
     rows = secret_scan.find_secrets(odd_documents).collect()
     assert len(rows) == odd_documents.count() and all(r.spans == [] for r in rows)
