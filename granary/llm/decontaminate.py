@@ -13,7 +13,13 @@ share is bounded, enter as that bound. A block that stays below the threshold
 cannot hold a pivot and is skipped. In the others WAND walks its cursors: the
 pivot is the first segment where the cursors' maxima reach the threshold.
 
-An item found this way counts only if at least ``OVERLAP`` of its five-word
+An item whose words lie too far apart for one passage, such as a question whose
+answer stands at the document's end, is found by its rarest shingles: of so many
+that no more could be missing, one must occur anywhere in the document. So every
+item that could be verified is retrieved; its score may then be below the
+threshold.
+
+An item found either way counts only if at least ``OVERLAP`` of its five-word
 shingles occur in the whole document, and the shingles found cover at least
 ``PART_COVER`` of the words of its question and of its answer, so that neither
 stands for the other.
@@ -31,9 +37,11 @@ either side gives no leaks. Other columns stay as they are.
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,6 +63,7 @@ SHARD_SEGMENTS = 4096
 K1, B = 1.2, 0.75
 MOST_CELLS = 4_000_000
 ROUNDING = 1e-9  # scores are summed in no fixed order
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 WORDS = re.compile(r"\w+")
 LEAK = "array<struct<item_id:long,score:double,overlap:double,question_overlap:double,answer_overlap:double>>"
@@ -97,6 +106,14 @@ class Item:
         return len(found) / max(1, len(self.shingles)), question, answer
 
 
+def _runs(ids: np.ndarray, length: int) -> np.ndarray:
+    """A key of the ``length`` terms from each place on; equal runs have equal keys."""
+    keys = np.zeros(max(0, len(ids) - length + 1), dtype=np.uint64)
+    for i in range(length):
+        keys = (keys + ids[i : i + len(keys)].astype(np.uint64)) * MIX
+    return keys
+
+
 class Index:
     """One shard of the inverted index: postings by term, with maxima over blocks of segments."""
 
@@ -137,6 +154,60 @@ class Index:
             starts.append(len(cells))
         self.starts, self.cells = np.array(starts), np.array(cells, dtype=np.int64)
         self.values = np.array(values, dtype=np.float64)
+        self.rare = self._rarest_runs()
+
+    def _rarest_runs(self) -> dict[int, tuple[np.ndarray, list[list[int]]]]:
+        """By length the keys of the items' rarest shingles, and the items of each.
+
+        An item has as many as cannot all be missing where ``OVERLAP`` of its shingles are found.
+        """
+        runs = [_runs(self._ids(item.words), min(SHINGLE, len(item.words))).tolist() for item in self.items]
+        holders = Counter(key for keys in runs for key in set(keys))
+        rare: dict[int, dict[int, list[int]]] = {}
+        for place, (item, keys) in enumerate(zip(self.items, runs)):
+            if item.words:
+                spared = len(keys) - math.ceil(OVERLAP * len(keys) - ROUNDING)
+                listed = rare.setdefault(min(SHINGLE, len(item.words)), {})
+                for key in {*sorted(keys, key=lambda key: holders[key])[: spared + 1]}:
+                    listed.setdefault(key, []).append(place)
+        return {
+            length: (np.array(sorted(listed), dtype=np.uint64), [listed[key] for key in sorted(listed)])
+            for length, listed in rare.items()
+        }
+
+    def _ids(self, words: list[str]) -> np.ndarray:
+        """The index's numbers of words, -1 where it has none."""
+        return np.array([self.terms.get(word, -1) for word in words], dtype=np.int64)
+
+    def scattered(self, documents: list[np.ndarray]) -> list[set[int]]:
+        """For each document, given by its words' numbers, the items one of whose rarest shingles it holds."""
+        found: list[set[int]] = [set() for _ in documents]
+        gap = np.array([-1])
+        ids = np.concatenate([gap, *(part for words in documents for part in (words, gap))])
+        ends = np.cumsum([1 + len(words) for words in documents])
+        unknown = np.concatenate([[0], np.cumsum(ids < 0)])
+        for length, (keys, holders) in self.rare.items():
+            at = np.flatnonzero(unknown[length:] == unknown[:-length])
+            mine = _runs(ids, length)[at]
+            place = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
+            hit = keys[place] == mine
+            owners = np.searchsorted(ends, at[hit])
+            for pair in np.unique(owners * len(keys) + place[hit]).tolist():
+                found[pair // len(keys)].update(holders[pair % len(keys)])
+        return found
+
+    def best_score(self, item: int, ids: np.ndarray) -> float:
+        """The most that a passage holds of a segment of the item."""
+        weights: dict[int, dict[int, float]] = {s: {} for s, owner in enumerate(self.owner) if owner == item}
+        for term in {self.terms[word] for word in self.items[item].words}:
+            for segment, impact in zip(*self.lists[term]):
+                if segment in weights:
+                    weights[segment][term] = impact
+        best = 0.0
+        for start in range(0, len(ids), SEGMENT):
+            passage = set(ids[start : start + 2 * SEGMENT].tolist())
+            best = max([best, *(sum(x for t, x in held.items() if t in passage) for held in weights.values())])
+        return best
 
     def pivots(self, terms: np.ndarray, halves: np.ndarray, joined: np.ndarray) -> Iterator[tuple[int, list[int]]]:
         """Half passages that begin a passage with live blocks, and those blocks.
@@ -196,13 +267,15 @@ class Index:
             cursors = [cursor for cursor in cursors if cursor[0] < high]
 
     def search(self, documents: list[list[str]]) -> list[dict[int, float]]:
-        """For each document the items retrieved and their best score."""
+        """For each document the items that a passage holds and their best score."""
+        return self._search([self._ids(words) for words in documents])
+
+    def _search(self, documents: list[np.ndarray]) -> list[dict[int, float]]:
         found: list[dict[int, float]] = [{} for _ in documents]
         if not self.terms:
             return found
         known, places, owners, first = [], [], [], 0
-        for number, words in enumerate(documents):
-            ids = np.array([self.terms.get(word, -1) for word in words], dtype=np.int64)
+        for number, ids in enumerate(documents):
             halves = -(-len(ids) // SEGMENT)
             known.append(ids)
             places.append(np.arange(len(ids)) // SEGMENT + first)
@@ -227,14 +300,16 @@ class Index:
     def leaks(self, texts: list[str]) -> list[list[dict]]:
         """Verified items of each text."""
         documents = [words_of(text) for text in texts]
+        numbers = [self._ids(words) for words in documents]
         verified = []
-        for words, scores in zip(documents, self.search(documents)):
+        for words, ids, scores, scattered in zip(documents, numbers, self._search(numbers), self.scattered(numbers)):
             leaks = []
-            spaced = f" {' '.join(words)} " if scores else ""
-            for place, score in sorted(scores.items()):
+            spaced = f" {' '.join(words)} " if scores or scattered else ""
+            for place in sorted(scores.keys() | scattered):
                 item = self.items[place]
                 overlap, question, answer = item.overlaps(spaced)
                 if overlap >= OVERLAP and question >= PART_COVER and answer >= PART_COVER:
+                    score = scores[place] if place in scores else self.best_score(place, ids)
                     leaks.append(
                         {
                             "item_id": item.item_id,

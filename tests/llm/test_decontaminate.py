@@ -102,6 +102,41 @@ def test_a_copy_with_a_changed_word_is_found_and_half_an_item_is_not(index):
         assert index.leaks([" ".join(words[: len(words) // 2])])[0] == []
 
 
+def test_scattered_items_are_found_as_trying_every_item_finds_them(index):
+    made, draw, filler = make_items(90), random.Random(13), prose(77, 200)
+    texts = [f"{prose(3, 40)} {question} {filler} {answer} {prose(4, 40)}" for _, question, answer in made]
+    for _ in range(300):  # cut anywhere, in any order
+        _, question, answer = draw.choice(made)
+        words = f"{question} {answer}".split()
+        cuts = sorted(draw.sample(range(1, len(words)), draw.randint(1, 3)))
+        pieces = [" ".join(words[a:b]) for a, b in zip([0, *cuts], [*cuts, len(words)])]
+        draw.shuffle(pieces)
+        texts.append(f" {filler} ".join(pieces))
+    low = 0
+    for text, leaks in zip(texts, index.leaks(texts)):
+        spaced = f" {' '.join(decontaminate.words_of(text))} "
+        expected = set()
+        for item in index.items:
+            overlap, *parts = item.overlaps(spaced)
+            if overlap >= decontaminate.OVERLAP and min(parts) >= decontaminate.PART_COVER:
+                expected.add(item.item_id)
+        assert {leak["item_id"] for leak in leaks} == expected
+        assert all(0 < leak["score"] < 1 + 1e-9 for leak in leaks)
+        low += sum(leak["score"] < decontaminate.THRESHOLD for leak in leaks)
+    assert low > 10
+
+
+def test_a_scattered_item_of_few_words_or_many(spark):
+    long_question = prose(21, 150)
+    rows = [(1, "alpha beta gamma", ""), (2, "one two three four", "five six seven eight nine ten"), (3, long_question, prose(22, 60))]
+    index = next(decontaminate.index_shards(spark.createDataFrame(rows, ITEMS)))
+    filler = prose(23, 200)
+    words = long_question.split()
+    halves = f"{' '.join(words[:70])} {filler} {' '.join(words[70:])} {filler} {prose(22, 60)}"
+    texts = ["x alpha beta gamma y", "alpha beta x gamma", halves, f"{filler} {filler}"]
+    assert [[leak["item_id"] for leak in leaks] for leaks in index.leaks(texts)] == [[1], [], [3], []]
+
+
 def test_shards_find_what_one_index_finds(spark, items, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(documents())), "doc_id long, text string")
     one = {tuple(r)[:2] for r in decontaminate.find_leaks(docs, items).collect()}
