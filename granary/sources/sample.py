@@ -13,6 +13,7 @@ from granary.contracts import CARRIERS, FRACTION, MONEY, PRICE, SHIPPING_COSTS
 from granary.functions import numbers, text
 from granary.operators.dedup import dedup_first
 from granary.operators.ordering import dense_number
+from granary.plans.silver import with_key
 
 # The line's own number does not identify it; these columns together do.
 LINE_ORDER = ["order_id", "line_number", "product_id", "supplier_id", "ship_date", "raw_price"]
@@ -114,13 +115,28 @@ def _landing_file() -> Column:
     return F.concat(F.lit("part_"), (F.col("line_number") % 3).cast("string"), F.lit(".csv"))
 
 
+def _order_code() -> Column:
+    """The order id as the files have it, blank on some lines."""
+    code = F.concat(F.lit("ORD"), text.zero_padded("order_id", 8))
+    return F.when(F.col("product_id") % 11 == 0, "  ").otherwise(code)
+
+
 def first_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The line of each order that comes first in its landing files, among those with an order id.
 
-    Told from the narrow lines alone, so that only survivors meet the other tables.
+    Told from the narrow lines alone, so that only survivors meet the other tables; lines
+    that would meet no row there are no landing rows and out before the first is chosen.
     """
-    kept = lines(spark, folder).filter("product_id % 11 <> 0").withColumn("source_file", _landing_file())
-    return dedup_first(kept, ["order_id"], ["source_file", *LINE_ORDER]).drop("source_file")
+    nations = table(spark, folder, "nation").select("n_nationkey")
+    people = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    people = people.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi")
+    order = table(spark, folder, "orders").select(F.col("o_orderkey").alias("order_id"), "o_custkey")
+    order = order.join(people, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
+    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("product_id"))
+    landed = lines(spark, folder).join(order, "order_id", "left_semi").join(parts, "product_id", "left_semi")
+    coded = landed.withColumns({"source_file": _landing_file(), "at_order_id": F.col("order_id"), "order_id": _order_code()})
+    first = dedup_first(with_key(coded), ["order_id"], ["source_file", "at_order_id", *LINE_ORDER[1:]])
+    return first.withColumn("order_id", F.col("at_order_id")).drop("source_file", "at_order_id")
 
 
 def customer_orders(spark: SparkSession, folder: str, priced: DataFrame | None = None) -> DataFrame:
@@ -142,11 +158,10 @@ def customer_orders(spark: SparkSession, folder: str, priced: DataFrame | None =
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(parts, "product_id")
     )
-    code = F.concat(F.lit("ORD"), text.zero_padded("order_id", 8))
     total = numbers.net_revenue("quantity", "unit_price", "discount")
     key = F.col("c_custkey").cast("string")
     return flat.select(
-        F.when(F.col("product_id") % 11 == 0, "  ").otherwise(code).alias("order_id"),
+        _order_code().alias("order_id"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
         F.concat(F.lit("CUS"), text.zero_padded(key, 8)).alias("customer_id"),
         _padded(F.col("c_name"), "  ").alias("customer_name"),

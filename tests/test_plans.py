@@ -287,3 +287,17 @@ def test_generated_shipments(spark):
     shipped = made.filter("status in ('paid', 'shipped')").count()
     assert parcels.count() == shipped and abs(shipped / 5000 - 0.88) < 0.02
     assert parcels.filter("length(tracking_number) <> 16 or carrier is null").isEmpty()
+
+
+def test_first_lines_are_chosen_among_lines_that_meet_the_other_tables(spark, tmp_path):
+    for name in ("nation", "customer", "part", "orders", "lineitem"):
+        rows = sample.table(spark, SMALL, name)
+        if name == "part":
+            rows = rows.where("p_partkey % 3 <> 0")
+        if name in ("customer", "nation", "orders"):
+            rows = rows.where(f"{rows.columns[0]} % 7 <> 0")
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    whole = QUERIES["silver_build"](spark, str(tmp_path))
+    short = QUERIES["silver_customer_orders"](spark, str(tmp_path))
+    rows = sorted(map(str, whole.collect()))
+    assert rows and sorted(map(str, short.collect())) == rows
