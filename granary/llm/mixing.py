@@ -270,10 +270,23 @@ def _decided(docs: DataFrame, mix: Mix) -> DataFrame:
     ).select(*docs.columns, *ADDED, "_unit", "_position", "_last", "_passes", "_bits", "_ends")
 
 
+def _shard_of(copy: Column) -> Column:
+    """The shard that owns a copy's block, told from the ends of the shards' runs of blocks."""
+    inside = F.when(copy == F.col("_passes"), F.col("_last")).otherwise(F.col("_position"))
+    block = copy * F.expr("shiftleft(1L, _bits)") + inside
+    return F.size(F.filter("_ends", lambda end: end <= block))
+
+
 @shielded
 def decide(docs: DataFrame, mix: Mix) -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target`` and ``copies``."""
-    return _decided(docs, mix).drop("_unit", "_position", "_last", "_passes", "_bits", "_ends")
+    """``docs`` with ``size``, ``source_size``, ``target``, ``copies`` and ``shards``, the shard of each copy."""
+    shards = F.transform(F.sequence(F.lit(0), F.col("copies") - 1), _shard_of)
+    none = F.array().cast("array<int>")
+    return (
+        _decided(without(docs, *({"shards"} - {mix.text, mix.id_column, mix.source})), mix)
+        .withColumn("shards", F.when(F.col("copies") > 0, shards).otherwise(none))
+        .drop("_unit", "_position", "_last", "_passes", "_bits", "_ends")
+    )
 
 
 @shielded
@@ -284,16 +297,13 @@ def mixed(docs: DataFrame, mix: Mix) -> DataFrame:
     rows of a shard lie in that order.
     """
     docs = without(docs, "copy", "shard", "place")
-    last = F.col("copy") == F.col("_passes")
-    place = F.col("copy") * F.expr("shiftleft(1L, _bits)") + F.when(last, F.col("_last")).otherwise(F.col("_position"))
     return (
         _decided(docs, mix)
         .where("copies > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-        .withColumn("_block", place)
-        .withColumn("shard", F.size(F.filter("_ends", lambda end: end <= F.col("_block"))))
+        .withColumn("shard", _shard_of(F.col("copy")))
         .withColumn("place", F.xxhash64(F.lit(mix.seed), F.col("_unit"), F.col("copy")))
-        .drop("_unit", "_position", "_last", "_passes", "_bits", "_ends", "_block")
+        .drop("_unit", "_position", "_last", "_passes", "_bits", "_ends")
         .repartition("shard", "place")
         .sortWithinPartitions("shard", "place")
     )

@@ -93,8 +93,9 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return mixing.decide(docs, mixing.plan(docs)).select(
-        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
-    )
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies",
+        "shards",
+    )
 
 
 @query("op3_token_counts")

@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 from fractions import Fraction
 
+from pyspark.sql import functions as F
+
 from granary.llm import mixing
 from tests.llm.conftest import prose
 
@@ -62,6 +64,15 @@ def test_mix_meets_targets_and_reruns_agree(spark):
     assert sum(per_shard) == len(mixed) and min(per_shard) > 0.6 * max(per_shard)
 
 
+def test_decisions_name_the_shard_of_each_copy_in_the_mix(spark):
+    docs = frame(spark, 1500).withColumn("shards", F.lit("old"))
+    mix = mixing.plan(docs, shards=5)
+    mixed = {(r.doc_id, r.copy): r["shard"] for r in mixing.mixed(docs, mix).collect()}
+    decided = mixing.decide(docs, mix).collect()
+    assert {(r.doc_id, copy): shard for r in decided for copy, shard in enumerate(r.shards)} == mixed
+    assert {len(r.shards) for r in decided} >= {0, 1} and all(len(r.shards) == r.copies for r in decided)
+
+
 def test_odd_rows_and_columns(odd_documents, no_documents):
     mix = mixing.plan(odd_documents, shards=2)
     decided = mixing.decide(odd_documents, mix).collect()
