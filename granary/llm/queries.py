@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from granary.llm import (
     chat_format,
     decontaminate,
+    exact_dedup,
     html_extract,
     mixing,
     pu_classifier,
@@ -250,3 +251,16 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op8_html_extract(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     return html_extract.extract(pages).select("page_id", "url", "text", "n_chars", "n_shared")
+
+
+COPIES_SQL = """
+    WITH whole AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+    SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+      row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+    FROM whole
+    """
+
+
+@query("op13_exact_dedup", COPIES_SQL)
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.duplicates(table(spark, folder, "documents").select("doc_id", "text"))
