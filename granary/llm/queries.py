@@ -11,6 +11,7 @@ from granary.llm import (
     exact_dedup,
     html_extract,
     mixing,
+    prefix_trie,
     pu_classifier,
     quality_rules,
     secret_scan,
@@ -264,3 +265,56 @@ COPIES_SQL = """
 @query("op13_exact_dedup", COPIES_SQL)
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+# CRC-32 by its table, which the SQL makes itself; a node is told by its turns one after another
+TRIE_SQL = """
+    WITH crc AS (
+      SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]),
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t
+    ), said AS (
+      SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id
+          ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+      FROM conversations
+    ), known AS (
+      SELECT conv_id, count(*) AS own, conv_id - conv_id % 20 AS base,
+        xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x))),
+          lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) % 4 AS h
+      FROM said CROSS JOIN crc GROUP BY conv_id, t
+    ), lent AS (
+      SELECT k.conv_id, s.i AS d, role, text FROM known k JOIN said s ON s.conv_id = k.base AND s.i <= k.h
+    ), taken AS (
+      SELECT conv_id, h, count(l.d) AS taken FROM known LEFT JOIN lent l USING (conv_id) GROUP BY ALL
+    ), rebuilt AS (
+      SELECT * FROM lent
+      UNION ALL SELECT conv_id, i - h + taken, role, text FROM said JOIN taken USING (conv_id) WHERE i > h
+    ), rows AS (
+      SELECT conv_id, d, text, string_agg(sha256(length(role) || ':' || role || text), ',') OVER
+        (PARTITION BY conv_id ORDER BY d ROWS UNBOUNDED PRECEDING) AS node
+      FROM rebuilt UNION ALL SELECT conv_id, 0, '', '' FROM known
+    ), lengths AS (
+      SELECT conv_id, max(d) AS turns FROM rows GROUP BY conv_id
+    ), nodes AS (
+      SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, min(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))) AS words,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (d = turns), '')) AS ends_sha256
+      FROM rows JOIN lengths USING (conv_id) GROUP BY node, d
+    ), linked AS (
+      SELECT n.*, p.conv_id AS parent_conv_id, p.node AS parent
+      FROM nodes n LEFT JOIN rows r ON r.conv_id = n.conv_id AND r.d = n.d - 1 LEFT JOIN nodes p ON p.node = r.node AND p.d = r.d
+    ), children AS (
+      SELECT parent AS node, d - 1 AS d, count(*) AS n_children FROM linked WHERE d > 0 GROUP BY ALL
+    ), own AS (
+      SELECT l.*, coalesce(n_children, 0) AS n_children FROM linked l LEFT JOIN children USING (node, d)
+    ), totals AS (
+      SELECT r.node, r.d, count(*) FILTER (o.n_children = 0) AS n_leaves, sum((o.n_convs - 1) * o.words) AS saved_tokens
+      FROM own o JOIN rows r ON r.conv_id = o.conv_id AND r.d <= o.d GROUP BY ALL
+    )
+    SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+    FROM own JOIN totals USING (node, d)
+    """
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
