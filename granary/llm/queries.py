@@ -10,6 +10,7 @@ from granary.llm import (
     decontaminate,
     exact_dedup,
     html_extract,
+    lexical_search,
     mixing,
     prefix_trie,
     pu_classifier,
@@ -318,3 +319,42 @@ TRIE_SQL = """
 @query("op12_prefix_trie", TRIE_SQL)
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.trie(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+# every document against every item
+RANK_SQL = """
+    WITH docs AS (
+      SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t
+      FROM documents
+    ), whole AS (
+      SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM docs WHERE len(t) > 0
+    ), wanted AS (
+      SELECT DISTINCT item, item_id, term FROM (
+        SELECT item, item_id, unnest(regexp_extract_all(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+        FROM (SELECT row_number() OVER () AS item, * FROM benchmark))
+    ), tf AS (
+      SELECT doc, doc_id, n, term, count(*) AS tf
+      FROM (SELECT doc, doc_id, len(t) AS n, unnest(t) AS term FROM docs) WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+    ), df AS (
+      SELECT term, count(*) AS df FROM tf GROUP BY term
+    ), weighed AS (
+      SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM df CROSS JOIN whole
+    ), scores AS (
+      SELECT item, item_id, doc, doc_id,
+        sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms)))) AS score
+      FROM wanted JOIN weighed USING (term) JOIN tf USING (term) CROSS JOIN whole GROUP BY ALL
+    )
+    SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+    FROM scores WHERE score > 0
+    WINDOW best AS (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)
+    QUALIFY row_number() OVER best <= 10
+    """
+
+
+@query("op11_lexical_search", RANK_SQL)
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)

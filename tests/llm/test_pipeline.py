@@ -125,6 +125,7 @@ CONTRACT = {
     "op8_html_extract": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
     "op9_quality_rules": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
     "op10_quality_classifier": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op11_lexical_search": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
     "op12_prefix_trie": {"conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint", "n_children": "bigint", "n_leaves": "bigint", "saved_tokens": "bigint", "ends_sha256": "string"},
     "op13_exact_dedup": {"doc_id": "bigint", "keep_id": "bigint", "group_size": "bigint", "kept": "boolean", "text_sha256": "string"},
 }
@@ -144,6 +145,8 @@ def test_query_has_its_contract(spark, name):
         assert frame.select("conv_id").distinct().count() == frame.count()
     elif name.startswith("op12"):
         assert frame.select("conv_id", "depth").distinct().count() == frame.count()
+    elif name.startswith("op11"):
+        assert frame.select("item_id", "rank").distinct().count() == frame.count()
     elif not name.startswith("op1_"):
         assert frame.count() == spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
 
