@@ -265,6 +265,8 @@ def run(spark: SparkSession, folder: str, out: str, validate_only: bool = False,
     if batch_id(spark, folder, NORTHWIND_FILES, MODEL_VERSION) != batch:
         raise publish.BatchError(f"a source file changed during the run: {folder}")
 
+    # the commit comes first; the view only shows what it published
+    publish.switch_pointer(spark, f"{out}/gold", batch, paths)
     tables = {f"gold_{batch}_{name}": path for name, path in paths.items()}
     publish.switch_view(
         spark, view, tables,
@@ -273,5 +275,4 @@ def run(spark: SparkSession, folder: str, out: str, validate_only: bool = False,
             JOIN (SELECT customer_id, city FROM gold_{batch}_dim_customer) USING (customer_id)
             JOIN gold_{batch}_dim_shipper USING (shipper_id)""",
     )
-    publish.switch_pointer(spark, f"{out}/gold", batch)
     return Batch(batch, publish.batch_summary(batch, silver, star["fact_sales"]), view)

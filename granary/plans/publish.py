@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from granary.operators.fingerprint import file_digests, manifest_diff
 from granary.operators.quality import union_all
-from granary.session import exists, file_system
+from granary.plans import commits
+from granary.session import exists
 
 
 class BatchError(ValueError):
@@ -94,32 +95,22 @@ def switch_view(spark: SparkSession, view: str, batch_tables: dict[str, str], se
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS {select}")
 
 
-def switch_pointer(spark: SparkSession, root: str, batch: str) -> None:
-    """Publish without a catalog: the current batch name, replaced by one rename."""
-    hadoop = spark._jvm.org.apache.hadoop
-    target, files = file_system(spark, f"{root}/_CURRENT")
-    fresh, _ = file_system(spark, f"{root}/_CURRENT.{batch}")
-    stream = files.create(fresh, True)
-    stream.write(bytearray(batch.encode()))
-    stream.close()
-    overwrite = getattr(hadoop.fs, "Options$Rename").OVERWRITE
-    options = spark.sparkContext._gateway.new_array(getattr(hadoop.fs, "Options$Rename"), 1)
-    options[0] = overwrite
-    qualified = files.makeQualified(target)
-    context = hadoop.fs.FileContext.getFileContext(qualified.toUri(), spark._jsc.hadoopConfiguration())
-    context.rename(files.makeQualified(fresh), qualified, options)
+def switch_pointer(spark: SparkSession, root: str, batch: str, tables: dict[str, str] | None = None) -> commits.Commit:
+    """Publish without a catalog: a commit that makes this batch, and its tables, the current one.
+
+    A batch that is current already is not committed again; earlier ones stay readable by their version.
+    """
+
+    def build(parent: commits.Commit):
+        return None if parent.version and parent.batch == batch else (tables or {}, parent.notes)
+
+    return commits.publish(spark, root, batch, build)
 
 
 def current_batch(spark: SparkSession, root: str) -> str | None:
     """Name of the published batch, None before the first publication."""
-    pointer, files = file_system(spark, f"{root}/_CURRENT")
-    if not files.exists(pointer):
-        return None
-    stream = files.open(pointer)
-    try:
-        return bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
+    state = commits.current(spark, root)
+    return state.batch if state.version else None
 
 
 def side_by_side(*rows: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from datetime import date
 
 import pytest
 
-from granary.streaming import jobs, state
+from granary.streaming import jobs, state, windows
 
 
 def write_updates(path, rows):
@@ -143,3 +143,63 @@ def test_shared_folder_is_required_on_a_cluster(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_folder(Cluster)
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def arrivals(feed, batches):
+    """One file a batch, in order."""
+    feed.mkdir()
+    for place, rows in enumerate(batches):
+        path = feed / f"{place}.json"
+        write_updates(path, [{"ts": ts, "amount": amount} for ts, amount in rows])
+        os.utime(path, (1_700_000_000 + place, 1_700_000_000 + place))
+
+
+LATE = [
+    [("2026-01-01T10:00:00", 1), ("2026-01-02T23:59:59", 2), (None, 50)],
+    [("2026-01-01T11:00:00", 4), ("2026-01-03T12:00:00", 8)],
+    [("2026-01-04T00:00:00", 16)],
+    [("2026-01-02T00:00:00", 32), ("2026-01-01T00:00:00", 64), ("2026-01-03T00:00:00", 128), ("2026-01-06T01:00:00", 256)],
+    [("2026-01-06T02:00:00", 512), ("2026-01-04T02:00:00", 1024)],
+]
+
+
+def test_windows_close_once_and_late_rows_go_aside(spark, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    arrivals(tmp_path / "feed", LATE)
+    for _ in range(2):  # a second run finds nothing new
+        windows.closing_feed(day_stream(spark, tmp_path / "feed", maxFilesPerTrigger="1"), out, checkpoint)
+    shut = sorted((r.start.day, r.events, int(r.amount), r.batch) for r in windows.closed(spark, out).collect())
+    # by the fourth batch the watermark is at 3 January 00:00: days 1 and 2 are over
+    assert shut == [(1, 2, 5, 1), (2, 1, 2, 2), (3, 2, 136, 3), (4, 1, 16, 3)]
+    aside = sorted((r.reason, int(r.amount), r.batch) for r in windows.late_events(spark, out).collect())
+    assert aside == [("late", 32, 3), ("late", 64, 3), ("late", 1024, 4), ("no event time", 50, 0)]
+    assert [(r.start.day, r.events, int(r.amount)) for r in windows.still_open(spark, out).collect()] == [(6, 2, 768)]
+    assert sorted(p.name for p in (tmp_path / "out" / "open").iterdir()) == ["batch=3", "batch=4"]  # older state is gone
+
+
+@pytest.mark.parametrize("files", ["1", "2", "100"])
+def test_closed_open_and_late_rows_are_all_rows(spark, tmp_path, files):
+    out = str(tmp_path / "out")
+    arrivals(tmp_path / "feed", LATE)
+    windows.closing_feed(day_stream(spark, tmp_path / "feed", maxFilesPerTrigger=files), out, str(tmp_path / "checkpoint"))
+    totals = {r.start.day: (r.events, int(r.amount), r.closed) for r in windows.all_totals(spark, out).collect()}
+    assert totals == {1: (3, 69, True), 2: (2, 34, True), 3: (2, 136, True), 4: (2, 1040, True), 6: (2, 768, False)}
+    starts = [r.start for r in windows.closed(spark, out).collect()]
+    assert len(starts) == len(set(starts))
+
+
+def test_a_repeated_window_batch_overwrites_itself(spark, tmp_path):
+    write = windows.window_closer(str(tmp_path / "out"), "1 day", "1 day", ("kind",))
+    schema = "ts timestamp, amount decimal(18,2), kind string"
+    batches = [
+        spark.createDataFrame([], schema),
+        spark.sql("select timestamp'2026-01-01 05:00:00' ts, 1.00BD amount, 'a' kind union all select timestamp'2026-01-03 05:00:00', 2.00BD, 'b'"),
+        spark.sql("select timestamp'2026-01-01 06:00:00' ts, 4.00BD amount, 'a' kind"),
+    ]
+    for number, batch in enumerate(batches):
+        write(batch, number)
+        write(batch, number)
+    out = str(tmp_path / "out")
+    assert [(r.kind, int(r.amount)) for r in windows.closed(spark, out).collect()] == [("a", 1)]
+    assert [(r.kind, int(r.amount)) for r in windows.late_events(spark, out).collect()] == [("a", 4)]
+    assert [(r.kind, int(r.amount)) for r in windows.still_open(spark, out).collect()] == [("b", 2)]
