@@ -18,8 +18,9 @@ patched from a table of one row a slice, so a host of any size is no task of
 its own. What is sorted, paired and aligned are line hashes; the wanted
 lines move once, to meet the numbers of those that are shared.
 
-Defined results: a null or empty page has an empty text; a null or unreadable
-URL belongs to the host without name; a host's only page loses no line, nor
+Defined results: a null or empty page has an empty text; a page of any length
+is read whole, in time in proportion to it however its tags are broken; a ``<``
+that ends nowhere is text; a null or unreadable URL belongs to the host without name; a host's only page loses no line, nor
 do pages of a host that are all copies of one; rows
 equal in id, URL and HTML are one page to the pairing and each keep their row;
 null ids stay null; an empty table gives an empty result. Input columns named
@@ -41,9 +42,8 @@ from granary import session
 from granary.llm import text as T
 from granary.llm.frames import shielded, without
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
-)
+TAG_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/<>\"']*)")
+TAG_STOP = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 CAMEL = re.compile(r"([a-z])([A-Z])")
 RAW_END = {name: re.compile(f"</{name}", re.IGNORECASE) for name in ("script", "style", "textarea", "title")}
@@ -64,6 +64,12 @@ NOISE_MARKS = frozenset(
     "footer overlay newsletter subscribe subscription signup comment comments commentlist respond reply replies disqus share "
     "sharing social related recommended recommendations pagination pager toolbar search complementary contentinfo".split()
 )
+# words that say where a mark stands, not what it is about: comment-list is a comment, share-price is no share
+LAYOUT_WORDS = frozenset(
+    "area bar block body box button buttons card cards container content div field fields form inner item items link links "
+    "list outer panel post posts section slot thread top bottom left right text title unit widget wrap wrapper".split()
+)
+CONTAINERS = frozenset("div section span ul ol dl center figure details article main".split())
 OUTER_MARKS = frozenset("header masthead topbar side widget widgets copyright".split())
 COMMENT_MARKS = frozenset("comment comments reply replies respond ad advert sponsored related promo".split())
 # names that only tell a layout, as in has-sidebar or comments-open
@@ -85,16 +91,19 @@ SCOPE = frozenset("table ul ol dl article section main div body html td th block
 UNWANTED, OPEN, MAIN, ARTICLE = -1, 0, 1, 2
 
 
-def _marks(source: str) -> tuple[set[str], bool, str]:
-    """Words of class, id and role; whether the element is hidden; its item property."""
-    words, hidden, prop = set(), False, ""
+CLOSERS = {name: [first for first, by in CLOSED_BY.items() if name in by] for name in set().union(*CLOSED_BY.values())}
+
+
+def _marks(source: str) -> tuple[list[tuple[set[str], bool]], bool, str]:
+    """Words of each class, id and role, and whether it is an id; whether the element is hidden; its item property."""
+    marks, hidden, prop = [], False, ""
     for name, double, single, bare in ATTRIBUTE.findall(source):
         value, name = double or single or bare, name.lower()
         if name in ("class", "id", "role"):
             for mark in value.split():
-                parts = re.split(r"[^a-z]+", CAMEL.sub(r"\1-\2", mark).lower())
-                if not STATES.intersection(parts):
-                    words.update(parts)
+                parts = {part for part in re.split(r"[^a-z]+", CAMEL.sub(r"\1-\2", mark).lower()) if part}
+                if not STATES & parts:
+                    marks.append((parts, name == "id"))
             continue
         value = value.lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
@@ -103,7 +112,29 @@ def _marks(source: str) -> tuple[set[str], bool, str]:
             hidden = True
         elif name == "itemprop":
             prop = value
-    return words, hidden, prop
+    return marks, hidden, prop
+
+
+def _wholly(marks: list[tuple[set[str], bool]], noise: frozenset[str]) -> bool:
+    """Whether a mark speaks of noise and of nothing else."""
+    return any(words & noise and words <= noise | LAYOUT_WORDS for words, _ in marks)
+
+
+def _is_noise(name: str, marks: list[tuple[set[str], bool]], outer: int) -> bool:
+    """Whether the marks make the element boilerplate.
+
+    Around the article any word of a container's marks counts. Inside it, where
+    ids and classes are often cut from headings and subjects, only marks that
+    are noise as a whole do, and only on containers; headings, paragraphs and
+    tables are never told by their ids.
+    """
+    if name in ("article", "main"):
+        return _wholly(marks, COMMENT_MARKS)
+    if name not in CONTAINERS:
+        return outer < MAIN and _wholly([mark for mark in marks if not mark[1]], NOISE_MARKS)
+    if outer >= MAIN:
+        return _wholly(marks, NOISE_MARKS)
+    return any(words & NOISE_MARKS for words, _ in marks)
 
 
 def _kind(name: str, source: str, outer: int, in_header: bool) -> tuple[int, bool]:
@@ -116,25 +147,113 @@ def _kind(name: str, source: str, outer: int, in_header: bool) -> tuple[int, boo
         return UNWANTED, False
     if name in ("html", "body"):
         return outer, False
-    words, hidden, prop = _marks(source) if source.strip() else (set(), False, "")
-    if hidden or words & (NOISE_MARKS if name not in ("article", "main") else COMMENT_MARKS):
+    marks, hidden, prop = _marks(source) if source.strip() else ([], False, "")
+    if hidden or _is_noise(name, marks, outer):
         return UNWANTED, False
     if name == "header":
         return UNWANTED, outer == ARTICLE
-    if outer < MAIN and words & OUTER_MARKS:
+    if outer < MAIN and name in CONTAINERS and any(words & OUTER_MARKS for words, _ in marks):
         return UNWANTED, False
     if name == "article" or prop == "articlebody":
         return ARTICLE, False
-    if name == "main" or "main" in words and name in ("div", "section"):
+    if name == "main" or name in ("div", "section") and any("main" in words for words, _ in marks):
         return max(outer, MAIN), False
     return outer, False
 
 
+class Tags:
+    """The tags of a page one after another, each character looked at a bounded number of times.
+
+    A tag ends at the first ``>`` outside quotes; a ``<`` without such an end is
+    text. What a search found, or found missing, is remembered, so that a page
+    of open tags or quotes costs no more than another.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.searched, self.stop = 0, -1  # no > or quote lies between them; the second is the next one
+        self.dead: set[int] = set()  # quotes from which no tag end is reached
+        self.plain_end = True  # whether some > is left for <! and <?
+
+    def _next_stop(self, at: int) -> int:
+        if not self.searched <= at <= self.stop:
+            found = TAG_STOP.search(self.page, at)
+            self.searched, self.stop = at, found.start() if found else len(self.page)
+        return self.stop
+
+    def _end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag whose attributes begin at ``at``, -1 without one."""
+        opened = []
+        while True:
+            at = self._next_stop(at)
+            if at == len(self.page):
+                break
+            if self.page[at] == ">":
+                return at
+            if at in self.dead:
+                break
+            opened.append(at)
+            at = self.page.find(self.page[at], at + 1) + 1
+            if not at:
+                break
+        self.dead.update(opened)
+        return -1
+
+    def after(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Start and end of the next tag from ``at``, a slash if it is an end tag, its name and its attributes."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(page), "", "", ""
+            if page.startswith(("<!", "<?"), start):
+                end = page.find(">", start) if self.plain_end else -1
+                if end >= 0:
+                    return start, end + 1, "", "", ""
+                self.plain_end = False
+            elif (m := TAG_NAME.match(page, start)) and (end := self._end(m.end())) >= 0:
+                return start, end + 1, m[1], m[2].lower(), page[m.end() : end]
+            at = start + 1
+        return None
+
+
+class Stack:
+    """The open elements, with what is asked of them at hand: where a name, a block or a scope was opened last."""
+
+    def __init__(self):
+        self.elements: list[tuple[str, int, bool]] = []  # name, kind, inside an article's header
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.scopes: list[int] = []
+
+    def push(self, name: str, kind: int, in_header: bool) -> None:
+        depth = len(self.elements)
+        self.elements.append((name, kind, in_header))
+        self.places.setdefault(name, []).append(depth)
+        if name in BLOCKS:
+            self.blocks.append(depth)
+        if name in SCOPE:
+            self.scopes.append(depth)
+
+    def last(self, name: str) -> int:
+        return places[-1] if (places := self.places.get(name)) else -1
+
+    def cut(self, depth: int) -> tuple[int, bool]:
+        """Close all elements from ``depth``; the kind of what is open then."""
+        for name, _, _ in reversed(self.elements[depth:]):
+            self.places[name].pop()
+        del self.elements[depth:]
+        for listed in (self.blocks, self.scopes):
+            while listed and listed[-1] >= depth:
+                listed.pop()
+        return self.elements[-1][1:] if self.elements else (OPEN, False)
+
+
 def lines_of(page: str) -> list[tuple[str, int]]:
     """The page's text blocks in order, white space collapsed, each with its kind."""
     lines: list[tuple[str, int]] = []
     held: list[str] = []
-    stack: list[tuple[str, int, bool]] = []  # name, kind, inside an article's header
+    tags, stack = Tags(page), Stack()
     kind, in_header, at = OPEN, False, 0
 
     def flush() -> None:
@@ -144,34 +263,32 @@ def lines_of(page: str) -> list[tuple[str, int]]:
                 lines.append((text, kind))
             held.clear()
 
-    def close(depth: int) -> None:
-        nonlocal kind, in_header
-        del stack[depth:]
-        kind, in_header = stack[-1][1:] if stack else (OPEN, False)
-
-    while m := TAG.search(page, at):
-        if m.start() > at:
-            held.append(page[at : m.start()])
-        at = m.end()
-        if not m[2]:
+    while tag := tags.after(at):
+        start, end, slash, name, source = tag
+        if start > at:
+            held.append(page[at:start])
+        at = end
+        if not name:
             continue
-        name = m[2].lower()
-        if m[1]:
+        if slash:
             if name in BLOCKS:
                 flush()
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    if any(s[0] in BLOCKS for s in stack[depth:]):
-                        flush()
-                    close(depth)
-                    break
-                if name not in BLOCKS and stack[depth][0] in BLOCKS:
-                    break  # an inline end tag does not reach through a block
+            depth = stack.last(name)
+            # an inline end tag does not reach through a block
+            if depth >= 0 and (name in BLOCKS or not stack.blocks or stack.blocks[-1] < depth):
+                if stack.blocks and stack.blocks[-1] >= depth:
+                    flush()
+                inner, header = stack.cut(depth)
+                if inner != kind:
+                    flush()
+                kind, in_header = inner, header
             continue
+        empty = source.endswith("/")
         if name in RAW_END or name in UNSEEN and name != "head":
-            end = (RAW_END.get(name) or re.compile(f"</{re.escape(name)}", re.IGNORECASE)).search(page, at)
-            if not m[0].endswith("/>") or name in RAW_END:
-                close_at = page.find(">", end.start()) if end else -1
+            if not empty or name in RAW_END:
+                pattern = RAW_END.get(name) or re.compile(f"</{re.escape(name)}", re.IGNORECASE)
+                found = pattern.search(page, at)
+                close_at = page.find(">", found.start()) if found else -1
                 at = close_at + 1 if close_at >= 0 else len(page)
             continue
         if name in VOID:
@@ -181,18 +298,16 @@ def lines_of(page: str) -> list[tuple[str, int]]:
             continue
         if name in BLOCKS:
             flush()
-            for depth in range(len(stack) - 1, -1, -1):
-                if name in CLOSED_BY.get(stack[depth][0], ()):
-                    close(depth)
-                    break
-                if stack[depth][0] in SCOPE:
-                    break
-        if m[0].endswith("/>") and name not in BLOCKS:
+        if name in CLOSERS:
+            depth = max(stack.last(first) for first in CLOSERS[name])
+            if depth >= 0 and depth >= (stack.scopes[-1] if stack.scopes else -1):
+                kind, in_header = stack.cut(depth)
+        if empty and name not in BLOCKS:
             continue
-        inner, header = (UNWANTED, False) if name == "head" else _kind(name, m[3], kind, in_header)
+        inner, header = (UNWANTED, False) if name == "head" else _kind(name, source, kind, in_header)
         if inner != kind:
             flush()
-        stack.append((name, inner, header))
+        stack.push(name, inner, header)
         kind, in_header = inner, header
     held.append(page[at:])
     flush()

@@ -155,3 +155,158 @@ def test_odd_pages(spark):
     assert len(got) == 5
     assert sorted(r.n_chars for r in got) == [0, 0, 1, 1, 39_999]
     assert html_extract.extract(pages(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><h2 id='promotion-of-trade'>Trade</h2><h3 id='related-work'>Work</h3><p id='search'>s</p></article>", "Trade\nWork\ns"),
+        ("<article><div class='share-price'>9</div><table class='search-results'><tr><td>r</table></article>", "9\nr"),
+        ("<main><h1 id='menu'>Menu planning</h1><div class='recipe-notice'>n</div></main>", "Menu planning\nn"),
+        ("<h2 id='newsletter-history'>H</h2><p id='footer-notes'>k</p><p class='cookie-notice'>c</p>", "H\nk"),
+        ("<article id='ad-astra'><p>k</p><div class='comment-list'>c</div><div class='share-buttons'>b</div></article>", "k"),
+        ("<article><div class='ad'>a</div><div id='comments'>c</div><p class='comments'>kept</p></article>", "kept"),
+        ("<article><p>k</p></article><article class='related-posts'><p>r</p></article>", "k"),
+        ("if a<b and c<d then", "if a<b and c<d then"),
+        ("<p>a</p> <b 'x> <i>t</i>", "a\n<b 'x> t"),
+        ("<p>a <svg/> b</p>", "a b"),
+        ("<b><div><i>x</b>y</i></div>z", "xy\nz"),
+    ],
+)
+def test_only_whole_marks_count_inside_an_article(page, text):
+    assert html_extract.main_text(page, []) == text
+
+
+def slow_tags(page: str):
+    """The tags by the pattern that defines them, however long it takes."""
+    import re
+
+    pattern = re.compile(
+        r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>\"']*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
+    )
+    at = 0
+    while m := pattern.search(page, at):
+        yield m.start(), m.end(), m[1] or "", (m[2] or "").lower(), m[3] or ""
+        at = m.end()
+
+
+def test_tags_against_their_pattern():
+    draw = random.Random(11)
+    bits = ["<a ", "<b>", "</b>", "<p", ">", "'", '"', "x=", " ", "t", "<!--", "-->", "<!d", "<?p", "/", "<", "</p>", "<div class='q'>"]
+    for _ in range(4000):
+        page = "".join(draw.choice(bits) for _ in range(draw.randint(0, 25)))
+        tags, at, found = html_extract.Tags(page), 0, []
+        while tag := tags.after(at):
+            found.append(tag)
+            at = tag[1]
+        assert found == list(slow_tags(page)), page
+
+
+def slow_lines(page: str) -> list[tuple[str, int]]:
+    """Lines and kinds with a plain list of open elements, searched from its top each time."""
+    import html
+
+    h, lines, held, stack, at = html_extract, [], [], [], 0
+
+    def kind():
+        return stack[-1][1:] if stack else (h.OPEN, False)
+
+    def flush():
+        text = " ".join(html.unescape("".join(held)).split())
+        if text:
+            lines.append((text, kind()[0]))
+        held.clear()
+
+    for start, end, slash, name, source in slow_tags(page):
+        if start < at:
+            continue
+        held.append(page[at:start])
+        at = end
+        if slash:
+            if name in h.BLOCKS:
+                flush()
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth][0] == name:
+                    if any(s[0] in h.BLOCKS for s in stack[depth:]) or (stack[depth - 1][1] if depth else h.OPEN) != kind()[0]:
+                        flush()
+                    del stack[depth:]
+                    break
+                if name not in h.BLOCKS and stack[depth][0] in h.BLOCKS:
+                    break
+        elif name in h.VOID:
+            if name == "hr":
+                flush()
+            held.append(" ")
+        elif name:
+            if name in h.BLOCKS:
+                flush()
+            for depth in range(len(stack) - 1, -1, -1):
+                if name in h.CLOSED_BY.get(stack[depth][0], ()):
+                    del stack[depth:]
+                    break
+                if stack[depth][0] in h.SCOPE:
+                    break
+            inner = h._kind(name, source, *kind())
+            if inner[0] != kind()[0]:
+                flush()
+            stack.append((name, *inner))
+    held.append(page[at:])
+    flush()
+    return lines
+
+
+def test_lines_against_a_slow_reader():
+    draw = random.Random(12)
+    names = ["p", "b", "i", "div", "li", "ul", "td", "tr", "table", "article", "span", "h2", "section", "nav", "main"]
+    marks = ["", "", "", " class='comments'", " id='related-work'", " class='ad'", " class='share-price'", " class='sidebar'"]
+    for _ in range(3000):
+        page = ""
+        for _ in range(draw.randint(1, 30)):
+            name = draw.choice(names)
+            page += draw.choice([f"<{name}{draw.choice(marks)}>", f"</{name}>", "word ", "x &amp; y", "<br>", "<hr>"])
+        assert html_extract.lines_of(page) == slow_lines(page), page
+
+
+@pytest.mark.parametrize(
+    "part", ["<a ", "if a<b and c<d then ", "<span>", "</span>", "<a \">\" ", "<a '", "<svg/>", "<p ", "<b><div>", "<!x ", "a&lt;"]
+)
+def test_ten_megabytes_of_broken_markup(part):
+    import time
+
+    page = "<article><p>k</p>" + part * (10_000_000 // len(part))
+    began = time.monotonic()
+    html_extract.lines_of(page)
+    assert time.monotonic() - began < 60
+
+
+def test_end_tags_that_match_nothing_near():
+    import time
+
+    began = time.monotonic()
+    for page in ("<b><div>" + "<span>" * 100_000 + "</b>" * 100_000, "<span>" * 100_000 + "<li></li>" * 100_000,
+                 "<span>" * 100_000 + "</i>" * 100_000):
+        html_extract.lines_of(page)
+    assert time.monotonic() - began < 30
+
+
+def test_differencing_alone_finds_the_story(spark):
+    """Pages without an article mark, whose template has no marks either: what differs is the story."""
+    draw = random.Random(13)
+    words = [f"w{i}" for i in range(500)]
+    said = lambda n: " ".join(draw.choices(words, k=n))
+    rows, wanted = [], {}
+    for host in range(6):
+        template = [said(4) for _ in range(8)]
+        for page in range(20):
+            story = [said(12) for _ in range(draw.randint(3, 9))]
+            key = host * 100 + page
+            wanted[key] = story
+            blocks = [*template[:4], *story, *template[4:]]
+            rows.append((key, f"http://h{host}.example/{page % 3}/{page}", "".join(f"<div>{b}</div>" for b in blocks), "t", "k"))
+    hit = kept = told = 0
+    for row in html_extract.extract(pages(spark, rows)).collect():
+        lines = row.text.split("\n")
+        hit += len(set(lines) & set(wanted[row.page_id]))
+        kept += len(lines)
+        told += len(wanted[row.page_id])
+    assert hit / kept > 0.99 and hit / told > 0.99
