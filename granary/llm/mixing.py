@@ -15,8 +15,9 @@ source, in Spark; decisions per document come from arithmetic on its hash.
 
 Defined results: a null or empty text has size 0 and is never taken; a null
 source is a source of its own, ordered last; rows equal in id and text are
-decided together; a source without words has target 0; an empty table gives an
-empty result. Input columns named like an added one are replaced.
+decided together; a source without words has target 0; texts of any length are counted whole, and a
+source of few very long ones needs no more memory than another; an empty table
+gives an empty result. Input columns named like an added one are replaced.
 """
 
 from __future__ import annotations
@@ -40,8 +41,9 @@ SHARE = Fraction(3, 2)
 MOST_REPEATS = 2
 DOCS_PER_BLOCK = 64
 LEAST_BITS, MOST_BITS = 6, 20
-REGION_DOCS = 512
+REGION_DOCS = 256  # on either side of the cut
 EXACT_UNITS = 128
+GRID = 1 << 20  # most steps between 0 and the greatest sum that is tried
 BROADCAST_ROWS = 100_000
 
 ADDED = ("size", "source_size", "target", "copies")
@@ -111,26 +113,55 @@ def _position() -> Column:
 def fill(words: list[int], room: int) -> list[int]:
     """Places of numbers whose sum comes near ``room``: one by one while they fit, the last ones by subset sums.
 
-    Of two sums as near, the lower one is taken.
+    Of two sums as near, the lower one is taken. Sums above ``GRID`` are told
+    on a grid of that many steps, so memory is bounded whatever the numbers;
+    then single numbers are exchanged while that brings the sum nearer.
     """
     head, tail, taken = words[:-EXACT_UNITS], words[-EXACT_UNITS:], []
     for i, n in enumerate(head):
         if 0 < n <= room:
             room -= n
             taken.append(i)
-    within = (1 << (room + max(tail, default=0) + 1)) - 1
+    step = -(-(room + max(tail, default=0) + 1) // GRID)
+    chosen = _nearest_sum([(n + step // 2) // step for n in tail], room // step)
+    if step > 1:
+        chosen = _exchanged(tail, chosen, room)
+    return taken + [len(head) + i for i in chosen]
+
+
+def _nearest_sum(numbers: list[int], room: int) -> list[int]:
+    """Places of numbers whose sum is nearest to ``room``, the lower of two as near."""
+    within = (1 << (room + max(numbers, default=0) + 1)) - 1
     sums = [1]  # bit k: some of the numbers so far add up to k
-    for n in tail:
+    for n in numbers:
         sums.append((sums[-1] | sums[-1] << n) & within)
     below, above = sums[-1] & ((1 << (room + 1)) - 1), sums[-1] >> (room + 1)
     best = below.bit_length() - 1
-    if above and (step := (above & -above).bit_length()) < room - best:
-        best = room + step
-    for i in range(len(tail) - 1, -1, -1):
+    if above and (over := (above & -above).bit_length()) < room - best:
+        best = room + over
+    chosen = []
+    for i in range(len(numbers) - 1, -1, -1):
         if not sums[i] >> best & 1:
-            best -= tail[i]
-            taken.append(len(head) + i)
-    return taken
+            best -= numbers[i]
+            chosen.append(i)
+    return chosen
+
+
+def _exchanged(numbers: list[int], chosen: list[int], room: int) -> list[int]:
+    """``chosen`` after adding, leaving out or exchanging single numbers while the sum comes nearer to ``room``."""
+    inside = set(chosen)
+    off = room - sum(numbers[i] for i in chosen)
+    while off:
+        out = [(0, None), *((numbers[i], i) for i in inside)]
+        into = [(0, None), *((n, i) for i, n in enumerate(numbers) if n and i not in inside)]
+        best = min(((abs(off - new + old), i, j) for old, i in out for new, j in into), key=lambda found: found[0])
+        if best[0] >= abs(off):
+            break
+        for i, change in ((best[1], -1), (best[2], 1)):
+            if i is not None:
+                off -= change * numbers[i]
+                inside ^= {i}
+    return sorted(inside, reverse=True)
 
 
 def _picks(near: pd.DataFrame) -> pd.DataFrame:
@@ -169,13 +200,12 @@ def plan(
         draw = hashlib.blake2b(repr((seed, r._source)).encode(), digest_size=16).digest()
         step, start = (int.from_bytes(half, "big") % (1 << bits) for half in (draw[:8], draw[8:]))
         room = float(aim - passes * r["size"])
-        rows.append((r._source, r["size"], float(aim), passes, room, bits, step | 1, start, r.docs <= REGION_DOCS))
+        rows.append((r._source, r["size"], float(aim), passes, room, bits, step | 1, start))
     # one row a source; beyond the bound Spark joins them as it sees fit
     placed = F.broadcast if len(rows) <= BROADCAST_ROWS else lambda table: table
     first = spark.createDataFrame(
         rows,
-        "_source string, _size long, _target double, _passes int, _room double, _bits int, _step long, _start long, "
-        "_few boolean",
+        "_source string, _size long, _target double, _passes int, _room double, _bits int, _step long, _start long",
     )
     blocks = (
         narrow.join(placed(first), narrow["_source"].eqNullSafe(first["_source"])).drop(first["_source"])
@@ -185,17 +215,16 @@ def plan(
             F.sum("_words").alias("words"),
             F.count(F.lit(1)).alias("docs"),
             F.first("_room").alias("_room"),
-            F.first("_few").alias("_few"),
         )
     )
     # at most 2^20 blocks a source
     order = Window.partitionBy("_source").orderBy("_position").rowsBetween(Window.unboundedPreceding, 0)
-    # of a source with few documents any may be picked; else whole blocks go first
-    inside = (F.col("through") <= F.col("_room")) & ~F.col("_few")
-    summed = blocks.withColumn("through", F.sum("words").over(order)).withColumn(
-        "_docs_through", F.sum(F.when(~inside, F.col("docs")).otherwise(0)).over(order)
-    )
-    region = ~inside & (F.col("_docs_through") - F.col("docs") < REGION_DOCS)
+    # whole blocks up to the cut, but for those of the last documents before it: these and the next may be picked
+    summed = blocks.withColumns({"through": F.sum("words").over(order), "_docs_through": F.sum("docs").over(order)})
+    fits = F.when(F.col("through") <= F.col("_room"), F.col("_docs_through"))
+    summed = summed.withColumn("_docs_cut", F.coalesce(F.max(fits).over(Window.partitionBy("_source")), F.lit(0)))
+    inside = (F.col("through") <= F.col("_room")) & (F.col("_docs_through") <= F.col("_docs_cut") - REGION_DOCS)
+    region = ~inside & (F.col("_docs_through") - F.col("docs") < F.col("_docs_cut") + REGION_DOCS)
     cuts = {
         r._source: r
         for r in summed.groupBy("_source")

@@ -44,7 +44,7 @@ def frame(spark, n: int):
 
 
 def test_mix_meets_targets_and_reruns_agree(spark):
-    docs = frame(spark, 3000)  # sources above and below REGION_DOCS
+    docs = frame(spark, 3000)  # sources above and below REGION_DOCS on either side
     mix = mixing.plan(docs, shards=5)
     decided = mixing.decide(docs, mix).collect()
     assert len(decided) == docs.count()
@@ -85,3 +85,51 @@ def test_odd_rows_and_columns(odd_documents, no_documents):
     assert {"_row", "copy", "shard", "place"} <= set(mixed.columns)
     assert mixed.count() == sum(r.copies for r in decided)
     assert mixing.mixed(no_documents, mixing.plan(no_documents)).count() == 0
+
+
+def test_fill_is_the_best_of_all_subsets():
+    draw = random.Random(4)
+    for _ in range(400):
+        words = [draw.randint(0, 40) for _ in range(draw.randint(0, 9))]
+        room = draw.randint(0, 200)
+        sums = {sum(w for i, w in enumerate(words) if pick >> i & 1) for pick in range(1 << len(words))}
+        chosen = mixing.fill(words, room)
+        got = sum(words[i] for i in chosen)
+        assert len(set(chosen)) == len(chosen)
+        assert abs(got - room) == min(abs(s - room) for s in sums)
+        assert got == min(s for s in sums if abs(s - room) == abs(got - room))
+
+
+def test_fill_needs_little_memory_for_long_documents():
+    import tracemalloc
+
+    draw = random.Random(6)
+    words = [draw.randint(5_000_000, 15_000_000) for _ in range(128)]
+    for share in (0.03, 0.5, 0.97):
+        room = int(sum(words) * share)
+        tracemalloc.start()
+        chosen = mixing.fill(words, room)
+        assert tracemalloc.get_traced_memory()[1] < 100e6
+        tracemalloc.stop()
+        assert abs(sum(words[i] for i in chosen) - room) < 0.002 * room
+
+
+def test_few_very_long_documents(spark):
+    rows = [(i, "w " * (20_000 + 977 * i), "long") for i in range(12)] + [(100 + i, prose(i, 20), "short") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    decided = mixing.decide(docs, mixing.plan(docs)).collect()
+    for source in ("long", "short"):
+        mine = [r for r in decided if r.source == source]
+        assert abs(sum(r["size"] * r.copies for r in mine) - mine[0].target) < 0.05 * mine[0].target
+
+
+def test_shares_are_distributed_like_shuffled_blocks():
+    quotas, shards, runs = [6, 3, 9], 3, 4000
+    drawn = [mixing.split_quotas(quotas, shards, seed)[0] for seed in range(runs)]
+    total, mine = sum(quotas), sum(quotas) // shards
+    for i, owned in enumerate(quotas):
+        values = [share[i] for share in drawn]
+        mean, expected = sum(values) / runs, mine * owned / total
+        spread = expected * (1 - owned / total) * (total - mine) / (total - 1)
+        assert abs(mean - expected) < 5 * (spread / runs) ** 0.5
+        assert abs(sum((v - mean) ** 2 for v in values) / runs - spread) < 0.15 * spread
