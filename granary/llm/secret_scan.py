@@ -50,15 +50,16 @@ IDENTITY = re.compile(
 IDENTITY_WORDS = (b"user", b"login", b"account", b"client", b"access", b"tenant")
 MATERIAL = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(r"""[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,}|(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}:\d{2,5}(?!\d)""")
+HEX_LIKE = re.compile(r"[0-9A-Fa-f-]+")
 PORT = re.compile(r"\.\d{1,3}:\d{2}")  # in every endpoint without ://
 PARAGRAPH = re.compile(r"\n[\x20\t]*\n")
 REACH = 240
 LEAST_BITS = 3.5
 
 KINDS = ("assign", "access", "hex", "identity", "material", "endpoint")
-ROLE = {"assign": "secret", "hex": "secret", "material": "secret", "access": "identity", "identity": "identity", "endpoint": "endpoint"}
-# what completes a weak candidate
-NEEDS = {"identity": ("secret",), "material": ("identity", "endpoint"), "endpoint": ("secret", "identity")}
+ROLE = {"assign": "secret", "hex": "digest", "material": "secret", "access": "identity", "identity": "identity", "endpoint": "endpoint"}
+# what completes a weak candidate; a bare run of hex digits may be a checksum, so it completes no endpoint
+NEEDS = {"identity": ("secret", "digest"), "material": ("identity", "endpoint"), "endpoint": ("secret", "identity")}
 
 SPAN = "array<struct<kind:string,start:int,end:int,linked:boolean>>"
 ARROW_SPAN = pa.list_(
@@ -105,9 +106,15 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
         weak += [("endpoint", *m.span()) for m in ENDPOINT.finditer(text)]
     if not base and not weak:
         return []
-    weak += [("material", *m.span()) for m in MATERIAL.finditer(text) if _random_looking(m[0])]
-
-    parts: dict[str, list[Span]] = {"secret": [], "identity": [], "endpoint": []}
+    # checksums and ids in hex digits are no material, nor is a part of an address
+    ends = [w for w in weak if w[0] == "endpoint"]
+    weak += [
+        ("material", *m.span())
+        for m in MATERIAL.finditer(text)
+        if _random_looking(m[0]) and not HEX_LIKE.fullmatch(m[0]) and not _overlaps(ends, *m.span())
+    ]
+
+    parts: dict[str, list[Span]] = {"secret": [], "digest": [], "identity": [], "endpoint": []}
     strong = sorted(base, key=lambda span: span[1:])
     by_kind = {kind: [s for s in strong if s[0] == kind] for kind in KINDS[:3]}
     # a weak candidate that repeats a reported span is not a part of its own

@@ -66,7 +66,14 @@ def brute_linked(text: str) -> list[tuple]:
     strong = brute(text)
     weak = [(kind, *m.span()) for kind, pattern in (("identity", secret_scan.IDENTITY), ("endpoint", secret_scan.ENDPOINT))
             for m in pattern.finditer(text)]
-    weak += [("material", *m.span()) for m in secret_scan.MATERIAL.finditer(text) if secret_scan._random_looking(m[0])]
+    ends = [w for w in weak if w[0] == "endpoint"]
+    weak += [
+        ("material", *m.span())
+        for m in secret_scan.MATERIAL.finditer(text)
+        if secret_scan._random_looking(m[0])
+        and not re.fullmatch("[0-9A-Fa-f-]+", m[0])
+        and not any(m.start() < e and s < m.end() for _, s, e in ends)
+    ]
     weak = [w for w in weak if not any(w[1] < s[2] and s[1] < w[2] for s in strong)]
     breaks = [m.start() for m in secret_scan.PARAGRAPH.finditer(text)]
     linked = []
@@ -103,3 +110,47 @@ def test_odd_rows_and_columns(odd_documents, no_documents):
     rows = secret_scan.find_secrets(odd_documents).collect()
     assert len(rows) == odd_documents.count() and all(r.spans == [] for r in rows)
     assert secret_scan.find_secrets(no_documents).count() == 0
+
+
+def test_checksums_and_links_are_no_credentials():
+    digest = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b2b0b822cd15d6c15b0f00a08"
+    for text in (f"sha256 checksum {digest} Download https://mirror.example/file.iso", f"SHA256 {digest.upper()} https://mirror.example/x",
+                 f"commit {digest[:40]} see https://git.example/r/c/{digest[:40]}", f"https://cdn.example/{MATERIAL}/app.js",
+                 "Licensed under https://licenses.example/by/4.0/", "id 123e4567-e89b-12d3-a456-426614174000 at https://a.example/x"):
+        assert kinds(text) == [], text
+
+
+def test_precision_and_recall_on_made_credentials():
+    """Whole credentials in prose, parts alone, and decoys, told apart by their planted spans."""
+    draw = random.Random(21)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    word = lambda n: "".join(draw.choice(letters) for _ in range(n))
+    hexes = lambda n: "".join(draw.choice("0123456789abcdef") for _ in range(n))
+    prose = lambda n: " ".join(draw.choice(["the", "of", "service", "runs", "on", "and", "host", "with"]) for _ in range(n))
+    hits = wrong = missed = 0
+    for _ in range(4000):
+        kind, planted = draw.choice(["identity+material", "material+endpoint", "identity+assign", "alone", "decoy"]), []
+        identity, endpoint = f"user: {word(8)}", f"postgres://db{draw.randint(1, 99)}.example:5432/app"
+        if kind == "identity+material":
+            planted = [identity, word(40)]
+        elif kind == "material+endpoint":
+            planted = [word(40), endpoint]
+        elif kind == "identity+assign":
+            planted = [identity, endpoint]
+        pieces = list(planted)
+        if kind == "identity+assign":
+            pieces.append(f"password={word(12)}")
+        if kind == "alone":
+            pieces = [draw.choice([identity, word(40), endpoint])]
+        if kind == "decoy":
+            pieces = draw.choice([[hexes(64), "https://mirror.example/a.iso"], [hexes(40), "https://git.example/r/" + hexes(40)],
+                                  ["https://licenses.example/by/4.0/", "https://b.example/" + word(36)]])
+        draw.shuffle(pieces)
+        text = prose(8)
+        for piece in pieces:
+            text += f" {piece} " + prose(draw.randint(1, 6))
+        found = [text[s["start"] : s["end"]] for s in secret_scan.scan(text) if s["linked"]]
+        hits += sum(piece in found for piece in planted)
+        missed += sum(piece not in found for piece in planted)
+        wrong += sum(piece not in planted for piece in found)
+    assert hits / (hits + missed) > 0.99 and hits / (hits + wrong) > 0.99, (hits, missed, wrong)
