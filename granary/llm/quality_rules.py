@@ -3,7 +3,8 @@
 Every measure and every rule is a built-in column expression, so a document is
 judged in the scan's own stage: no shuffle, no Python, nothing collected.
 
-Defined results: a null text counts as empty; an empty text has no words and
+Defined results: a null text counts as empty; texts of any length are measured
+whole and none is rejected for its length; an empty text has no words and
 fails the shortest-length rule; repeated rows are judged alike; an empty table
 gives an empty result. The input's other columns stay; a column named like a
 measure is replaced by the measure.
@@ -52,7 +53,6 @@ class Rule:
 # Measures a rule may name: the columns of ``measures``. Ratios are per word or per line.
 RULES = (
     Rule("too_short", "n_words", low=10),
-    Rule("too_long", "n_words", high=1_000_000),
     Rule("word_length", "word_chars", per="n_words", low=2.0, high=16.0),
     Rule("symbols", "n_symbols", per="n_words", high=0.10),
     Rule("stop_words", "n_stop_words", per="n_words", low=0.06, from_words=30),
