@@ -210,11 +210,13 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_column: str =
     others = drawn(ids, UNLABELLED).withColumn("_good", F.lit(False))
     taken = positives.unionByName(others)  # at most POSITIVES + UNLABELLED ids
     measures = F.arrow_udf(_measured, "array<double>")
+    # an id may repeat, however often: the least of its texts' measures is the one that is taken
     sample = (
         docs.select(F.col(id_column).alias("_id"), T.whole(text).alias("_text"))
         .join(F.broadcast(taken), "_id")
         .select("_good", "_id", measures("_text").alias("x"))
-        .limit(2 * (POSITIVES + UNLABELLED))  # an id may repeat
+        .groupBy("_good", "_id")
+        .agg(F.min("x").alias("x"))
         .collect()
     )
     sample.sort(key=lambda row: (row._id, row.x))

@@ -89,3 +89,34 @@ def test_odd_rows_and_columns(corpus, odd_documents, no_documents):
     assert pu_classifier.fit(odd_documents, labels) is not None
     assert pu_classifier.fit(no_documents, labels) is None
     assert pu_classifier.score(no_documents, network).count() == 0
+
+
+def test_slope_of_the_risk_against_differences():
+    """One full-batch step moves the last bias against the non-negative risk's numeric slope."""
+    draw = np.random.default_rng(3)
+    p, u, prior = draw.normal(1, 1, (40, 3)), draw.normal(0, 1, (60, 3)), 0.4
+
+    def risk(logit):
+        good, rest = np.logaddexp(0, -logit), np.logaddexp(0, logit)
+        a = len(p)
+        return prior * good[:a].mean(), rest[a:].mean() - prior * rest[:a].mean()
+
+    both = np.concatenate([p, u])
+    logit = pu_classifier.Network(u).logit(both)
+    step = 1e-6
+    for shift in (0.0, -9.0):  # the second makes the part that cannot be negative so, if anything does
+        at = logit + shift
+        numeric = np.array([
+            (sum(risk(at + step * (np.arange(len(at)) == i))) - sum(risk(at - step * (np.arange(len(at)) == i)))) / (2 * step)
+            for i in range(len(at))
+        ])
+        good, a, b = 1 / (1 + np.exp(-at)), len(p), len(u)
+        direct = np.concatenate([prior * (good[:a] - 1 - good[:a]) / a, good[a:] / b])
+        assert np.allclose(numeric, direct, atol=1e-6)
+
+
+def test_repeated_ids_train_alike_in_any_order(corpus):
+    docs, labels, _ = corpus
+    again = docs.unionByName(docs.withColumn("text", pu_classifier.F.concat("text", pu_classifier.F.lit(" more"))))
+    one, two = (pu_classifier.fit(again.repartition(n, "text"), labels) for n in (2, 7))
+    assert all(np.array_equal(a, b) for a, b in zip(one.weights, two.weights))
