@@ -49,3 +49,38 @@ def test_odd_rows_and_columns(odd_documents, no_documents):
     check(rows, 3)
     assert {r._row for r in rows} == {"r"}
     assert sharding.shard(no_documents, 3).count() == 0
+
+
+def test_heap_schedule_against_all_schedules():
+    """Largest-first never exceeds 4/3 - 1/(3m) of the best possible greatest load."""
+    import itertools
+    import random
+
+    draw = random.Random(2)
+    for _ in range(60):
+        sizes, shards = [draw.randint(1, 30) for _ in range(draw.randint(1, 8))], draw.randint(2, 3)
+        given = sharding.least_loaded([(size, i) for i, size in enumerate(sizes)], shards)
+        load = max(sum(s for s, g in zip(sizes, given) if g == n) for n in range(shards))
+        best = min(
+            max(sum(s for s, g in zip(sizes, way) if g == n) for n in range(shards))
+            for way in itertools.product(range(shards), repeat=len(sizes))
+        )
+        assert load <= best * (4 / 3 - 1 / (3 * shards)) + 1e-9
+
+
+def test_bundles_are_as_even_as_single_groups(spark):
+    import random
+
+    draw = random.Random(3)
+    rows = [(i, f"text {i % 3000} " * draw.choice([1, 2, 30])) for i in range(6000)]
+    loads = {}
+    for heavy, bundles in ((sharding.HEAVY, sharding.BUNDLES), (1 << 40, sharding.BUNDLES)):
+        before = sharding.HEAVY
+        try:
+            sharding.HEAVY = heavy
+            placed = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+        finally:
+            sharding.HEAVY = before
+        loads[heavy] = [sum(r["size"] for r in placed if r["shard"] == n) for n in range(4)]
+    for load in loads.values():
+        assert max(load) - min(load) < 0.01 * max(load)
