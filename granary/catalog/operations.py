@@ -75,6 +75,47 @@ def priced_orders_auto(spark, folder):
     )
 
 
+@query(
+    "priced_orders_windows",
+    """WITH offers AS (
+           SELECT 'S' || s_suppkey AS code, s_suppkey % 3 <> 0 AS pct, CAST(1 + s_suppkey % 30 AS DECIMAL(10,2)) AS value,
+                  CAST(s_suppkey % 7 * 1000 AS DECIMAL(10,2)) AS low,
+                  TIMESTAMP '1995-01-01 00:30:00' + to_minutes(s_suppkey * 2225) AS begins,
+                  TIMESTAMP '1995-01-01 00:30:00' + to_minutes(s_suppkey * 2225 + s_suppkey % 90 * 1440 + 17) AS ends
+           FROM supplier
+       ), timed AS (
+           SELECT order_id, subtotal, CAST(order_date AS TIMESTAMP) + to_minutes(order_id * 7 % 1440) AS moment FROM baskets
+       ), tried AS (
+           SELECT order_id, code, least(CASE WHEN pct THEN CAST(subtotal * value * 0.01 AS DECIMAL(24,6)) * 1
+                  ELSE CAST(value * 40 AS DECIMAL(24,6)) END, CAST(subtotal AS DECIMAL(24,6))) AS exact
+           FROM timed JOIN offers ON moment BETWEEN begins AND ends AND subtotal >= low
+       ), best AS (
+           SELECT * FROM tried QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY exact DESC, code) = 1
+       )
+       SELECT order_id, code AS coupon, CAST(coalesce(exact, 0) AS DECIMAL(18,2)) AS discount
+       FROM timed LEFT JOIN best USING (order_id)""",
+)
+def priced_orders_windows(spark, folder):
+    """Baskets at a minute of their day, each with the best of many coupons whose windows begin and end at minutes."""
+    begins = F.lit("1995-01-01 00:30:00").cast("timestamp")
+    key, minutes = F.col("s_suppkey"), F.col("s_suppkey") * 2225
+    offers = sample.table(spark, folder, "supplier").select(
+        F.concat(F.lit("S"), key.cast("string")).alias("code"),
+        F.when(key % 3 != 0, "percentage").otherwise("fixed").alias("discount_type"),
+        ((1 + key % 30) * F.when(key % 3 != 0, 1).otherwise(40)).cast("decimal(10,2)").alias("value"),
+        (key % 7 * 1000).cast("decimal(10,2)").alias("min_purchase"),
+        F.lit(True).alias("active"),
+        F.timestamp_seconds(F.unix_timestamp(begins) + minutes * 60).alias("start_date"),
+        F.timestamp_seconds(F.unix_timestamp(begins) + (minutes + key % 90 * 1440 + 17) * 60).alias("end_date"),
+    )
+    minute = F.col("order_id") * 7 % 1440 * 60
+    timed = _baskets(spark, folder).select(
+        "order_id", "subtotal", F.timestamp_seconds(F.unix_timestamp(F.col("order_date").cast("timestamp")) + minute).alias("at"),
+        F.lit(None).cast("string").alias("coupon_code"),
+    )
+    return pricing.priced(timed, offers, at="at", auto_apply=True).select("order_id", "coupon", "discount")
+
+
 @query("applied_coupon", "SELECT order_id, coupon, discount FROM priced WHERE coupon IS NOT NULL")
 def applied_coupon(spark, folder):
     return _priced(spark, folder).filter("coupon is not null").select("order_id", "coupon", "discount")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from granary import session
 from granary.contracts import FLAT_SHIPPING, MONEY
 from granary.functions import numbers, text
+from granary.operators import intervals
 
 PRICE_EXACT = "decimal(24,6)"
 
@@ -56,36 +56,44 @@ def eligible_coupons(baskets: DataFrame, coupons: DataFrame, at: str = "order_da
     return reached.withColumn("discount", numbers.money(discount))
 
 
-def best_offers(coupons: DataFrame, first: date, last: date) -> DataFrame:
-    """Per day and minimum-purchase step the best percentage and the best fixed coupon.
+def best_offers(coupons: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bounds of the coupons' windows, and per interval between them and minimum-purchase step the best coupons.
 
-    ``day, low, high, pct, fixed``: for subtotals from ``low`` to below
-    ``high``. Only steps that improve an offer are kept, so a day has few rows
-    however many coupons run on it. Coupons are unrolled to the days between
-    ``first`` and ``last`` only.
+    ``interval, low, high, pct, fixed``: the best percentage and the best fixed
+    coupon for subtotals from ``low`` to below ``high``. Windows are taken to
+    the microsecond. The coupons of a piece of the interval tree are reduced to
+    their steps before intervals meet them, and only steps that improve an
+    offer are kept, so many coupons or long ones make no many rows.
     """
-    begin = F.greatest(F.coalesce(F.to_date("start_date"), F.lit(first)), F.lit(first))
-    end = F.least(F.coalesce(F.to_date("end_date"), F.lit(last)), F.lit(last))
-    running = coupons.filter("active").withColumns({"_begin": begin, "_end": end}).filter("_begin <= _end")
+    running = coupons.filter("active and min_purchase is not null").select(*OFFER, "start_date", "end_date")
+    edges = intervals.bounds(running, "start_date", "end_date")
+    levels = intervals.levels_for(edges)
     # the higher value wins, then the lower code: both in one minimum
     rank = F.struct((-F.col("value")).alias("less"), "code", "value")
-    steps = (
-        running.withColumn("day", F.explode(F.sequence("_begin", "_end")))
-        .groupBy("day", "min_purchase")
+    by_piece = (
+        intervals.pieces(intervals.ranked(running, edges, "start_date", "end_date"), levels)
+        .groupBy("_level", "_node", "min_purchase")
         .agg(
             F.min(F.when(F.col("discount_type") == "percentage", rank)).alias("pct"),
             F.min(F.when(F.col("discount_type") == "fixed", rank)).alias("fixed"),
         )
     )
-    up_to = Window.partitionBy("day").orderBy("min_purchase").rowsBetween(Window.unboundedPreceding, 0)
+    numbers_of = edges.select(F.col("rank").alias("interval")).unionByName(edges.sparkSession.range(1).select(F.col("id").alias("interval")))
+    steps = (
+        intervals.ancestors(numbers_of, "interval", levels)
+        .join(by_piece, ["_level", "_node"])
+        .groupBy("interval", "min_purchase")
+        .agg(F.min("pct").alias("pct"), F.min("fixed").alias("fixed"))
+    )
+    up_to = Window.partitionBy("interval").orderBy("min_purchase").rowsBetween(Window.unboundedPreceding, 0)
     best = steps.select(
-        "day", F.col("min_purchase").alias("low"), F.min("pct").over(up_to).alias("pct"),
+        "interval", F.col("min_purchase").alias("low"), F.min("pct").over(up_to).alias("pct"),
         F.min("fixed").over(up_to).alias("fixed"),
     )
-    by_low = Window.partitionBy("day").orderBy("low")
+    by_low = Window.partitionBy("interval").orderBy("low")
     same = F.lag("pct").over(by_low).eqNullSafe(F.col("pct")) & F.lag("fixed").over(by_low).eqNullSafe(F.col("fixed"))
     better = best.withColumn("_same", same & F.lag("low").over(by_low).isNotNull()).filter("not _same")
-    return better.select("day", "low", F.lead("low").over(by_low).alias("high"), "pct", "fixed")
+    return edges, better.select("interval", "low", F.lead("low").over(by_low).alias("high"), "pct", "fixed")
 
 
 def _priced_by(baskets: DataFrame, exact: Column, code: Column) -> DataFrame:
@@ -107,7 +115,8 @@ def priced(baskets: DataFrame, coupons: DataFrame, at: str = "order_date", auto_
 
     A basket gets the coupon it names, if that is in force and the minimum is
     reached, or none. With ``auto_apply`` a basket that names none gets the
-    better of its day's best percentage and best fixed coupon, ties by code.
+    better of the best percentage and the best fixed coupon in force at its
+    time, ties by code; without a time it gets none.
     """
     columns = list(baskets.columns)
     active = coupons.filter("active").select(
@@ -126,13 +135,13 @@ def priced(baskets: DataFrame, coupons: DataFrame, at: str = "order_date", auto_
         return result
 
     open_baskets = baskets.filter(_wanted().isNull())
-    days = baskets.agg(F.min(F.to_date(at)).alias("first"), F.max(F.to_date(at)).alias("last")).first()
-    if days.first is None:
-        return result
-    offers = best_offers(coupons, days.first, days.last).select(*[F.col(c).alias(f"_{c}") for c in
-                                                                 ("day", "low", "high", "pct", "fixed")])
+    edges, offers = best_offers(coupons)
+    offers = session.stage(
+        offers.select(*[F.col(c).alias(f"_{c}") for c in ("interval", "low", "high", "pct", "fixed")]), "best-offers"
+    )
+    placed = session.stage(intervals.interval_of(open_baskets, edges, at, "_at_interval"), "open-baskets")
     within = (F.col("subtotal") >= F.col("_low")) & (F.col("_high").isNull() | (F.col("subtotal") < F.col("_high")))
-    found = open_baskets.join(offers, (F.to_date(at) == F.col("_day")) & within, "left")
+    found = placed.join(offers, (F.col("_at_interval") == F.col("_interval")) & within, "left")
 
     def offer(name: str, kind: str) -> Column:
         cost = -_discount(F.col("subtotal"), F.lit(kind), F.col(f"_{name}.value"))

@@ -10,7 +10,6 @@ numbers its members anew after the first.
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +26,7 @@ def _paths(state: commits.Commit, dimension: str) -> dict[str, str]:
 
 def _known(spark: SparkSession, state: commits.Commit, dimension: str) -> DataFrame | None:
     paths = list(_paths(state, dimension).values())
-    return reduce(DataFrame.unionByName, [spark.read.parquet(path) for path in paths]) if paths else None
+    return spark.read.parquet(*paths) if paths else None
 
 
 def assign(

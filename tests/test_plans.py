@@ -121,6 +121,48 @@ def test_ten_thousand_coupons_make_no_arrays(spark):
         assert abs(got[number][1] - expected[1]) <= Decimal("0.005")
 
 
+def test_coupon_windows_of_minutes(spark):
+    """Each coupon tried on each basket, around the very ends of windows, open ones included."""
+    import random
+    from datetime import datetime, timedelta
+
+    draw, base = random.Random(6), datetime(1998, 1, 1)
+    minute = lambda most: base + timedelta(minutes=draw.randrange(most))
+    rows = [("A", "percentage", Decimal(50), Decimal(0), True, datetime(1998, 1, 1, 9, 30), datetime(1998, 1, 31))]
+    for n in range(400):
+        start = minute(60_000) if n % 9 else None
+        end = ((start or base) + timedelta(minutes=draw.choice([0, 1, 30, 5_000, 400_000]))) if n % 8 else None
+        kind = ("percentage", "fixed")[n % 2]
+        rows.append((f"C{n:03d}", kind, Decimal(draw.randrange(1, 40)), Decimal(draw.randrange(4) * 100), n % 7 != 0, start, end))
+    schema = "code string, discount_type string, value decimal(10,2), min_purchase decimal(10,2), active boolean, start_date timestamp, end_date timestamp"
+    times = [datetime(1998, 1, 1, 8), datetime(1998, 1, 31, 12)] + [minute(90_000) for _ in range(150)]
+    times += [at + timedelta(microseconds=shift) for row in rows[::9] for at in row[5:] if at for shift in (-1, 0, 1)]
+    orders = [(i, Decimal(draw.randrange(5000, 60000)) / 100, at, None) for i, at in enumerate(times)] + [(9999, Decimal(50), None, None)]
+    baskets = spark.createDataFrame(orders, "order_id bigint, subtotal decimal(18,2), at timestamp, coupon_code string")
+    frame = pricing.priced(baskets, spark.createDataFrame(rows, schema), at="at", auto_apply=True)
+    got = {r.order_id: r.coupon for r in frame.collect()}
+    assert len(got) == len(orders) and got[9999] is None
+    for number, subtotal, at, _ in orders[:-1]:
+        tried = [
+            (-min(subtotal * value / 100 if kind == "percentage" else value, subtotal), code)
+            for code, kind, value, least, active, start, end in rows
+            if active and (start is None or start <= at) and (end is None or at <= end) and subtotal >= least
+        ]
+        assert got[number] == (min(tried)[1] if tried else None), (number, at)
+    assert got[0] != "A" and got[1] != "A"
+
+
+def test_a_long_window_is_few_pieces(spark):
+    from granary.operators import intervals
+
+    frame = spark.createDataFrame([(a, b) for a in range(40) for b in range(a + 1, 41)], "_from long, _to long").withColumn("w", F.struct("_from", "_to"))
+    cut = intervals.pieces(frame, 7)
+    assert cut.groupBy("w").count().agg(F.max("count")).first()[0] <= 12
+    spread = intervals.ancestors(spark.range(41).withColumnRenamed("id", "n"), "n", 7)
+    covered = spread.join(cut, ["_level", "_node"]).groupBy("w").agg(F.count("n").alias("c"), F.min("n").alias("a"), F.max("n").alias("b"))
+    assert covered.where("c <> w._to - w._from or a <> w._from or b <> w._to - 1").count() == 0 and covered.count() == 820
+
+
 def test_fixed_discount_stops_at_the_subtotal(spark):
     coupons = coupon_table(spark).withColumn("min_purchase", F.expr("0BD").cast("decimal(10,2)"))
     frame = pricing.priced(basket(spark, (1, Decimal("120"), date(2000, 6, 1), "fix500")), coupons)
