@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.session import exists
-from granary.sources import office
+from granary.sources import office, splits
 
 ORIGIN = ["source_file", "_file", "_block", "_seq"]
+CSV_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "\u0000", "emptyValue": ""}
+JSON_OPTIONS = {"primitivesAsString": "true", "mode": "FAILFAST"}
 
 
 def _origin() -> list[Column]:
@@ -48,18 +50,15 @@ def read_delimited(
 ) -> DataFrame:
     """Delimited text with a header, everything as text.
 
-    The byte order mark is dropped and an empty field reads as the empty
-    string. A file whose quoted fields may hold line breaks cannot be split;
-    pass ``quoted_newlines=False`` for large files known to have none.
+    The byte order mark is dropped; an empty field reads as NULL, one in quotes
+    as the empty string. With ``quoted_newlines`` one task reads a file;
+    ``csv_records`` reads it with many.
     """
     return (
         spark.read.option("header", True)
         .option("sep", sep)
         .option("multiLine", quoted_newlines)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", "\u0000")
-        .option("emptyValue", "")
+        .options(**CSV_OPTIONS)
         .option("enforceSchema", False)
         .csv(path)
     )
@@ -68,8 +67,21 @@ def read_delimited(
 def csv_records(
     spark: SparkSession, path: str | list[str], fields: list[str], sep: str = ",", quoted_newlines: bool = True
 ) -> DataFrame:
+    """Records of CSV files with one header; line breaks inside quotes are told from others over all splits."""
     raw = read_delimited(spark, path, sep, quoted_newlines)
-    return raw.select(*_origin(), _as_json(raw.columns).alias("raw_json"), *_conformed(raw, fields))
+    if not quoted_newlines:
+        return raw.select(*_origin(), _as_json(raw.columns).alias("raw_json"), *_conformed(raw, fields))
+    return _placed(splits.csv_rows(spark, path, raw.columns, CSV_OPTIONS, sep), fields)
+
+
+def _placed(rows: DataFrame, fields: list[str]) -> DataFrame:
+    """Records numbered within their file, in the readers' shape."""
+    named = [name for name in rows.columns if name not in ("source_file", "_file", "_record")]
+    payload = _as_json(named) if named else F.lit("{}")
+    return rows.select(
+        "source_file", "_file", F.lit(0).cast("bigint").alias("_block"), F.col("_record").alias("_seq"),
+        payload.alias("raw_json"), *_conformed(rows.select(*[f"`{n}`" for n in named]), fields),
+    )
 
 
 def _from_raw_json(df: DataFrame, fields: list[str]) -> DataFrame:
@@ -85,19 +97,12 @@ def jsonl_records(spark: SparkSession, path: str | list[str], fields: list[str])
 
 
 def json_array_records(spark: SparkSession, path: str | list[str], fields: list[str]) -> DataFrame:
-    """Files that hold one JSON array each; the format allows one task per file.
+    """Files that hold one JSON array each; their elements are found over all splits.
 
-    The reader streams the elements, so a task holds one record at a time. It
-    reads the files once more beforehand for the fields they have, since the
-    payload keeps those outside the contract too; values keep their text.
+    The elements are written as lines once, since the payload keeps fields
+    outside the contract and those have to be known first; values keep their text.
     """
-    raw = (
-        spark.read.option("multiLine", True)
-        .option("primitivesAsString", True)
-        .option("mode", "FAILFAST")
-        .json(path)
-    )
-    return raw.select(*_origin(), _as_json(raw.columns).alias("raw_json"), *_conformed(raw, fields))
+    return _placed(splits.json_rows(spark, path, JSON_OPTIONS), fields)
 
 
 def office_records(spark: SparkSession, path: str | list[str], fields: list[str]) -> DataFrame:
@@ -141,7 +146,7 @@ def missing_files(spark: SparkSession, folder: str, required: tuple[str, ...]) -
 def read_records(
     spark: SparkSession, suffix: str, path: str | list[str], fields: list[str], quoted_newlines: bool = True
 ) -> DataFrame:
-    """Records of files with one suffix; large CSV is split over tasks if its quotes hold no line breaks."""
+    """Records of files with one suffix; CSV whose quotes hold no line breaks takes one pass less."""
     if suffix == ".csv":
         return csv_records(spark, path, fields, quoted_newlines=quoted_newlines)
     return READERS[suffix](spark, path, fields)
