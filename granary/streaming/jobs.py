@@ -132,14 +132,22 @@ def landing_feed(
             for suffix in files.READERS
             if (wanted := [path for path in paths if path.endswith(suffix)])
         ]
+        # the last id stands beside each batch, in a folder that readers of the table pass over
+        known = f"{out}/_last/batch={batch_id - 1}"
+        before = 0
+        if batch_id and exists(spark, known):
+            before = spark.read.parquet(known).first().last
+        elif batch_id and exists(spark, out):  # written before the last id was kept
+            before = spark.read.parquet(out).where(F.col("batch") < batch_id).agg(F.max("bronze_id")).first()[0] or 0
+        last = F.lit(before).cast("long").alias("last")
         if not parts:
+            spark.range(1).select(last).write.mode("overwrite").parquet(f"{out}/_last/batch={batch_id}")
             return
-        before = 0
-        if batch_id and exists(spark, out):
-            earlier = spark.read.parquet(out).where(F.col("batch") < batch_id)
-            before = earlier.agg(F.max("bronze_id")).first()[0] or 0
         numbered = file_positions(reduce(DataFrame.unionByName, parts))
         rows = numbered.withColumns({"bronze_id": F.col("bronze_id") + before, "extracted_at": F.lit(load_time())})
-        rows.select(*BRONZE_METADATA, *ORDER_FIELDS).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        path = f"{out}/batch={batch_id}"
+        rows.select(*BRONZE_METADATA, *ORDER_FIELDS).write.mode("overwrite").parquet(path)
+        reached = spark.read.parquet(path).agg(F.coalesce(F.max("bronze_id"), F.lit(before)).cast("long").alias("last"))
+        reached.write.mode("overwrite").parquet(f"{out}/_last/batch={batch_id}")
 
     state.run_available(arrivals.writeStream.foreachBatch(write), checkpoint)
