@@ -120,9 +120,16 @@ def dedup_first_order(spark, folder):
            FROM raw WHERE trim(order_id) <> '') WHERE rank = 1""",
 )
 def dedup_first_line(spark, folder):
+    """Chosen by number: file and line are the same for all rows of a key, so the least product decides."""
+    keys = ["at_order_id", "line_number"]
     raw = silver.with_key(sample.customer_orders(spark, folder))
-    first = dedup_first(raw, ["order_id", "line_number"], sample.BRONZE_ORDER)
-    return first.select("order_id", "line_number", "product_id", "source_file")
+    first = raw.groupBy(*keys).agg(F.min("at_product_id").alias("product"))
+    return first.select(
+        sample.order_code("at_order_id").alias("order_id"),
+        "line_number",
+        sample.product_code("product").alias("product_id"),
+        sample.landing_file().alias("source_file"),
+    )
 
 
 @query("silver_customer_orders", "SELECT * FROM silver")

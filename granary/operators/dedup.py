@@ -17,6 +17,18 @@ def dedup_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> Da
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
+def dedup_least(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """First row per key along ``order``, as the least row; ties go by the other columns.
+
+    An aggregate with map-side combine: rows are grouped by key alone instead of
+    sorted by key and order. All columns must be orderable and NULLs come first.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    least = F.min(F.struct(*order, *rest)).alias("_least")
+    chosen = df.groupBy(*keys).agg(least)
+    return chosen.select(*[F.col(c) if c in keys else F.col(f"_least.{c}") for c in df.columns])
+
+
 def dedup_exact(df: DataFrame) -> DataFrame:
     """Collapse rows that agree in every column."""
     return df.dropDuplicates()

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from granary.contracts import CARRIERS, FRACTION, MONEY, PRICE, SHIPPING_COSTS
 from granary.functions import numbers, text
-from granary.operators.dedup import dedup_first
+from granary.operators.dedup import dedup_least
 from granary.operators.ordering import dense_number
-from granary.plans.silver import with_key
 
 # The line's own number does not identify it; these columns together do.
 LINE_ORDER = ["order_id", "line_number", "product_id", "supplier_id", "ship_date", "raw_price"]
@@ -111,63 +110,67 @@ def _padded(value: Column, left: str = " ", right: str = " ") -> Column:
     return F.concat(F.lit(left), value, F.lit(right))
 
 
-def _landing_file() -> Column:
+def landing_file() -> Column:
     return F.concat(F.lit("part_"), (F.col("line_number") % 3).cast("string"), F.lit(".csv"))
 
 
-def _order_code() -> Column:
+def order_code(order: str) -> Column:
+    return F.concat(F.lit("ORD"), text.zero_padded(order, 8))
+
+
+def product_code(product: str) -> Column:
+    return F.concat(F.lit("P"), text.zero_padded(product, 8))
+
+
+def _written_code() -> Column:
     """The order id as the files have it, blank on some lines."""
-    code = F.concat(F.lit("ORD"), text.zero_padded("order_id", 8))
-    return F.when(F.col("product_id") % 11 == 0, "  ").otherwise(code)
+    return F.when(F.col("product_id") % 11 == 0, "  ").otherwise(order_code("order_id"))
+
+
+def landed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines whose product is known."""
+    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("product_id"), "p_name", "p_type")
+    return lines(spark, folder).join(parts, "product_id")
 
 
 def first_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """The line of each order that comes first in its landing files, among those with an order id.
+    """The landed line of each order that comes first in its files, among those with an order id.
 
-    Told from the narrow lines alone, so that only survivors meet the other tables; lines
-    that would meet no row there are no landing rows and out before the first is chosen.
+    Whether order, customer and nation are known is the same for all lines of an
+    order, so those tables are met by the survivors alone.
     """
-    nations = table(spark, folder, "nation").select("n_nationkey")
-    people = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    people = people.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi")
-    order = table(spark, folder, "orders").select(F.col("o_orderkey").alias("order_id"), "o_custkey")
-    order = order.join(people, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
-    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("product_id"))
-    landed = lines(spark, folder).join(order, "order_id", "left_semi").join(parts, "product_id", "left_semi")
-    coded = landed.withColumns({"source_file": _landing_file(), "at_order_id": F.col("order_id"), "order_id": _order_code()})
-    first = dedup_first(with_key(coded), ["order_id"], ["source_file", "at_order_id", *LINE_ORDER[1:]])
-    return first.withColumn("order_id", F.col("at_order_id")).drop("source_file", "at_order_id")
-
-
-def customer_orders(spark: SparkSession, folder: str, priced: DataFrame | None = None) -> DataFrame:
+    coded = landed_lines(spark, folder).withColumns({"source_file": landing_file(), "code": _written_code()})
+    kept = coded.filter(text.is_present("code")).drop("code")
+    return dedup_least(kept, ["order_id"], ["source_file", *LINE_ORDER[1:]]).drop("source_file")
+
+
+def customer_orders(spark: SparkSession, folder: str, landed: DataFrame | None = None) -> DataFrame:
     """Raw order-file rows: all text, padded, some order ids blank.
 
     Keeps the line order columns (prefixed ``at_``) in place of a stored row id.
-    ``priced`` gives the lines to take, if not all.
+    ``landed`` gives the landed lines to take, if not all.
     """
-    priced = lines(spark, folder) if priced is None else priced
+    landed = landed_lines(spark, folder) if landed is None else landed
     order = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"), "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"
     )
     people = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey")
     nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
-    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("product_id"), "p_name", "p_type")
     flat = (
-        priced.join(order, "order_id")
+        landed.join(order, "order_id")
         .join(people, F.col("o_custkey") == F.col("c_custkey"))
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(parts, "product_id")
     )
     total = numbers.net_revenue("quantity", "unit_price", "discount")
     key = F.col("c_custkey").cast("string")
     return flat.select(
-        _order_code().alias("order_id"),
+        _written_code().alias("order_id"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
         F.concat(F.lit("CUS"), text.zero_padded(key, 8)).alias("customer_id"),
         _padded(F.col("c_name"), "  ").alias("customer_name"),
         _padded(F.concat(F.lit("User"), key, F.lit("@Example.COM"))).alias("customer_email"),
         _padded(F.concat(F.lit("08"), text.zero_padded(key, 8)), "", "  ").alias("customer_phone"),
-        F.concat(F.lit("P"), text.zero_padded("product_id", 8)).alias("product_id"),
+        product_code("product_id").alias("product_id"),
         _padded(F.col("p_name")).alias("product_name"),
         _padded(F.col("p_type"), "").alias("category"),
         F.col("quantity").cast("string").alias("quantity"),
@@ -177,7 +180,7 @@ def customer_orders(spark: SparkSession, folder: str, priced: DataFrame | None =
         _padded(F.col("o_orderstatus"), "", "   ").alias("shipping_status"),
         _padded(F.col("n_name")).alias("province"),
         total.cast("string").alias("total_amount"),
-        _landing_file().alias("source_file"),
+        landing_file().alias("source_file"),
         "line_number",
         *[F.col(c).alias(f"at_{c}") for c in LINE_ORDER],
     )

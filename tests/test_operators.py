@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from granary.operators import quality
-from granary.operators.dedup import conflicting_keys, dedup_exact_or_reject, dedup_first
+from granary.operators.dedup import conflicting_keys, dedup_exact_or_reject, dedup_first, dedup_least
 from granary.operators.fingerprint import group_fingerprint
 from granary.operators.ordering import dense_number, running_total
 
@@ -136,3 +136,18 @@ def test_drop_staged(spark):
     assert staged.count() == 3 and session.exists(spark, folder)
     session.drop_staged(spark)
     assert not session.exists(spark, folder)
+
+
+def test_dedup_least_is_dedup_first_on_a_total_order(spark):
+    rows = [(n % 7, (n * 31) % 5 or None, n % 3, str(n)) for n in range(200)]
+    frame = spark.createDataFrame(rows, "key int, a int, b int, tag string")
+    least = dedup_least(frame, ["key"], ["a", "b", "tag"])
+    assert least.columns == frame.columns
+    assert sorted(map(str, least.collect())) == sorted(map(str, dedup_first(frame, ["key"], ["a", "b", "tag"]).collect()))
+    assert least.where("key is null").isEmpty() and dedup_least(frame.limit(0), ["key"], ["a", "b", "tag"]).isEmpty()
+
+
+def test_dedup_least_takes_whole_rows_and_null_keys(spark):
+    frame = spark.createDataFrame([(None, 2, "x"), (None, 1, None), (1, 1, "b"), (1, 1, "a")], "key int, a int, tag string")
+    least = dedup_least(frame, ["key"], ["a"])
+    assert {tuple(row) for row in least.collect()} == {(None, 1, None), (1, 1, "a")}
