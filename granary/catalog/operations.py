@@ -10,6 +10,7 @@ from granary.contracts import CARRIERS, SHIPPING_COSTS, coupon_table
 from granary.functions import payload
 from granary.operators import quality
 from granary.plans import generate, inventory, logistics, marketing, pricing, silver
+from granary.session import scratch_path
 from granary.sources import sample
 
 
@@ -446,6 +447,23 @@ def tracking_lookup(spark, folder):
     return logistics.tracking_lookup(known.select(typed_in.alias("query")), known)
 
 
+@query(
+    "tracking_lookup_indexed",
+    """SELECT lower(tracking_number) || ' ' AS query, tracking_number, order_id, status, carrier FROM parcels
+       WHERE updated_at > (SELECT max(updated_at) - INTERVAL 30 DAY FROM parcels)""",
+)
+def tracking_lookup_indexed(spark, folder):
+    """Numbers of the newest 30 days looked up in the published shipments; only files that may hold them are opened."""
+    root, parcels = scratch_path(spark, "tracking"), sample.shipments(spark, folder)
+    parcels.repartitionByRange("updated_at").write.parquet(f"{root}/shipments")
+    logistics.index_tracking(spark, f"{root}/shipments", f"{root}/index")
+    newest = parcels.agg(F.max("updated_at").alias("at")).first().at
+    asked = parcels.where(F.col("updated_at") > F.date_sub(F.lit(newest), 30))
+    asked = asked.select(F.concat(F.lower("tracking_number"), F.lit(" ")).alias("query"))
+    unknown = asked.select(F.concat(F.lit("x"), "query").alias("query"))
+    return logistics.indexed_lookup(spark, asked.union(unknown), f"{root}/shipments", f"{root}/index")
+
+
 @query(
     "order_status_sync",
     """SELECT h.order_id, h.order_status AS old_status,

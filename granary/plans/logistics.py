@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions import dates, text
+from granary.operators import file_index
 from granary.operators.ordering import dense_number
 
 
@@ -55,11 +56,24 @@ def tracking_lookup(requests: DataFrame, shipments: DataFrame) -> DataFrame:
 
     The batch form of a lookup: both sides are normalised and joined on equality.
     """
-    asked = requests.withColumn("_key", F.lower(text.strip_whitespace("query"))).filter("_key <> ''")
     known = shipments.select(
         F.lower("tracking_number").alias("_key"), "tracking_number", "order_id", "status", "carrier"
     )
-    return asked.join(known, "_key").drop("_key")
+    return _asked(requests).join(known, "_key").drop("_key")
+
+
+def _asked(requests: DataFrame) -> DataFrame:
+    return requests.withColumn("_key", F.lower(text.strip_whitespace("query"))).filter("_key <> ''")
+
+
+def index_tracking(spark: SparkSession, path: str, index: str) -> int:
+    """Bring the index of a published shipments table up to date; the number of files that were new."""
+    return file_index.update(spark, path, index, F.lower("tracking_number"))
+
+
+def indexed_lookup(spark: SparkSession, requests: DataFrame, path: str, index: str) -> DataFrame:
+    """The same lookup over a published table, opening only files that may hold a number asked for."""
+    return tracking_lookup(requests, file_index.pruned(spark, path, index, _asked(requests), "_key"))
 
 
 def sync_order_status(orders: DataFrame, shipments: DataFrame) -> DataFrame:
