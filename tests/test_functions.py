@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -116,3 +118,23 @@ def test_form_instants(spark):
 def test_payloads(spark, body, rating, error):
     frame = spark.createDataFrame([(body,)], "body string").withColumn("t", payload.rating_text("body"))
     assert frame.select(payload.rating_value("t"), payload.rating_error("t")).first() == (rating, error)
+
+
+def test_payload_texts_come_back_unchanged(spark):
+    """Bodies of both notations with quotes, escapes, literals, control characters and marks inside texts."""
+    draw = random.Random(11)
+    pieces = ["None", "True", " False ", "'", '"', "\\", "\u0001", "\u0001None\u0001", "a", "{", "}", ":", ",", "\t", "\x7f", "é", "rating", "x41", "u0022"]
+    rows = []
+    for number in range(600):
+        made = "".join(draw.choice(pieces) for _ in range(draw.randint(0, 8)))
+        value = draw.choice([made, None, 7, 2.5])
+        body = {"title": "".join(draw.choice(pieces) for _ in range(5)), "deep": [None, True, {"k": False, "t": made}], "rating": value, "z": None}
+        notation = draw.choice([json.dumps, repr, lambda b: json.dumps(b, ensure_ascii=False)])
+        rows.append((number, notation(body), None if value is None else str(value)))
+    rows.append((600, "{'rating': 'a\u0001b\u0002c', 'other': None}", "a\u0001b\u0002c"))
+    rows.append((601, '{"other": "' + r'\\\"' * 100_000 + "None" * 50_000 + '", "rating": 4}', "4"))
+    rows.append((602, "{'other': [" + "None, 'x', " * 50_000 + "True], 'rating': 'end'}", "end"))
+    rows.append((603, "{'other': 'open, 'rating': None}", None))
+    frame = spark.createDataFrame([row[:2] for row in rows], "n int, body string")
+    found = {row.n: row.t for row in frame.select("n", payload.rating_text("body").alias("t")).collect()}
+    assert [(n, body) for n, body, wanted in rows if found[n] != wanted] == []
