@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +22,7 @@ RUNTIME_CONF = {
 }
 
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
+_scope: ContextVar[list[str] | None] = ContextVar("granary_scratch_scope", default=None)
 
 
 def build(app: str = "granary", master: str | None = None, **conf: str) -> SparkSession:
@@ -61,7 +65,35 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder."""
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    made = _scope.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope() -> Iterator[list[str]]:
+    """The scratch paths made inside, in order; an outer scope gets them too.
+
+    Whoever opens one knows when nothing reads them any more, and drops them.
+    """
+    made: list[str] = []
+    outer = _scope.get()
+    token = _scope.set(made)
+    try:
+        yield made
+    finally:
+        _scope.reset(token)
+        if outer is not None:
+            outer += made
+
+
+def drop_paths(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete scratch paths that nothing reads any more; one that is gone is passed over."""
+    for path in paths:
+        location, files = file_system(spark, path)
+        files.delete(location, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from granary import session
 from granary.operators import quality
 from granary.operators.dedup import conflicting_keys, dedup_exact_or_reject, dedup_first, dedup_least
 from granary.operators.fingerprint import group_fingerprint
@@ -151,3 +152,16 @@ def test_dedup_least_takes_whole_rows_and_null_keys(spark):
     frame = spark.createDataFrame([(None, 2, "x"), (None, 1, None), (1, 1, "b"), (1, 1, "a")], "key int, a int, tag string")
     least = dedup_least(frame, ["key"], ["a"])
     assert {tuple(row) for row in least.collect()} == {(None, 1, None), (1, 1, "a")}
+
+
+def test_scratch_scope_tells_what_was_staged_inside(spark):
+    with session.scratch_scope() as outer:
+        kept = session.stage(spark.range(3), "kept")
+        with session.scratch_scope() as inner:
+            session.stage(spark.range(2), "gone")
+    assert len(inner) == 1 and outer[1:] == inner
+    session.drop_paths(spark, [*inner, *inner])
+    assert kept.count() == 3 and [session.exists(spark, path) for path in outer] == [True, False]
+    with session.scratch_scope() as later:
+        pass
+    assert later == [] and session.scratch_path(spark, "x") not in outer
