@@ -79,8 +79,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage in turn over ``documents``; each writes its rows for the next one to read."""
-    docs = _table(_ready(spark), sf_dir, "documents")
+    """Every stage in turn over ``documents``; each writes its rows for the next one to read.
+
+    What a stage read and staged itself goes once its rows are written; nothing is recomputed from it.
+    """
+    docs, read = _table(_ready(spark), sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = session.stage(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with session.scratch_scope() as made:
+            docs = session.stage(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        *inner, written = made
+        session.drop_paths(spark, [*read, *inner])
+        read = [written]
     return STAGES[-1][1](spark, docs, sf_dir)
