@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
+from granary import session
 from granary.llm.queries import ORACLE, QUERIES
 from tests.compare import connect, differences
 from tests.llm.test_simhash import brute_print, brute_roots
@@ -46,6 +47,15 @@ def test_columns_of_documents_stay(stages):
     assert last[-2:] == ["shard", "slot"]
 
 
+def test_run_gives_the_stages_rows_and_drops_what_no_stage_reads(spark, stages):
+    with session.scratch_scope() as made:
+        rows = corpus_pipeline.run(spark, FOLDER).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, stages["sharding"][1]))
+    names = [name.replace(" ", "-") for name, _ in corpus_pipeline.STAGES[:-1]]
+    written = {name: path for path in made for name in names if f"/{name}-" in path}
+    assert [name for name in names if session.exists(spark, written[name])] == names[-1:]
+
+
 def test_classifier_keeps_good_documents(spark, stages):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
     before, after = stages["quality classifier"]
