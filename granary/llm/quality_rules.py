@@ -5,7 +5,8 @@ judged in the scan's own stage: no shuffle, no Python, nothing collected.
 
 Defined results: a null text counts as empty; texts of any length are measured
 whole and none is rejected for its length; an empty text has no words and
-fails the shortest-length rule; repeated rows are judged alike; an empty table
+fails the shortest-length rule; texts mostly in a script that no listed language
+uses are not judged by stop words; of equal lines or windows the later ones are the repeats; repeated rows are judged alike; an empty table
 gives an empty result. The input's other columns stay; a column named like a
 measure is replaced by the measure.
 """
@@ -32,14 +33,30 @@ STOP_WORDS = {
            "dem", "nicht", "ein", "eine", "als"],
     "es": ["de", "la", "que", "el", "en", "y", "a", "los", "del", "se", "las", "por", "un", "para", "con", "una",
            "su", "es", "al", "lo"],
+    "pt": ["de", "a", "o", "que", "e", "do", "da", "em", "um", "para", "com", "não", "uma", "os", "no", "se", "na",
+           "por", "mais", "as", "dos", "como", "ao", "das"],
+    "it": ["di", "e", "il", "la", "che", "in", "a", "per", "un", "è", "del", "non", "una", "i", "le", "con", "si",
+           "da", "della", "al"],
+    "nl": ["de", "het", "een", "van", "en", "in", "is", "dat", "op", "te", "zijn", "met", "voor", "niet", "aan",
+           "er", "om", "ook", "als", "door"],
+    "sv": ["och", "i", "att", "det", "som", "en", "på", "är", "av", "för", "med", "till", "den", "har", "de",
+           "inte", "om", "ett"],
+    "pl": ["i", "w", "na", "z", "się", "do", "nie", "to", "że", "o", "jest", "a", "jak", "po", "co", "za", "od",
+           "przez"],
 }
 
 
+# Letters of scripts none of those languages is written in (Greek, Cyrillic, Arabic, Thai, Han and so on),
+# without the punctuation, symbols and pictures that stand between them.
+OTHER_SCRIPT = r"[\u0370-\u1DFF\u2C80-\u2DFF\u3040-\uD7FF\uF900-\uFDFF\x{20000}-\x{3FFFF}]"
+
+
 @dataclass(frozen=True)
 class Rule:
     """``measure`` / ``per`` must lie within [low, high] in texts of ``from_words`` words or more.
 
-    A ratio over nothing is within any limits.
+    A ratio over nothing is within any limits. A rule on words of certain languages (``latin``)
+    does not judge texts that are by more than half in a script those languages don't use.
     """
 
     name: str
@@ -48,6 +65,7 @@ class Rule:
     low: float | None = None
     high: float | None = None
     from_words: int = 0
+    latin: bool = False
 
 
 # Measures a rule may name: the columns of ``measures``. Ratios are per word or per line.
@@ -55,7 +73,7 @@ RULES = (
     Rule("too_short", "n_words", low=10),
     Rule("word_length", "word_chars", per="n_words", low=2.0, high=16.0),
     Rule("symbols", "n_symbols", per="n_words", high=0.10),
-    Rule("stop_words", "n_stop_words", per="n_words", low=0.06, from_words=30),
+    Rule("stop_words", "n_stop_words", per="n_words", low=0.06, from_words=30, latin=True),
     Rule("repeated_lines", "n_dup_lines", per="n_lines", high=0.50),
     Rule("list_lines", "n_bullet_lines", per="n_lines", high=0.90),
     Rule("cut_lines", "n_cut_lines", per="n_lines", high=0.30),
@@ -116,6 +134,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
                 "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
                 "n_repeat_words": _repeat_words(F.col("_windows")),
                 "n_stop_words": F.size(F.filter("_words", lambda word: word.isin(stop))).cast("long"),
+                "n_other_script": F.regexp_count(whole, F.lit(OTHER_SCRIPT)).cast("long"),
                 "n_bullet_lines": F.size(F.filter("_lines", lambda line: line.rlike("^\\s*[-*•‣]"))).cast("long"),
                 "n_cut_lines": F.size(F.filter("_lines", lambda line: line.rlike("(\\.\\.\\.|…)\\s*$"))).cast("long"),
             }
@@ -138,6 +157,8 @@ def compiled(rules: tuple[Rule, ...] = RULES) -> Column:
             outside = outside | (value > rule.high)
         if rule.from_words:
             outside = outside & (F.col("n_words") >= rule.from_words)
+        if rule.latin:
+            outside = outside & (F.col("n_other_script") * 2 <= F.col("word_chars"))
         broken.append(F.when(outside, F.lit(rule.name)))
     return F.array_compact(F.array(*broken))
 

@@ -32,15 +32,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 # DuckDB SQL of the base measures and the rules; lists and thresholds come from the operator's tables
 def _rules_sql() -> str:
     stop = ", ".join(f"'{word}'" for word in sorted({w for listed in quality_rules.STOP_WORDS.values() for w in listed}))
+    other = "[\\x{370}-\\x{1DFF}\\x{2C80}-\\x{2DFF}\\x{3040}-\\x{D7FF}\\x{F900}-\\x{FDFF}\\x{20000}-\\x{3FFFF}]"
     broken = []
     for rule in quality_rules.RULES:
         value = f"CAST({rule.measure} AS DOUBLE)"
         if rule.per:
             value = f"{value} / nullif(CAST({rule.per} AS DOUBLE), 0)"
+        judged = f"n_words >= {rule.from_words}" + (" AND 2 * n_other_script <= word_chars" if rule.latin else "")
         if rule.low is not None:
-            broken.append(f"coalesce({value} < {rule.low}, false) AND n_words >= {rule.from_words}")
+            broken.append(f"coalesce({value} < {rule.low}, false) AND {judged}")
         if rule.high is not None:
-            broken.append(f"coalesce({value} > {rule.high}, false) AND n_words >= {rule.from_words}")
+            broken.append(f"coalesce({value} > {rule.high}, false) AND {judged}")
     return f"""
     WITH base AS (
       SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
@@ -62,6 +64,7 @@ def _rules_sql() -> str:
         len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
         coalesce(covered.n, 0) AS n_repeat_words,
         len(list_filter(w, lambda x: x IN ({stop}))) AS n_stop_words,
+        length(t) - length(regexp_replace(t, '{other}', '', 'g')) AS n_other_script,
         len(list_filter(lines, lambda x: regexp_matches(x, '^\\s*[-*•‣]'))) AS n_bullet_lines,
         len(list_filter(lines, lambda x: regexp_matches(x, '(\\.\\.\\.|…)\\s*$'))) AS n_cut_lines
       FROM cut LEFT JOIN covered USING (r)
