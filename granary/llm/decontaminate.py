@@ -31,7 +31,8 @@ is so many passes over the documents.
 Defined results: null and empty documents hold nothing; items without words
 are never found; an item shorter than five words must occur as a whole; an item
 without an answer is held to its question alone; equal items are
-reported by each id; repeated documents are searched alike; an empty table on
+reported by each id; documents of any length are searched whole, passage by
+passage; of passages that score alike the best score is the same, so ties need no order; repeated documents are searched alike; an empty table on
 either side gives no leaks. Other columns stay as they are.
 """
 

@@ -16,7 +16,8 @@ hash of their id: a fixed bound, at any input size. Features are measured on
 whole texts. Scoring is one pass over the documents with the weights broadcast.
 
 Defined results: a null text counts as empty; a document without text is scored
-like any other; a null id is held out; a document labelled both good and bad is
+like any other; texts of any length are measured whole; equal scores stay
+equal, no rank is made of them; a null id is held out; a document labelled both good and bad is
 no positive; without positives every score is the prior's start, 0.5; repeated
 rows are scored alike; an empty table gives an empty result. Input columns named
 like an added one are replaced.

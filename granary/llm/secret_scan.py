@@ -12,8 +12,9 @@ search per candidate, linear in the text.
 Whole texts are scanned in the scan's own stage, one row at a time, without a
 shuffle. Offsets are code points, ends exclusive.
 
-Defined results: null and empty texts have no spans; repeated rows are scanned
-alike; an empty table gives an empty result. An input column named ``spans`` is
+Defined results: null and empty texts have no spans; texts of any length are
+scanned whole; of spans that start at one place the kinds stand in fixed order;
+repeated rows are scanned alike; an empty table gives an empty result. An input column named ``spans`` is
 replaced.
 """
 

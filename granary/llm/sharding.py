@@ -12,7 +12,8 @@ slice gives each slice's first number, so neither a hot text nor a shard is
 ever sorted in one task.
 
 Defined results: a null text counts as empty (size 1, checksum 0); repeated
-rows each get a slot; ids may be null or repeat; an empty table gives an empty
+rows each get a slot; ids may be null or repeat; a text of any length is one
+size; groups of one size go in order of their hash, equal loads to the lower shard; an empty table gives an empty
 result. Input columns named like an added one are replaced.
 """
 

@@ -18,7 +18,8 @@ A tree's links leave as one star per local component; components of the whole
 are joined up in Spark.
 
 Defined results: null and empty texts, and texts without words, have
-fingerprint 0 and are linked like any other; repeated rows are copies; null ids
+fingerprint 0 and are linked like any other; texts of any length are hashed
+whole; a bit set in exactly half the hashes is 0; repeated rows are copies; null ids
 are passed over when a component takes its smallest id, which is null only if
 it has no other; an empty table gives an empty result. Input columns named
 like an added one are replaced.

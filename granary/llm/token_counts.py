@@ -14,7 +14,8 @@ characters unassigned in one Unicode version and assigned in another; a text
 with such a character, or with one of the tokenizer's added special strings, is
 encoded whole by the library.
 
-Defined results: null and empty texts have 0 bytes and 0 tokens; repeated rows
+Defined results: null and empty texts have 0 bytes and 0 tokens; texts of any length are
+counted whole, in pieces cut where no pre-token goes across; ties in frequency change no count; repeated rows
 are counted alike; an empty table gives an empty result. Input columns named
 like an added one are replaced.
 """
