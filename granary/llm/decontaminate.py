@@ -24,9 +24,13 @@ shingles occur in the whole document, and the shingles found cover at least
 ``PART_COVER`` of the words of its question and of its answer, so that neither
 stands for the other.
 
-Index statistics are computed in Spark. The index is broadcast in shards of
-about ``SHARD_SEGMENTS`` segments, each a bounded array; a benchmark of any size
-is so many passes over the documents.
+Index statistics are computed in Spark, over all items. Items in the order of
+their keys are cut into shards wherever ``SHARD_SEGMENTS`` segments are full, so a
+shard holds at most so many and the rest of one item; each is built in a task and
+written packed. The driver hands one packed shard after another to a broadcast,
+up to ``SHARDS_A_SCAN`` of them for a scan of the documents. A worker takes about
+``CHUNK_CHARS`` characters of documents at a time through all shards of the scan,
+one unpacked at once. Larger benchmarks take a scan for each so many shards.
 
 Defined results: null and empty documents hold nothing; items without words
 are never found; an item shorter than five words must occur as a whole; an item
@@ -39,20 +43,25 @@ either side gives no leaks. Other columns stay as they are.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import uuid
+import zlib
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary import session
 from granary.llm import text as T
 from granary.llm.frames import shielded, without
+from granary.operators.ordering import running_total
 
 SEGMENT = 64
 SHINGLE = 5
@@ -61,6 +70,8 @@ PART_COVER = 0.5
 THRESHOLD = 0.6
 BLOCK = 4
 SHARD_SEGMENTS = 4096
+SHARDS_A_SCAN = 32  # packed, some megabytes each
+CHUNK_CHARS = 4_000_000
 K1, B = 1.2, 0.75
 MOST_CELLS = 4_000_000
 ROUNDING = 1e-9  # scores are summed in no fixed order
@@ -300,7 +311,10 @@ class Index:
 
     def leaks(self, texts: list[str]) -> list[list[dict]]:
         """Verified items of each text."""
-        documents = [words_of(text) for text in texts]
+        return self.leaks_in([words_of(text) for text in texts])
+
+    def leaks_in(self, documents: list[list[str]]) -> list[list[dict]]:
+        """Verified items of each document, given by its words."""
         numbers = [self._ids(words) for words in documents]
         verified = []
         for words, ids, scores, scattered in zip(documents, numbers, self._search(numbers), self.scattered(numbers)):
@@ -333,8 +347,8 @@ def _segmented(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array(cut, pa.list_(pa.list_(pa.string())))
 
 
-def index_shards(items: DataFrame, threshold: float = THRESHOLD) -> Iterator[Index]:
-    """The index of ``items`` (``item_id``, ``question``, ``answer``), one shard after another."""
+def build_shards(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame | None:
+    """The index of ``items`` (``item_id``, ``question``, ``answer``), a row per shard; none if no item has a word."""
     rows = items.select(
         F.col("item_id").cast("long").alias("item_id"),
         T.whole("question").alias("question"),
@@ -348,7 +362,7 @@ def index_shards(items: DataFrame, threshold: float = THRESHOLD) -> Iterator[Ind
     )
     stats = segments.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("_terms")).alias("length")).first()
     if not stats.n:
-        return
+        return None
     counted = (
         segments.select("_key", "_part", F.size("_terms").alias("_length"), F.explode("_terms").alias("_term"))
         .groupBy("_key", "_part", "_length", "_term")
@@ -359,30 +373,69 @@ def index_shards(items: DataFrame, threshold: float = THRESHOLD) -> Iterator[Ind
     damped = F.col("_tf") * (K1 + 1) / (F.col("_tf") + K1 * (1 - B + B * F.col("_length") / stats.length))
     weighed = counted.join(held, "_term").select("_key", "_part", "_term", (idf * damped).alias("_weight"))
     own = weighed.groupBy("_key", "_part").agg(F.sum("_weight").alias("_own"))
-    shards = max(1, -(-stats.n // SHARD_SEGMENTS))
-    shard = F.pmod("_key", F.lit(shards))
-    postings = session.stage(
-        weighed.join(own, ["_key", "_part"])
-        .select("_key", "_part", "_term", (F.col("_weight") / F.col("_own")).alias("_impact"))
-        .withColumn("_shard", shard),
-        "benchmark-postings",
+    postings = weighed.join(own, ["_key", "_part"]).select(
+        "_key", "_part", "_term", (F.col("_weight") / F.col("_own")).alias("_impact")
     )
-    for number in range(shards):
-        listed = postings.where(F.col("_shard") == number).orderBy("_key", "_part", "_term").collect()
-        whole = {
-            row._key: Item(row.item_id, row.question, row.answer)
-            for row in rows.where(shard == number).collect()
+    whole = segments.where("_part = 0").select("_key", "item_id", "question", "answer")
+    if stats.n > SHARD_SEGMENTS:
+        places = _places(segments)
+        postings, whole = postings.join(places, "_key"), whole.join(places, "_key")
+    else:
+        postings, whole = (frame.withColumn("_shard", F.lit(0).cast("long")) for frame in (postings, whole))
+
+    def built(listed: pa.Table, texts: pa.Table) -> pa.Table:
+        named = {
+            key: Item(item_id, question, answer)
+            for key, item_id, question, answer in _tuples(texts, "_item", "item_id", "question", "answer")
         }
-        yield _shard_index(listed, whole, threshold)
+        index = _shard_index(sorted(_tuples(listed, "_key", "_part", "_term", "_impact")), named, threshold)
+        packed = zlib.compress(pickle.dumps(index, pickle.HIGHEST_PROTOCOL), 1)
+        return pa.table({"_shard": texts["_group"][:1], "_index": pa.array([packed], pa.binary())})
+
+    # both sides come from the segments, so one needs names of its own
+    whole = whole.withColumnsRenamed({"_key": "_item", "_shard": "_group"})
+    shards = postings.groupBy("_shard").cogroup(whole.groupBy("_group"))
+    return session.stage(shards.applyInArrow(built, "_shard long, _index binary"), "benchmark-index")
+
+
+def _places(segments: DataFrame) -> DataFrame:
+    """The shard of each item: that of its first segment, ``SHARD_SEGMENTS`` of them a shard."""
+    sizes = segments.groupBy("_key").agg(F.count(F.lit(1)).alias("_size"))
+    ends = running_total(sizes, [], ["_key"], "_size", "_end")
+    return ends.select("_key", F.floor((F.col("_end") - F.col("_size")) / SHARD_SEGMENTS).alias("_shard"))
+
+
+def _tuples(table: pa.Table, *names: str) -> Iterator[tuple]:
+    return zip(*(table[name].to_pylist() for name in names))
+
+
+def _packed(shards: DataFrame | None, numbers: tuple[int, ...]) -> Iterator[bytes]:
+    """Packed shards, each fetched alone."""
+    for number in numbers:
+        yield bytes(shards.where(F.col("_shard") == number).first()._index)
+
+
+def _numbers(shards: DataFrame | None) -> list[int]:
+    return [] if shards is None else sorted(row._shard for row in shards.select("_shard").collect())
+
+
+def _unpacked(packed: bytes) -> Index:
+    return pickle.loads(zlib.decompress(packed))
 
 
-def _shard_index(listed: list, whole: dict[int, Item], threshold: float) -> Index:
+def index_shards(items: DataFrame, threshold: float = THRESHOLD) -> Iterator[Index]:
+    """The index of ``items`` (``item_id``, ``question``, ``answer``), one shard after another."""
+    shards = build_shards(items, threshold)
+    return map(_unpacked, _packed(shards, _numbers(shards)))
+
+
+def _shard_index(listed: list[tuple], whole: dict[int, Item], threshold: float) -> Index:
     """Number the segments so that those sharing their commonest terms lie in one block."""
     terms_of: dict[tuple[int, int], dict[str, float]] = {}
     holders: dict[str, int] = {}
-    for row in listed:
-        terms_of.setdefault((row._key, row._part), {})[row._term] = row._impact
-        holders[row._term] = holders.get(row._term, 0) + 1
+    for key, part, term, impact in listed:
+        terms_of.setdefault((key, part), {})[term] = impact
+        holders[term] = holders.get(term, 0) + 1
     profile = {s: sorted(terms, key=lambda t: (-holders[t], t))[:3] for s, terms in terms_of.items()}
     order = sorted(terms_of, key=lambda s: (profile[s], s))
     items = sorted(whole, key=lambda key: (whole[key].item_id is None, whole[key].item_id or 0, key))
@@ -391,46 +444,83 @@ def _shard_index(listed: list, whole: dict[int, Item], threshold: float) -> Inde
     return Index(postings, [whole[key] for key in items], [place[key] for key, _ in order], threshold)
 
 
-def _search(index) -> object:
+def _chunks(batches: Iterator[pa.Array], chars: int) -> Iterator[list[list[str]]]:
+    """Batches of texts, so many together that they have ``chars`` characters."""
+    chunk, size = [], 0
+    for batch in batches:
+        chunk.append([text.as_py() or "" for text in batch])
+        size += sum(map(len, chunk[-1]))
+        if size >= chars:
+            yield chunk
+            chunk, size = [], 0
+    if chunk:
+        yield chunk
+
+
+def _search(shards: list[Broadcast]) -> Callable[[Column], Column]:
     """Arrow function from texts to their verified leaks."""
-    key = uuid.uuid4().hex
+    name, chars = uuid.uuid4().hex, CHUNK_CHARS if len(shards) > 1 else 0
 
     def leaks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if key not in _workers:
-            _workers.clear()
-            _workers[key] = index.value
-        for texts in batches:
-            yield pa.array(_workers[key].leaks([text.as_py() or "" for text in texts]), ARROW_LEAK)
+        for chunk in _chunks(batches, chars):
+            documents = [words_of(text) for batch in chunk for text in batch]
+            found: list[list[dict]] = [[] for _ in documents]
+            for number, shard in enumerate(shards):
+                if (key := f"{name} {number}") not in _workers:  # one shard a worker
+                    _workers.clear()
+                    _workers[key] = _unpacked(shard.value)
+                for listed, more in zip(found, _workers[key].leaks_in(documents)):
+                    listed += more
+            at = 0
+            for batch in chunk:
+                yield pa.array(found[at : at + len(batch)], ARROW_LEAK)
+                at += len(batch)
 
     return F.arrow_udf(leaks, LEAK)
 
 
+def _scanned(docs: DataFrame, items: DataFrame, scan: Callable[..., DataFrame], label: str) -> Iterator[DataFrame]:
+    """``scan(search)`` for each scan of the documents that the shards of ``items`` take.
+
+    Of several scans each is written, and its broadcasts go, before the next begins.
+    """
+    shards = build_shards(items)
+    scans = [*batched(_numbers(shards), SHARDS_A_SCAN)]
+    for numbers in scans:
+        sent = [docs.sparkSession.sparkContext.broadcast(packed) for packed in _packed(shards, numbers)]
+        scanned = scan(_search(sent))
+        if len(scans) > 1:
+            scanned = session.stage(scanned, label)
+            for shard in sent:
+                shard.destroy()
+        yield scanned
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """A row per document and verified item: the id, ``item_id``, ``score`` and the overlaps."""
-    spark, found = docs.sparkSession, None
-    for index in index_shards(items):
-        search = _search(spark.sparkContext.broadcast(index))
-        part = docs.select(F.col(id_column), F.explode(search(T.whole(text))).alias("_leak")).select(
-            id_column, "_leak.*"
-        )
+
+    def scan(search: Callable[[Column], Column]) -> DataFrame:
+        listed = docs.select(F.col(id_column), F.explode(search(T.whole(text))).alias("_leak"))
+        return listed.select(id_column, "_leak.*")
+
+    found = None
+    for part in _scanned(docs, items, scan, "leaks"):
         found = part if found is None else found.union(part)
-    if found is None:
-        empty = F.array().cast(LEAK)
-        found = docs.select(F.col(id_column), F.explode(empty).alias("_leak")).select(id_column, "_leak.*")
-    return found
+    return found if found is not None else scan(lambda _: F.array().cast(LEAK))
 
 
 @shielded
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a verified item."""
-    spark, columns = docs.sparkSession, docs.columns
-    for number, index in enumerate(index_shards(items)):
-        if number:  # so that a worker holds one shard at a time
-            docs = session.stage(docs, "decontaminated")
-        search = _search(spark.sparkContext.broadcast(index))
-        docs = without(docs, "_leaks").withColumn("_leaks", search(T.whole(text))).where(F.size("_leaks") == 0)
-        docs = docs.select(*columns)
-    return docs
+    kept, columns = docs, docs.columns
+
+    def scan(search: Callable[[Column], Column]) -> DataFrame:
+        searched = without(kept, "_leaks").withColumn("_leaks", search(T.whole(text)))
+        return searched.where(F.size("_leaks") == 0).select(*columns)
+
+    for part in _scanned(docs, items, scan, "decontaminated"):
+        kept = part
+    return kept
 
 
 def question_and_answer(items: DataFrame, text: str = "text") -> DataFrame:

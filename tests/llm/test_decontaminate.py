@@ -138,14 +138,63 @@ def test_a_scattered_item_of_few_words_or_many(spark):
 
 
 def test_shards_find_what_one_index_finds(spark, items, monkeypatch):
-    docs = spark.createDataFrame(list(enumerate(documents())), "doc_id long, text string")
+    texts = documents() + [f"{prose(i, 30)} {q} {a} {prose(i, 20)}" for i, q, a in make_items(90)[::5]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     one = {tuple(r)[:2] for r in decontaminate.find_leaks(docs, items).collect()}
+    assert len(one) >= 18
     monkeypatch.setattr(decontaminate, "SHARD_SEGMENTS", 30)
     assert {tuple(r)[:2] for r in decontaminate.find_leaks(docs, items).collect()} == one
     left = {r.doc_id for r in decontaminate.decontaminate(docs, items).collect()}
     assert left == set(range(docs.count())) - {doc for doc, _ in one}
 
 
+@pytest.fixture
+def twenty_shards(items, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SHARD_SEGMENTS", 5)
+    shards = [*decontaminate.index_shards(items)]
+    assert len(shards) >= 18
+    return shards
+
+
+def test_shards_are_cut_by_their_segments(twenty_shards):
+    longest = max(-(-len(item.words) // decontaminate.SEGMENT) for shard in twenty_shards for item in shard.items)
+    assert all(0 < len(shard.owner) < 5 + longest for shard in twenty_shards)
+    assert sorted(item.item_id for shard in twenty_shards for item in shard.items) == list(range(90))
+
+
+@pytest.mark.parametrize("a_scan, chars, reads", [(32, 4_000_000, 1), (32, 1, 1), (7, 4_000_000, 3)])
+def test_many_shards_take_one_scan_and_find_what_one_index_finds(
+    spark, items, index, twenty_shards, monkeypatch, tmp_path, capsys, a_scan, chars, reads
+):
+    monkeypatch.setattr(decontaminate, "SHARDS_A_SCAN", a_scan)
+    monkeypatch.setattr(decontaminate, "CHUNK_CHARS", chars)
+    texts = documents() + [f"{prose(i, 30)} {q} {a} {prose(i, 20)}" for i, q, a in make_items(90)[::3]]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2).write.parquet(path)
+    found = decontaminate.find_leaks(spark.read.parquet(path), items)
+    expected = {
+        (doc, leak["item_id"]): leak["score"] for doc, leaks in enumerate(index.leaks(texts)) for leak in leaks
+    }
+    got = {(row.doc_id, row.item_id): row.score for row in found.collect()}
+    assert expected and got.keys() == expected.keys()
+    assert all(math.isclose(got[pair], score, rel_tol=1e-9) for pair, score in expected.items())
+    found.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Scan parquet") == reads and plan.count("ArrowEvalPython") == (reads == 1)
+    kept = decontaminate.decontaminate(spark.read.parquet(path), items)
+    assert {row.doc_id for row in kept.collect()} == set(range(len(texts))) - {doc for doc, _ in expected}
+
+
+def test_an_item_longer_than_a_shard(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SHARD_SEGMENTS", 4)
+    rows = [(i, prose(300 + i, 30), prose(400 + i, 8)) for i in range(12)] + [(99, prose(31, 2000), prose(32, 50))]
+    items = spark.createDataFrame(rows, ITEMS)
+    texts = [f"{prose(5, 50)} {question} {answer}" for _, question, answer in rows] + [prose(6, 500), None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    leaks = {(row.doc_id, row.item_id) for row in decontaminate.find_leaks(docs, items).collect()}
+    assert leaks == {(i, row[0]) for i, row in enumerate(rows)}
+
+
 def test_odd_items_and_documents(spark, odd_documents, no_documents, items):
     odd = spark.createDataFrame(
         [(1, None, None), (None, "", ""), (2, prose(1, 40), None), (2, prose(1, 40), None), (3, "?", "!")], ITEMS
