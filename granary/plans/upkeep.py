@@ -6,24 +6,29 @@ rows, and a table's state holds, for each group and value of its greatest
 column, how many rows there are and what they sum up to. So groups vanish with
 their last row, and a greatest value that goes uncovers the next one.
 
-The state lies in buckets by a hash of the keys. A load reads and rewrites the
-buckets that its changes fall into and no other; their new paths, for all
-tables of the load, are one commit of the log, so readers see a load whole or
-not at all and a load that is repeated changes nothing.
+The state lies in buckets by a hash of the keys. A load adds a part, its folded
+changes, to the buckets that they fall into and to no other; parts are signed
+too, so they add up to the state and what is held is not written again. A bucket
+with more than ``PARTS`` of them is folded into one. Held rows of a group are
+looked up where some of it went, to be sure that they ever came. The new paths,
+for all tables of the load, are one commit of the log, so readers see a load
+whole or not at all and a load that is repeated changes nothing.
 """
 
 from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.operators.key_filter import may_meet
 from granary.plans import commits
-from granary.session import stage
 
 BUCKETS = 64
+PARTS = 8  # of a bucket, before they are folded into one
 SIGN = "sign"
 
 
@@ -33,7 +38,7 @@ class Kept:
 
     ``by`` are the columns whose hash tells the bucket, if not all keys: base
     rows that a join looks up lie by their join key. More buckets mean less to
-    read and rewrite for a small load; their number stays what it was at first.
+    read for a small load; their number stays what it was at first.
     """
 
     name: str
@@ -74,50 +79,106 @@ def _buckets(kept: Kept, df: DataFrame) -> list[int]:
     return sorted(row.b for row in df.select(kept.bucket().alias("b")).distinct().collect())
 
 
-def _state(spark: SparkSession, state: commits.Commit, kept: Kept, wanted: list[int] | None = None) -> DataFrame | None:
-    """``grain, _rows, sums`` of the wanted buckets, or of all."""
+def _net(kept: Kept, parts: DataFrame) -> DataFrame:
+    """``grain, _rows, sums`` of the groups that are left once all parts are added up."""
+    sums = [F.sum(c).cast(_wide(parts, c)).alias(c) for c in kept.sums]
+    return parts.groupBy(*kept.grain).agg(F.sum("_rows").alias("_rows"), *sums).where("_rows <> 0")
+
+
+def _parts(state: commits.Commit, name: str) -> list[str]:
+    """Paths of a bucket's parts, the newest last; ``tables`` has the newest alone."""
+    return state.notes.get("parts", {}).get(name) or [state.tables[name]]
+
+
+def _names(state: commits.Commit, kept: Kept, wanted: list[int] | None = None) -> list[str]:
     names = [f"{kept.name}/{b}" for b in (range(kept.buckets) if wanted is None else wanted)]
-    paths = [state.tables[name] for name in names if name in state.tables]
-    return spark.read.parquet(*paths) if paths else None
+    return [name for name in names if name in state.tables]
+
+
+def _read(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Parts put together; loads may have types of their own, so each one's parts are read by themselves."""
+    by_load: dict[str, list[str]] = {}
+    for path in paths:
+        by_load.setdefault(path.rpartition("/")[0], []).append(path)
+    return reduce(DataFrame.unionByName, [spark.read.parquet(*some) for some in by_load.values()])
+
+
+def _state(spark: SparkSession, state: commits.Commit, kept: Kept, wanted: list[int] | None = None) -> DataFrame | None:
+    """``grain, _rows, sums`` of the parts of the wanted buckets, or of all; a group may be in several parts."""
+    paths = [path for name in _names(state, kept, wanted) for path in _parts(state, name)]
+    return _read(spark, paths) if paths else None
 
 
 def rows(spark: SparkSession, state: commits.Commit, kept: Kept, touched_by: DataFrame, schema) -> DataFrame:
     """Base rows, signed by their number, in the buckets that ``touched_by`` falls into."""
     held = _state(spark, state, kept, _buckets(kept, touched_by))
     if held is None:
-        return spark.createDataFrame([], schema).withColumn(SIGN, F.lit(0).cast("long"))
+        nothing = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
+        # a plan without rows, so that joins with it are left out before anything runs
+        return spark.range(0).select(*nothing, F.lit(0).cast("long").alias(SIGN)).limit(0)
     return held.withColumnRenamed("_rows", SIGN)
 
 
 def joined(left: DataFrame, left_changes: DataFrame, right: DataFrame, right_changes: DataFrame, on: str) -> DataFrame:
-    """Changes of an inner join from the changes of its sides; ``left`` and ``right`` are the signed rows before."""
+    """Changes of an inner join from the changes of its sides; ``left`` and ``right`` are the signed rows before.
+
+    Rows before that meet no change are dropped where they are read.
+    """
     def product(a: DataFrame, b: DataFrame) -> DataFrame:
         met = a.withColumnRenamed(SIGN, "_a").join(b.withColumnRenamed(SIGN, "_b"), on)
         return met.withColumn(SIGN, F.col("_a") * F.col("_b")).drop("_a", "_b")
 
-    return product(left_changes, right).unionByName(product(left, right_changes)).unionByName(product(left_changes, right_changes))
+    after = may_meet(right, left_changes, [on]).unionByName(right_changes)
+    return product(left_changes, after).unionByName(product(may_meet(left, right_changes, [on]), right_changes))
+
+
+def _all_came(held: DataFrame | None, kept: Kept, went: DataFrame) -> bool:
+    """Whether the groups that ``went`` takes rows from hold that many."""
+    columns = [*kept.grain, "_rows"]
+    counts = went.select(*columns)
+    if held is not None:
+        counts = counts.unionByName(may_meet(held, went, list(kept.grain)).select(*columns))
+    return counts.groupBy(*kept.grain).agg(F.sum("_rows").alias("_rows")).where("_rows < 0").isEmpty()
+
+
+def _row_counts(spark: SparkSession, state: commits.Commit, kept: Kept, touched: list[int]) -> dict[str, int]:
+    """Rows held in each touched bucket, as remembered with the commit."""
+    known = state.notes.get("rows", {})
+    counts = {}
+    for name in _names(state, kept, touched):
+        counts[name] = known[name] if name in known else _read(spark, _parts(state, name)).agg(F.sum("_rows")).first()[0]
+    return counts
 
 
 def _updated(spark: SparkSession, root: str, state: commits.Commit, kept: Kept, signed: DataFrame, load: str):
-    """New paths of the buckets that the changes touch, and the names of those left empty."""
-    delta = stage(_folded(kept, signed).withColumn("_bucket", kept.bucket()), f"delta-{kept.name}")
-    touched = sorted(row["_bucket"] for row in delta.select("_bucket").distinct().collect())
-    before = _state(spark, state, kept, touched)
-    both = delta.drop("_bucket") if before is None else delta.drop("_bucket").unionByName(before)
-    sums = [F.sum(c).cast(_wide(both, c)).alias(c) for c in kept.sums]
-    after = both.groupBy(*kept.grain).agg(F.sum("_rows").alias("_rows"), *sums).where("_rows <> 0")
+    """Parts and row counts of the buckets that the changes touch, and the names of those left empty."""
     path = f"{root}/{kept.name}/{load}-{uuid.uuid4().hex}"
-    # buckets are dealt out by their groups, so a large one is written by many tasks
-    dealt = after.withColumn("_bucket", kept.bucket())
-    dealt.write.partitionBy("_bucket").parquet(path)
-    written = spark.read.schema(dealt.schema).parquet(path)
-    least = {row["_bucket"]: row.least for row in written.groupBy("_bucket").agg(F.min("_rows").alias("least")).collect()}
-    if any(n < 0 for n in least.values()):
+
+    def written(df: DataFrame, path: str) -> DataFrame:
+        # buckets are dealt out by their groups, so a large one is written by many tasks
+        dealt = df.withColumn("_bucket", kept.bucket())
+        dealt.write.partitionBy("_bucket").parquet(path)
+        return spark.read.schema(dealt.schema).parquet(path)
+
+    delta = written(_folded(kept, signed), path)
+    ends = delta.groupBy("_bucket").agg(F.min("_rows").alias("least"), F.sum("_rows").alias("rows")).collect()
+    shrunk = [row["_bucket"] for row in ends if row.least < 0]
+    if shrunk and not _all_came(_state(spark, state, kept, shrunk), kept, delta.where("_rows < 0")):
         raise ValueError(f"{kept.name}: rows went that never came")
-    return (
-        {f"{kept.name}/{b}": f"{path}/_bucket={b}" for b in touched if b in least},
-        tuple(f"{kept.name}/{b}" for b in touched if b not in least),
-    )
+    counts = _row_counts(spark, state, kept, [row["_bucket"] for row in ends])
+    parts, left, empty = {}, {}, []
+    for row in ends:
+        name = f"{kept.name}/{row['_bucket']}"
+        left[name] = counts.get(name, 0) + row.rows
+        parts[name] = [*(_parts(state, name) if name in state.tables else []), f"{path}/_bucket={row['_bucket']}"]
+        if not left[name]:
+            empty.append(name)
+    long = [name for name in parts if len(parts[name]) > PARTS and name not in empty]
+    if long:
+        whole = _read(spark, [part for name in long for part in parts[name]])
+        written(_net(kept, whole), f"{path}-whole")
+        parts |= {name: [f"{path}-whole/_bucket={name.rpartition('/')[2]}"] for name in long}
+    return parts, left, empty
 
 
 def apply(spark: SparkSession, root: str, load: str, build) -> commits.Commit:
@@ -127,11 +188,15 @@ def apply(spark: SparkSession, root: str, load: str, build) -> commits.Commit:
         loads = parent.notes.get("loads", [])
         if load in loads:
             return None
-        tables, removed = {}, ()
+        parts, counts, removed = dict(parent.notes.get("parts", {})), dict(parent.notes.get("rows", {})), []
+        changed = {}
         for kept, signed in build(parent):
-            paths, empty = _updated(spark, root, parent, kept, signed, load)
-            tables, removed = tables | paths, removed + empty
-        return tables, {"loads": [*loads, load]}, removed
+            new, left, empty = _updated(spark, root, parent, kept, signed, load)
+            parts, counts, removed = parts | new, counts | left, removed + empty
+            changed |= {name: paths[-1] for name, paths in new.items() if name not in empty}
+        for name in removed:
+            del parts[name], counts[name]
+        return changed, {"loads": [*loads, load], "parts": parts, "rows": counts}, tuple(removed)
 
     return commits.publish(spark, root, load, made)
 
@@ -140,8 +205,12 @@ def result(spark: SparkSession, root: str, kept: Kept, version: int | None = Non
     """The table as of now or a version: keys, ``rows``, sums and the greatest value; None if nothing ever came."""
     state = commits.current(spark, root) if version is None else commits.at(spark, root, version)
     held = _state(spark, state, kept)
-    if held is None or not kept.greatest:
-        return held if held is None else held.withColumnRenamed("_rows", "rows")
+    if held is None:
+        return None
+    if any(len(_parts(state, name)) > 1 for name in _names(state, kept)):
+        held = _net(kept, held)
+    if not kept.greatest:
+        return held.withColumnRenamed("_rows", "rows")
     sums = [F.sum(c).cast(_wide(held, c)).alias(c) for c in kept.sums]
     # a group's values lie in one bucket; a group without a value keeps its row with NULL
     return held.groupBy(*kept.keys).agg(F.sum("_rows").alias("rows"), *sums, F.max(kept.greatest).alias(kept.greatest))

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from granary.operators import bitmaps, digest_tree
+from granary.operators import bitmaps, digest_tree, key_filter
 from granary.plans import commits, upkeep
 
 SALE = "k string, v long, price decimal(18,2)"
@@ -58,6 +58,52 @@ def test_only_touched_buckets_are_written_and_loads_count_once(spark, tmp_path):
     assert commits.current(spark, root) == third
 
 
+def test_a_load_writes_its_changes_alone_until_parts_are_folded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(upkeep, "PARTS", 2)
+    kept, root = upkeep.Kept("t", ("k",), ("v",), "price", buckets=1), str(tmp_path)
+    most = spark.range(500).select(F.concat(F.lit("k"), F.col("id") % 50).alias("k"), F.lit(2).cast("long").alias("v"), F.col("id").cast("decimal(18,2)").alias("price"))
+
+    def load(n, came, went=None):
+        return upkeep.apply(spark, root, f"load{n}", lambda state: [(kept, upkeep.changes(came, went))])
+
+    state = load(0, most)
+    assert spark.read.parquet(state.tables["t/0"]).count() == 500
+    one = spark.sql("select 'k7' k, 1L v, 900.00BD price")
+    for n in range(1, 4):
+        # a row that comes and goes again, the last one stays
+        state = load(n, one) if n % 2 else load(n, one.limit(0), one)
+        held = upkeep.result(spark, root, kept)
+        seven = held.where("k = 'k7'").first()
+        assert held.count() == 50 and (seven.rows, seven.v, int(seven.price)) == ((11, 21, 900) if n % 2 else (10, 20, 457)), n
+        parts = state.notes["parts"]["t/0"]
+        assert len(parts) <= upkeep.PARTS and (len(parts) == 1 or spark.read.parquet(state.tables["t/0"]).count() == 1)
+        assert state.notes["rows"]["t/0"] == 500 + n % 2
+    gone = upkeep.apply(spark, root, "gone", lambda state: [(kept, upkeep.changes(most.limit(0), most.unionByName(one)))])
+    assert gone.tables == {} and gone.notes["parts"] == {} and gone.notes["rows"] == {}
+    assert {r.k: r.rows for r in upkeep.result(spark, root, kept, 1).collect()} == {f"k{n}": 10 for n in range(50)}
+
+
+def test_states_without_remembered_parts_are_read_as_they_are(spark, tmp_path):
+    kept, root = upkeep.Kept("t", ("k",), ("v",), "price", buckets=1), str(tmp_path)
+    one = spark.sql("select 'a' k, 4L v, 1.00BD price")
+    spark.sql("select 'a' k, 1.00BD price, 2L _rows, 8L v").write.parquet(f"{root}/t/old")
+    commits.commit(spark, root, commits.EMPTY, "old", {"t/0": f"{root}/t/old"}, {"loads": ["old"]})
+    state = upkeep.apply(spark, root, "new", lambda state: [(kept, upkeep.changes(one.limit(0), one))])
+    assert [tuple(r) for r in upkeep.result(spark, root, kept).select("k", "rows", "v").collect()] == [("a", 1, 4)]
+    assert state.notes["rows"] == {"t/0": 1}
+    assert upkeep.apply(spark, root, "last", lambda state: [(kept, upkeep.changes(one.limit(0), one))]).tables == {}
+
+
+def test_rows_that_meet_no_wanted_key_are_dropped(spark):
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 3 != 0, F.col("id") % 7).alias("n"))
+    wanted = rows.where("id % 1000 = 5 or id = 3000")
+    found = key_filter.may_meet(rows, wanted, ["id", "n"])
+    assert found.columns == rows.columns
+    assert wanted.exceptAll(found).isEmpty() and found.count() < 2 * wanted.count()
+    assert key_filter.may_meet(rows, wanted.limit(0), ["id"]).isEmpty()
+    assert key_filter.may_meet(rows, wanted.withColumn("id", F.col("id").cast("int")), ["id"]).count() == 20_000
+
+
 def test_an_emptied_bucket_leaves_the_table(spark, tmp_path):
     one = spark.sql("select 'a' k, 1L v, 1.00BD price")
     upkeep.apply(spark, str(tmp_path), "in", lambda state: [(KEPT, upkeep.changes(one))])
