@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from granary.session import exists
 
 BLOCK_BITS = 32_768  # of one bitmap, as the bitmap functions have it
+WORD_BITS = 64
 KEY_BITS = 12
 PROBES = 5
 
@@ -44,10 +45,28 @@ def _bit_is_set(bits: Column, position: Column) -> Column:
     return byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (position % 8).cast("int"))) != 0
 
 
+def _word_bit(position: Column) -> Column:
+    """The bit of a position in its word of eight bytes, the first byte being the highest."""
+    in_word = position % WORD_BITS
+    shift = (F.lit(7) - F.floor(in_word / 8)) * 8 + in_word % 8
+    return F.call_function("shiftleft", F.lit(1).cast("long"), shift.cast("int"))
+
+
+def _bitmap(words: Column) -> Column:
+    """The words of a bitmap, a map by their number, as its bytes."""
+    of_all = F.transform(
+        F.sequence(F.lit(0), F.lit(BLOCK_BITS // WORD_BITS - 1)),
+        lambda n: F.lpad(F.hex(F.coalesce(F.try_element_at(words, n), F.lit(0).cast("long"))), WORD_BITS // 4, "0"),
+    )
+    return F.unhex(F.array_join(of_all, ""))
+
+
 def entries(table: DataFrame, key: Column) -> DataFrame:
     """``file, low, high, blocks, block, bits``: a row per file and bitmap in use.
 
-    Two passes over the key column; a file without keys has one row without a bitmap.
+    Two passes over the key column; a file without keys has one row without a
+    bitmap. Bits are put together by words of 64, which a task does without
+    sorting its keys; at most 512 words then make a bitmap.
     """
     keys = table.select(F.col("_metadata.file_path").alias("file"), key.alias("_key"))
     ends = keys.groupBy("file").agg(
@@ -55,13 +74,18 @@ def entries(table: DataFrame, key: Column) -> DataFrame:
     )
     wanted = F.ceil(F.greatest(F.col("_keys"), F.lit(1)) * KEY_BITS / BLOCK_BITS)
     files = ends.withColumn("blocks", F.pow(F.lit(2.0), F.ceil(F.log2(wanted.cast("double")))).cast("long")).drop("_keys")
+    # should two names ever share a hash, the bits of both allow their keys, so none is lost
+    files = files.withColumn("_file", F.xxhash64("file"))
     placed = (
         keys.where(F.col("_key").isNotNull())
-        .join(files.select("file", "blocks"), "file")
-        .select("file", _block(F.col("_key"), F.col("blocks")).alias("block"), F.explode(F.array(*_positions(F.col("_key")))).alias("_at"))
+        .join(files.select("file", "_file", "blocks"), "file")
+        .select("_file", _block(F.col("_key"), F.col("blocks")).alias("block"), F.explode(F.array(*_positions(F.col("_key")))).alias("_at"))
+    )
+    words = placed.groupBy("_file", "block", F.floor(F.col("_at") / WORD_BITS).cast("int").alias("_word")).agg(
+        F.bit_or(_word_bit(F.col("_at"))).alias("_bits")
     )
-    bits = placed.groupBy("file", "block").agg(F.call_function("bitmap_construct_agg", F.col("_at")).alias("bits"))
-    return files.join(bits, "file", "left").select("file", "low", "high", "blocks", "block", "bits")
+    bits = words.groupBy("_file", "block").agg(_bitmap(F.map_from_entries(F.collect_list(F.struct("_word", "_bits")))).alias("bits"))
+    return files.join(bits, "_file", "left").select("file", "low", "high", "blocks", "block", "bits")
 
 
 def _files(table: DataFrame) -> dict[str, str]:

@@ -84,3 +84,19 @@ def test_filters_of_large_files_take_more_bitmaps(spark, tmp_path):
     rows = file_index.entries(spark.read.parquet(path), F.col("id"))
     blocks = -(-50_000 * file_index.KEY_BITS // file_index.BLOCK_BITS)
     assert {r.blocks for r in rows.collect()} == {1 << (blocks - 1).bit_length()} and rows.count() <= 2 * blocks
+
+
+def test_bitmaps_come_from_words_without_sorting_keys(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    spark.range(9_000).repartition(3).write.parquet(path)
+    spark.range(5).coalesce(1).write.mode("append").parquet(path)
+    table = spark.read.parquet(path)
+    rows = file_index.entries(table, F.col("id"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    # bit by bit what Spark's own bitmaps of the positions are
+    places = table.select(F.col("_metadata.file_path").alias("file"), F.col("id").alias("key")).join(rows.select("file", "blocks").distinct(), "file")
+    places = places.select("file", file_index._block(F.col("key"), F.col("blocks")).alias("block"), F.explode(F.array(*file_index._positions(F.col("key")))).alias("at"))
+    expected = places.groupBy("file", "block").agg(F.call_function("bitmap_construct_agg", F.col("at")).alias("bits"))
+    found = {(r.file, r.block): bytes(r.bits) for r in rows.collect()}
+    assert found == {(r.file, r.block): bytes(r.bits) for r in expected.collect()} and len({f for f, _ in found}) == 4
