@@ -4,8 +4,9 @@ The rows of a table fall into ranges by a hash of their key. A range's digest is
 free of order: how many rows it has and the sums of two of their hashes. Sixteen
 ranges make a node of the next level, up to one digest for the whole table. The
 levels are stored beside the table, so two copies are compared from the top down:
-only children of nodes that differ are read, and only rows in ranges that differ
-at last are joined.
+only children of nodes that differ are compared, and only rows in ranges that
+differ at last are joined. A larger table gets more levels, so a range has few
+rows at any size and a change takes few others along.
 """
 
 from __future__ import annotations
@@ -13,14 +14,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.session import exists, stage
+
 FANOUT = 16
-LEVELS = 4  # 16^4 = 65,536 ranges at the bottom
+LEVELS = 4  # at least: 16^4 = 65,536 ranges at the bottom
+DEEPEST = 10  # ranges are cut from as many digits of the hash
+RANGE_ROWS = 64  # at most, on average
 
 _DIGEST = ("rows", "sum_1", "sum_2")
 
 
-def _range(keys: list[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(FANOUT**LEVELS)).cast("int")
+def _range(keys: list[str], levels: int) -> Column:
+    digits = F.pmod(F.xxhash64(*keys), F.lit(FANOUT**DEEPEST))
+    return F.shiftright(digits, 4 * (DEEPEST - levels))  # the first digits, so a parent's number is a child's without its last
+
+
+def _levels(rows: int) -> int:
+    levels = LEVELS
+    while levels < DEEPEST and rows > RANGE_ROWS * FANOUT**levels:
+        levels += 1
+    return levels
+
+
+def depth(spark: SparkSession, path: str) -> int:
+    """The lowest level of a stored tree."""
+    return next(level for level in range(DEEPEST, -1, -1) if exists(spark, f"{path}/level={level}"))
 
 
 def _row(columns: list[str], seed: int) -> Column:
@@ -29,48 +47,56 @@ def _row(columns: list[str], seed: int) -> Column:
 
 
 def write_tree(df: DataFrame, keys: list[str], path: str) -> None:
-    """Store the digests of all levels under ``path``; one pass over the table, at most 65,536 rows of the lowest level."""
-    columns = sorted(df.columns)
-    lowest = df.groupBy(_range(keys).alias("node")).agg(
+    """Store the digests of all levels under ``path``; one pass over the table after its rows are counted."""
+    columns, levels = sorted(df.columns), _levels(df.count())
+    lowest = df.groupBy(_range(keys, levels).alias("node")).agg(
         F.count(F.lit(1)).alias("rows"), *[F.sum(_row(columns, n)).cast("decimal(38,0)").alias(f"sum_{n}") for n in (1, 2)]
     )
-    lowest.write.parquet(f"{path}/level={LEVELS}")
-    for level in range(LEVELS - 1, -1, -1):
-        below = df.sparkSession.read.parquet(f"{path}/level={level + 1}")
-        above = below.groupBy(F.floor(F.col("node") / FANOUT).cast("int").alias("node")).agg(
+    lowest.write.parquet(f"{path}/level={levels}")
+    for level in range(levels - 1, -1, -1):
+        below = df.sparkSession.read.schema(lowest.schema).parquet(f"{path}/level={level + 1}")
+        above = below.groupBy(F.expr(f"node div {FANOUT}").alias("node")).agg(
             F.sum("rows").alias("rows"), *[F.sum(f"sum_{n}").cast("decimal(38,0)").alias(f"sum_{n}") for n in (1, 2)]
         )
-        above.coalesce(max(1, FANOUT ** (level - 3))).write.parquet(f"{path}/level={level}")
+        if level < LEVELS:
+            above = above.coalesce(max(1, FANOUT ** (level - 3)))
+        above.write.parquet(f"{path}/level={level}")
 
 
-def differing_ranges(spark: SparkSession, left: str, right: str) -> list[int]:
-    """Ranges whose digests differ between two stored trees, found from the top down."""
-    wanted = [0]
-    for level in range(LEVELS + 1):
+def _apart(spark: SparkSession, left: str, right: str) -> tuple[DataFrame, int]:
+    """``node`` of the ranges that differ between two stored trees, and the level, the lowest that both have."""
+    lowest, apart = min(depth(spark, left), depth(spark, right)), None
+    for level in range(lowest + 1):
         sides = [
-            spark.read.parquet(f"{path}/level={level}").where(F.col("node").isin(wanted)).select("node", F.struct(*_DIGEST).alias(name))
+            spark.read.schema("node bigint, rows bigint, sum_1 decimal(38,0), sum_2 decimal(38,0)").parquet(f"{path}/level={level}")
+            .select("node", F.struct(*_DIGEST).alias(name))
             for path, name in ((left, "l"), (right, "r"))
-        ]
-        apart = sides[0].join(sides[1], "node", "full").where(~F.col("l").eqNullSafe(F.col("r"))).select("node").collect()
-        nodes = sorted(row.node for row in apart)
-        if not nodes or level == LEVELS:
-            return nodes
-        wanted = [node * FANOUT + child for node in nodes for child in range(FANOUT)]
-    return []
+        ]
+        if apart is not None:
+            above = apart.withColumnRenamed("node", "_above")
+            sides = [side.join(above, F.expr(f"node div {FANOUT}") == F.col("_above"), "left_semi") for side in sides]
+        apart = sides[0].join(sides[1], "node", "full").where(~F.col("l").eqNullSafe(F.col("r"))).select("node")
+    return apart, lowest
+
+
+def differing_ranges(spark: SparkSession, left: str, right: str) -> list[int]:
+    """Ranges whose digests differ between two stored trees, found from the top down."""
+    return sorted(row.node for row in _apart(spark, left, right)[0].collect())
 
 
 def differences(left: DataFrame, right: DataFrame, keys: list[str], left_tree: str, right_tree: str) -> DataFrame:
     """``keys, state``: missing (only left), new (only right) or changed, for each key whose rows differ.
 
-    Rows in ranges that agree are dropped at the scan and take part in no join.
+    Rows in ranges that agree are dropped at the scan and take part in no join
+    while the ranges that differ are few enough to be sent to every task.
     """
     spark = left.sparkSession
-    apart = differing_ranges(spark, left_tree, right_tree)  # at most 65,536 numbers
-    ranges = spark.createDataFrame([(n,) for n in apart], "_range int")
+    apart, levels = _apart(spark, left_tree, right_tree)
+    ranges = stage(apart.withColumnRenamed("node", "_range"), "differing-ranges")
     columns = sorted(left.columns)
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        inside = df.withColumn("_range", _range(keys)).join(F.broadcast(ranges), "_range", "left_semi")
+        inside = df.withColumn("_range", _range(keys, levels)).join(ranges, "_range", "left_semi")
         sums = [F.sum(_row(columns, n)).alias(f"sum_{n}") for n in (1, 2)]
         return inside.groupBy(*keys).agg(F.struct(F.count(F.lit(1)), *sums).alias(name))
 

@@ -164,3 +164,20 @@ def test_digests_name_exactly_what_differs(spark, tmp_path):
     assert found == {77: "missing", 500: "changed", 9: "changed", 60000: "new", 12345: "changed"}
     assert digest_tree.differing_ranges(spark, str(tmp_path / "l"), str(tmp_path / "l")) == []
     assert digest_tree.differences(left, left, ["k"], str(tmp_path / "l"), str(tmp_path / "l")).count() == 0
+
+
+def test_larger_tables_get_finer_ranges(spark, tmp_path, monkeypatch):
+    # as many rows a range as 9 million have, so that spread changes leave most ranges alone
+    monkeypatch.setattr(digest_tree, "LEVELS", 2)
+    left = spark.range(40_000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    right = left.where("k % 400 <> 5").withColumn("v", F.when(F.col("k") % 400 == 6, 2).otherwise(1))
+    for name, table in (("l", left), ("r", right), ("few", right.limit(100))):
+        digest_tree.write_tree(table, ["k"], str(tmp_path / name))
+    apart = digest_tree.differing_ranges(spark, str(tmp_path / "l"), str(tmp_path / "r"))
+    ranges = left.select(digest_tree._range(["k"], digest_tree.depth(spark, str(tmp_path / "l"))).alias("n"))
+    assert len(apart) <= 200 and ranges.where(F.col("n").isin(apart)).count() < 40_000 / 4
+    found = {r.k: r.state for r in digest_tree.differences(left, right, ["k"], str(tmp_path / "l"), str(tmp_path / "r")).collect()}
+    assert found == {k: "missing" if k % 400 == 5 else "changed" for k in range(40_000) if k % 400 in (5, 6)}
+    # trees of different depth are compared down to the last level that both have
+    few = digest_tree.differences(left, right.limit(100), ["k"], str(tmp_path / "l"), str(tmp_path / "few"))
+    assert few.where("state <> 'missing'").count() <= 100 and few.count() >= 39_900
