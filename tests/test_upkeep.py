@@ -104,6 +104,16 @@ def test_rows_that_meet_no_wanted_key_are_dropped(spark):
     assert key_filter.may_meet(rows, wanted.withColumn("id", F.col("id").cast("int")), ["id"]).count() == 20_000
 
 
+def test_rows_before_that_meet_no_change_are_not_joined(spark):
+    many = upkeep.changes(spark.range(10_000).withColumn("l", F.lit("x")))
+    few = upkeep.changes(spark.range(3).withColumn("r", F.lit("y")))
+    nothing = few.limit(0)
+    met = upkeep.joined(many, many.limit(0), nothing, few, "id")
+    assert met.count() == 3
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 2  # with the changes, and with the bits of their keys
+
+
 def test_an_emptied_bucket_leaves_the_table(spark, tmp_path):
     one = spark.sql("select 'a' k, 1L v, 1.00BD price")
     upkeep.apply(spark, str(tmp_path), "in", lambda state: [(KEPT, upkeep.changes(one))])
