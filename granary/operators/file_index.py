@@ -53,12 +53,12 @@ def _word_bit(position: Column) -> Column:
 
 
 def _bitmap(words: Column) -> Column:
-    """The words of a bitmap, a map by their number, as its bytes."""
-    of_all = F.transform(
-        F.sequence(F.lit(0), F.lit(BLOCK_BITS // WORD_BITS - 1)),
-        lambda n: F.lpad(F.hex(F.coalesce(F.try_element_at(words, n), F.lit(0).cast("long"))), WORD_BITS // 4, "0"),
-    )
-    return F.unhex(F.array_join(of_all, ""))
+    """The bytes of a bitmap from its words, an array of ``_word, _bits`` without the words that are zero."""
+    missing = F.array_except(F.sequence(F.lit(0), F.lit(BLOCK_BITS // WORD_BITS - 1)), words.getField("_word"))
+    zeros = F.transform(missing, lambda n: F.struct(n.alias("_word"), F.lit(0).cast("long").alias("_bits")))
+    return F.unhex(F.array_join(
+        F.transform(F.sort_array(F.concat(words, zeros)), lambda w: F.lpad(F.hex(w.getField("_bits")), WORD_BITS // 4, "0")), ""
+    ))
 
 
 def entries(table: DataFrame, key: Column) -> DataFrame:
@@ -84,7 +84,7 @@ def entries(table: DataFrame, key: Column) -> DataFrame:
     words = placed.groupBy("_file", "block", F.floor(F.col("_at") / WORD_BITS).cast("int").alias("_word")).agg(
         F.bit_or(_word_bit(F.col("_at"))).alias("_bits")
     )
-    bits = words.groupBy("_file", "block").agg(_bitmap(F.map_from_entries(F.collect_list(F.struct("_word", "_bits")))).alias("bits"))
+    bits = words.groupBy("_file", "block").agg(_bitmap(F.collect_list(F.struct("_word", "_bits"))).alias("bits"))
     return files.join(bits, "_file", "left").select("file", "low", "high", "blocks", "block", "bits")
 
 
