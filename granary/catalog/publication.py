@@ -66,8 +66,8 @@ def dim_customer_registry(spark, folder):
 
 
 # -------------------------------------------------------------------- upkeep
-LINES = upkeep.Kept("lines", ("order_id", "product_id", "unit_price", "quantity", "discount"), by=("order_id",), buckets=8)
-HEADS = upkeep.Kept("heads", ("order_id", "customer_id", "order_date", "shipper_id"), by=("order_id",), buckets=8)
+LINES = upkeep.Kept("lines", ("order_id", "product_id", "unit_price", "quantity", "discount"), by=("order_id",), buckets=8, whole=True)
+HEADS = upkeep.Kept("heads", ("order_id", "customer_id", "order_date", "shipper_id"), by=("order_id",), buckets=8, whole=True)
 
 
 def _kept_up(spark, folder, kept: upkeep.Kept) -> DataFrame:
@@ -92,11 +92,13 @@ def _kept_up(spark, folder, kept: upkeep.Kept) -> DataFrame:
     for load, (line_changes, head_changes) in loads.items():
 
         def build(state):
-            before_l = upkeep.rows(spark, state, LINES, head_changes, lines.schema)
-            before_h = upkeep.rows(spark, state, HEADS, line_changes, heads.schema)
-            sales = upkeep.joined(before_l, line_changes, before_h, head_changes, "order_id")
+            parts = upkeep.parts(spark, root, load, [(LINES, line_changes), (HEADS, head_changes)])
+            changed_l, changed_h = (part.changes() for part in parts)
+            before_l = upkeep.rows(spark, state, LINES, changed_h, lines.schema)
+            before_h = upkeep.rows(spark, state, HEADS, changed_l, heads.schema)
+            sales = upkeep.joined(before_l, changed_l, before_h, changed_h, "order_id")
             sales = sales.withColumn("net_revenue", numbers.net_revenue("quantity", "unit_price", "discount"))
-            return [(LINES, line_changes), (HEADS, head_changes), (kept, sales)]
+            return [*parts, (kept, sales)]
 
         upkeep.apply(spark, root, load, build)
         upkeep.apply(spark, root, load, build)  # a load that is repeated changes nothing

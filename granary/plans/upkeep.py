@@ -8,9 +8,12 @@ their last row, and a greatest value that goes uncovers the next one.
 
 The state lies in buckets by a hash of the keys. A load adds a part, its folded
 changes, to the buckets that they fall into and to no other; parts are signed
-too, so they add up to the state and what is held is not written again. A bucket
-with more than ``PARTS`` of them is folded into one. Held rows of a group are
-looked up where some of it went, to be sure that they ever came. The new paths,
+too, so they add up to the state and what is held is not written again. Whole
+rows, few of which are equal, are written as they come and equal ones add up
+with the rest. A bucket with more than ``PARTS`` parts is folded into one. What
+else a load needs of its base rows it reads from their parts, so the changes
+given are worked out once. Held rows of a group are looked up where some of it
+went, to be sure that they ever came. The new paths,
 for all tables of the load, are one commit of the log, so readers see a load
 whole or not at all and a load that is repeated changes nothing.
 """
@@ -18,10 +21,13 @@ whole or not at all and a load that is repeated changes nothing.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from granary.operators.key_filter import may_meet
@@ -38,7 +44,9 @@ class Kept:
 
     ``by`` are the columns whose hash tells the bucket, if not all keys: base
     rows that a join looks up lie by their join key. More buckets mean less to
-    read for a small load; their number stays what it was at first.
+    read for a small load; their number stays what it was at first. ``whole``
+    says that hardly any rows have the same keys, so that folding a load's
+    changes before they are written would shuffle them for nothing.
     """
 
     name: str
@@ -47,6 +55,7 @@ class Kept:
     greatest: str | None = None
     by: tuple[str, ...] | None = None
     buckets: int = BUCKETS
+    whole: bool = False
 
     @property
     def grain(self) -> tuple[str, ...]:
@@ -56,6 +65,22 @@ class Kept:
         return F.pmod(F.xxhash64(*(self.by or self.keys)), F.lit(self.buckets)).cast("int")
 
 
+@dataclass(frozen=True)
+class Part:
+    """Changes of a load as they were written: the path, ``grain, _rows, sums, _bucket``, and a row for each bucket."""
+
+    kept: Kept
+    path: str
+    delta: DataFrame
+    ends: list[Row]  # bucket, least number of rows of a group, rows
+
+    def changes(self) -> DataFrame:
+        """The signed base rows, read from the part."""
+        signed = self.delta.drop("_bucket").withColumnRenamed("_rows", SIGN)
+        # a plan without rows, so that joins with it are left out before anything runs
+        return signed if self.ends else signed.limit(0)
+
+
 def changes(came: DataFrame, went: DataFrame | None = None) -> DataFrame:
     """Signed rows."""
     signed = came.withColumn(SIGN, F.lit(1).cast("long"))
@@ -69,7 +94,10 @@ def _wide(df: DataFrame, name: str) -> str:
 
 
 def _folded(kept: Kept, signed: DataFrame) -> DataFrame:
-    """Rows and sums per group and value; the sums of equal changes cancel."""
+    """Rows and sums per group and value; the sums of equal changes cancel, those of whole rows once they are read."""
+    if kept.whole:
+        sums = [(F.col(c) * F.col(SIGN)).cast(_wide(signed, c)).alias(c) for c in kept.sums]
+        return signed.select(*kept.grain, F.col(SIGN).alias("_rows"), *sums)
     sums = [F.sum(F.col(c) * F.col(SIGN)).cast(_wide(signed, c)).alias(c) for c in kept.sums]
     return signed.groupBy(*kept.grain).agg(F.sum(SIGN).alias("_rows"), *sums)
 
@@ -104,14 +132,14 @@ def _read(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def _state(spark: SparkSession, state: commits.Commit, kept: Kept, wanted: list[int] | None = None) -> DataFrame | None:
-    """``grain, _rows, sums`` of the parts of the wanted buckets, or of all; a group may be in several parts."""
+    """``grain, _rows, sums`` of the parts of the wanted buckets, or of all; a group may be in several of them."""
     paths = [path for name in _names(state, kept, wanted) for path in _parts(state, name)]
     return _read(spark, paths) if paths else None
 
 
 def rows(spark: SparkSession, state: commits.Commit, kept: Kept, touched_by: DataFrame, schema) -> DataFrame:
     """Base rows, signed by their number, in the buckets that ``touched_by`` falls into."""
-    held = _state(spark, state, kept, _buckets(kept, touched_by))
+    held = _state(spark, state, kept, _buckets(kept, touched_by)) if _names(state, kept) else None
     if held is None:
         nothing = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
         # a plan without rows, so that joins with it are left out before anything runs
@@ -132,12 +160,16 @@ def joined(left: DataFrame, left_changes: DataFrame, right: DataFrame, right_cha
     return product(left_changes, after).unionByName(product(may_meet(left, right_changes, [on]), right_changes))
 
 
-def _all_came(held: DataFrame | None, kept: Kept, went: DataFrame) -> bool:
-    """Whether the groups that ``went`` takes rows from hold that many."""
+def _all_came(held: DataFrame | None, kept: Kept, delta: DataFrame) -> bool:
+    """Whether the groups that ``delta`` takes rows from hold that many."""
     columns = [*kept.grain, "_rows"]
-    counts = went.select(*columns)
+    went = delta.where("_rows < 0")
+    # the columns of the bucket have fewer values than all, so fewer bits are set and fewer rows pass by chance
+    by = list(kept.by or kept.grain)
+    # rows that are not folded may come in the same load
+    counts = (may_meet(delta, went, by) if kept.whole else went).select(*columns)
     if held is not None:
-        counts = counts.unionByName(may_meet(held, went, list(kept.grain)).select(*columns))
+        counts = counts.unionByName(may_meet(held, went, by).select(*columns))
     return counts.groupBy(*kept.grain).agg(F.sum("_rows").alias("_rows")).where("_rows < 0").isEmpty()
 
 
@@ -150,20 +182,37 @@ def _row_counts(spark: SparkSession, state: commits.Commit, kept: Kept, touched:
     return counts
 
 
-def _updated(spark: SparkSession, root: str, state: commits.Commit, kept: Kept, signed: DataFrame, load: str):
-    """Parts and row counts of the buckets that the changes touch, and the names of those left empty."""
-    path = f"{root}/{kept.name}/{load}-{uuid.uuid4().hex}"
+def _written(spark: SparkSession, kept: Kept, df: DataFrame, path: str) -> DataFrame:
+    # buckets are dealt out by their groups, so a large one is written by many tasks
+    dealt = df.withColumn("_bucket", kept.bucket())
+    dealt.write.partitionBy("_bucket").parquet(path)
+    return spark.read.schema(dealt.schema).parquet(path)
 
-    def written(df: DataFrame, path: str) -> DataFrame:
-        # buckets are dealt out by their groups, so a large one is written by many tasks
-        dealt = df.withColumn("_bucket", kept.bucket())
-        dealt.write.partitionBy("_bucket").parquet(path)
-        return spark.read.schema(dealt.schema).parquet(path)
 
-    delta = written(_folded(kept, signed), path)
+def part(spark: SparkSession, root: str, load: str, kept: Kept, signed: DataFrame) -> Part:
+    """Write the changes of a load; they count once ``apply`` commits them."""
+    path = f"{root}/{kept.name}/{load}-{uuid.uuid4().hex}"
+    delta = _written(spark, kept, _folded(kept, signed), path)
     ends = delta.groupBy("_bucket").agg(F.min("_rows").alias("least"), F.sum("_rows").alias("rows")).collect()
+    return Part(kept, path, delta, ends)
+
+
+def _at_once(spark: SparkSession, calls: list[Callable]) -> list:
+    """Results of calls that do not need each other, so that one's last tasks leave no cores idle."""
+    with ThreadPoolExecutor(len(calls) or 1) as pool:
+        return [done.result() for done in [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]]
+
+
+def parts(spark: SparkSession, root: str, load: str, given: list[tuple[Kept, DataFrame]]) -> list[Part]:
+    """Write the changes of several tables."""
+    return _at_once(spark, [partial(part, spark, root, load, kept, signed) for kept, signed in given])
+
+
+def _updated(spark: SparkSession, state: commits.Commit, new: Part):
+    """Parts and row counts of the buckets that the changes touch, and the names of those left empty."""
+    kept, path, ends = new.kept, new.path, new.ends
     shrunk = [row["_bucket"] for row in ends if row.least < 0]
-    if shrunk and not _all_came(_state(spark, state, kept, shrunk), kept, delta.where("_rows < 0")):
+    if shrunk and not _all_came(_state(spark, state, kept, shrunk), kept, new.delta.where(F.col("_bucket").isin(shrunk))):
         raise ValueError(f"{kept.name}: rows went that never came")
     counts = _row_counts(spark, state, kept, [row["_bucket"] for row in ends])
     parts, left, empty = {}, {}, []
@@ -176,13 +225,13 @@ def _updated(spark: SparkSession, root: str, state: commits.Commit, kept: Kept,
     long = [name for name in parts if len(parts[name]) > PARTS and name not in empty]
     if long:
         whole = _read(spark, [part for name in long for part in parts[name]])
-        written(_net(kept, whole), f"{path}-whole")
+        _written(spark, kept, _net(kept, whole), f"{path}-whole")
         parts |= {name: [f"{path}-whole/_bucket={name.rpartition('/')[2]}"] for name in long}
     return parts, left, empty
 
 
 def apply(spark: SparkSession, root: str, load: str, build) -> commits.Commit:
-    """Bring a load in: ``build(state)`` gives pairs of a kept table and its changes, all committed together."""
+    """Bring a load in: ``build(state)`` gives pairs of a kept table and its changes, or their parts, all committed together."""
 
     def made(parent: commits.Commit):
         loads = parent.notes.get("loads", [])
@@ -190,8 +239,11 @@ def apply(spark: SparkSession, root: str, load: str, build) -> commits.Commit:
             return None
         parts, counts, removed = dict(parent.notes.get("parts", {})), dict(parent.notes.get("rows", {})), []
         changed = {}
-        for kept, signed in build(parent):
-            new, left, empty = _updated(spark, root, parent, kept, signed, load)
+
+        def updated(given):
+            return _updated(spark, parent, given if isinstance(given, Part) else part(spark, root, load, *given))
+
+        for new, left, empty in _at_once(spark, [partial(updated, given) for given in build(parent)]):
             parts, counts, removed = parts | new, counts | left, removed + empty
             changed |= {name: paths[-1] for name, paths in new.items() if name not in empty}
         for name in removed:
@@ -207,7 +259,7 @@ def result(spark: SparkSession, root: str, kept: Kept, version: int | None = Non
     held = _state(spark, state, kept)
     if held is None:
         return None
-    if any(len(_parts(state, name)) > 1 for name in _names(state, kept)):
+    if kept.whole or any(len(_parts(state, name)) > 1 for name in _names(state, kept)):
         held = _net(kept, held)
     if not kept.greatest:
         return held.withColumnRenamed("_rows", "rows")
