@@ -83,6 +83,8 @@ def _kept_up(spark, folder, kept: upkeep.Kept) -> DataFrame:
     )
     none_l, none_h = upkeep.changes(lines.limit(0)), upkeep.changes(heads.limit(0))
     first_heads = heads.where(f"not ({late}) and not ({moved})").unionByName(wrong.where(f"not ({late})"))
+    revenue = {"net_revenue": numbers.net_revenue("quantity", "unit_price", "discount")}
+    by_line = bool(set(kept.grain) & set(LINES.grain))  # else the lines of an order are added up before they meet its head
     loads = {
         "most": (upkeep.changes(lines.where(f"not ({late})").unionByName(doubtful)), upkeep.changes(first_heads)),
         "new": (upkeep.changes(lines.where(late)), upkeep.changes(heads.where(f"({late}) and not ({moved})").unionByName(wrong.where(late)))),
@@ -96,9 +98,8 @@ def _kept_up(spark, folder, kept: upkeep.Kept) -> DataFrame:
             changed_l, changed_h = (part.changes() for part in parts)
             before_l = upkeep.rows(spark, state, LINES, changed_h, lines.schema)
             before_h = upkeep.rows(spark, state, HEADS, changed_l, heads.schema)
-            sales = upkeep.joined(before_l, changed_l, before_h, changed_h, "order_id")
-            sales = sales.withColumn("net_revenue", numbers.net_revenue("quantity", "unit_price", "discount"))
-            return [*parts, (kept, sales)]
+            sales = upkeep.joined(before_l, changed_l, before_h, changed_h, "order_id", None if by_line else revenue)
+            return [*parts, (kept, sales.withColumns(revenue) if by_line else sales)]
 
         upkeep.apply(spark, root, load, build)
         upkeep.apply(spark, root, load, build)  # a load that is repeated changes nothing

@@ -81,6 +81,13 @@ class Part:
         return signed if self.ends else signed.limit(0)
 
 
+@dataclass(frozen=True)
+class Added:
+    """Signed rows added up: ``sign`` is their number, and the sums have their signs already."""
+
+    rows: DataFrame
+
+
 def changes(came: DataFrame, went: DataFrame | None = None) -> DataFrame:
     """Signed rows."""
     signed = came.withColumn(SIGN, F.lit(1).cast("long"))
@@ -93,8 +100,10 @@ def _wide(df: DataFrame, name: str) -> str:
     return f"decimal(38,{kind.rstrip(')').split(',')[1]})" if kind.startswith("decimal") else "bigint"
 
 
-def _folded(kept: Kept, signed: DataFrame) -> DataFrame:
+def _folded(kept: Kept, signed: DataFrame | Added) -> DataFrame:
     """Rows and sums per group and value; the sums of equal changes cancel, those of whole rows once they are read."""
+    if isinstance(signed, Added):
+        return _totals(kept, signed.rows.withColumnRenamed(SIGN, "_rows"))
     if kept.whole:
         sums = [(F.col(c) * F.col(SIGN)).cast(_wide(signed, c)).alias(c) for c in kept.sums]
         return signed.select(*kept.grain, F.col(SIGN).alias("_rows"), *sums)
@@ -107,10 +116,15 @@ def _buckets(kept: Kept, df: DataFrame) -> list[int]:
     return sorted(row.b for row in df.select(kept.bucket().alias("b")).distinct().collect())
 
 
-def _net(kept: Kept, parts: DataFrame) -> DataFrame:
-    """``grain, _rows, sums`` of the groups that are left once all parts are added up."""
+def _totals(kept: Kept, parts: DataFrame) -> DataFrame:
+    """``grain, _rows, sums`` with all parts added up."""
     sums = [F.sum(c).cast(_wide(parts, c)).alias(c) for c in kept.sums]
-    return parts.groupBy(*kept.grain).agg(F.sum("_rows").alias("_rows"), *sums).where("_rows <> 0")
+    return parts.groupBy(*kept.grain).agg(F.sum("_rows").alias("_rows"), *sums)
+
+
+def _net(kept: Kept, parts: DataFrame) -> DataFrame:
+    """The groups that are left once all parts are added up."""
+    return _totals(kept, parts).where("_rows <> 0")
 
 
 def _parts(state: commits.Commit, name: str) -> list[str]:
@@ -147,17 +161,35 @@ def rows(spark: SparkSession, state: commits.Commit, kept: Kept, touched_by: Dat
     return held.withColumnRenamed("_rows", SIGN)
 
 
-def joined(left: DataFrame, left_changes: DataFrame, right: DataFrame, right_changes: DataFrame, on: str) -> DataFrame:
+def joined(
+    left: DataFrame, left_changes: DataFrame, right: DataFrame, right_changes: DataFrame, on: str,
+    sums: dict[str, Column] | None = None,
+) -> DataFrame | Added:
     """Changes of an inner join from the changes of its sides; ``left`` and ``right`` are the signed rows before.
 
-    Rows before that meet no change are dropped where they are read.
+    Rows before that meet no change are dropped where they are read. ``sums``,
+    worked out from the left's columns, are for tables whose groups are columns
+    of the right: the left's rows are added up by ``on`` before they are joined,
+    so many of them for one key are one row to shuffle, sort and join.
     """
+    names = list(sums or ())
+
+    def ready(rows: DataFrame) -> DataFrame:
+        if sums is None:
+            return rows
+        rows = rows.select(on, SIGN, *[value.alias(name) for name, value in sums.items()])
+        signed = [F.sum(F.col(c) * F.col(SIGN)).cast(_wide(rows, c)).alias(c) for c in names]
+        return rows.groupBy(on).agg(F.sum(SIGN).alias(SIGN), *signed)
+
     def product(a: DataFrame, b: DataFrame) -> DataFrame:
         met = a.withColumnRenamed(SIGN, "_a").join(b.withColumnRenamed(SIGN, "_b"), on)
-        return met.withColumn(SIGN, F.col("_a") * F.col("_b")).drop("_a", "_b")
+        signed = {c: (F.col(c) * F.col("_b")).cast(_wide(a, c)) for c in names}
+        return met.withColumns({SIGN: F.col("_a") * F.col("_b")} | signed).drop("_a", "_b")
 
     after = may_meet(right, left_changes, [on]).unionByName(right_changes)
-    return product(left_changes, after).unionByName(product(may_meet(left, right_changes, [on]), right_changes))
+    met = product(ready(left_changes), after)
+    met = met.unionByName(product(ready(may_meet(left, right_changes, [on])), right_changes))
+    return met if sums is None else Added(met)
 
 
 def _all_came(held: DataFrame | None, kept: Kept, delta: DataFrame) -> bool:
@@ -189,7 +221,7 @@ def _written(spark: SparkSession, kept: Kept, df: DataFrame, path: str) -> DataF
     return spark.read.schema(dealt.schema).parquet(path)
 
 
-def part(spark: SparkSession, root: str, load: str, kept: Kept, signed: DataFrame) -> Part:
+def part(spark: SparkSession, root: str, load: str, kept: Kept, signed: DataFrame | Added) -> Part:
     """Write the changes of a load; they count once ``apply`` commits them."""
     path = f"{root}/{kept.name}/{load}-{uuid.uuid4().hex}"
     delta = _written(spark, kept, _folded(kept, signed), path)
